@@ -299,7 +299,7 @@ def explode_metrics(spark, sf):
 
 
 def _rounded(df: DataFrame, column: str) -> DataFrame:
-    """Folding an array adds doubles in the order of meters; six decimals are the same."""
+    """Six decimals: what remains the same however an engine adds or interpolates doubles."""
     return df.withColumn(column, F.rint(F.col(column) * 1e6) / F.lit(1e6))
 
 
@@ -428,7 +428,10 @@ def periodic_report(spark, sf):
 
 
 def distribution_stats(spark, sf):
-    return profile.distribution(readings(spark, sf), ["collector_id"], "kwh", exact=True)
+    stats = profile.distribution(readings(spark, sf), ["collector_id"], "kwh", exact=True)
+    for quantile in profile.QUANTILES:
+        stats = _rounded(stats, quantile)
+    return stats
 
 
 def compare_runs(spark, sf):

@@ -1 +1,102 @@
-QUERIES = []
+"""Registered queries that run the events through a stream to its end.
+
+The results are those of the batch queries, so most share their SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wattlake.functions.rules import valid_only
+from wattlake.operators import envelopes, rollups
+from wattlake.schemas import EVENTS
+from wattlake.session import new_path
+from wattlake.sources import adapters
+from wattlake.streaming import ingest, reports, run, stateful
+
+DAY = "1 day"
+DELAY = "1 hour"
+
+
+def readings_stream(spark: SparkSession, sf: str) -> DataFrame:
+    source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
+    total = adapters.events(spark, sf).agg(F.max("user_id") + 1).first()[0]
+    return adapters.as_readings(source.option("maxFilesPerTrigger", 100).parquet(sf), total)
+
+
+def _to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
+    path = new_path(spark, label)
+    run.to_table(stream, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def _closed_and_rest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    stream = ingest.envelope_stream(readings_stream(spark, sf), DAY, DELAY, exact=True)
+    closed = _to_table(spark, stream, "envelopes")
+    stored = valid_only(adapters.readings(spark, sf))
+    return closed, run.final_flush(stored, closed, DAY, exact=True)
+
+
+def stream_envelopes(spark, sf):
+    """Readings to envelopes on a stream, and the last window by a final flush."""
+    closed, rest = _closed_and_rest(spark, sf)
+    columns = rest.columns
+    rows = envelopes.explode_metrics(closed).select(columns).unionByName(rest)
+    return rows
+
+
+def stream_report(spark, sf):
+    """Closed envelopes through a second stream, with a report per week; the last interval
+    stays open on the stream and is reported from the table."""
+    closed, rest = _closed_and_rest(spark, sf)
+    source = new_path(spark, "source")
+    closed.unionByName(envelopes.nest_array(rest), allowMissingColumns=True).write.parquet(source)
+    stream = spark.readStream.schema(closed.schema).parquet(source)
+    report = reports.report_stream(stream, "7 days", DELAY, exact=True)
+    done = _to_table(spark, report, "report")
+    table = envelopes.explode_metrics(spark.read.schema(closed.schema).parquet(source))
+    last = rollups.periodic_report(table, "7 days", exact=True)
+    return done.unionByName(last.join(done, "interval_start", "left_anti"))
+
+
+def stream_collectors(spark, sf):
+    """Totals per collector since the start, in complete mode."""
+    closed, rest = _closed_and_rest(spark, sf)
+    source, path = new_path(spark, "source"), new_path(spark, "collectors")
+    closed.unionByName(envelopes.nest_array(rest), allowMissingColumns=True).write.parquet(source)
+    stream = spark.readStream.schema(closed.schema).parquet(source)
+    totals = reports.collector_totals(stream)
+    run.run_available_now(
+        totals, run.table_sink(path), new_path(spark, "checkpoint"), mode="complete"
+    )
+    table = spark.read.parquet(path)
+    newest = table.agg(F.max("batch")).scalar()
+    return (
+        table.withColumn("_newest", newest)
+        .filter("batch = _newest")
+        .select("collector_id", "windows", "readings", F.round("total_kwh", 2).alias("total_kwh"))
+    )
+
+
+def stream_hybrid(spark, sf):
+    """Time-or-count windows on a stream, with a flush at its end."""
+    path = new_path(spark, "hybrid")
+    windows = stateful.HybridWindows(
+        spark, new_path(spark, "state"), run.table_sink(path), "7 days", 100, DELAY, exact=True
+    )
+    run.run_available_now(readings_stream(spark, sf), windows, new_path(spark, "checkpoint"))
+    open_windows = windows.flush()
+    closed = spark.read.schema(open_windows.schema).parquet(path).select(open_windows.columns)
+    return closed.unionByName(open_windows)
+
+
+def stream_anomalies(spark, sf):
+    """Each reading against the one before, which may have come in an earlier batch."""
+    path = new_path(spark, "anomalies")
+    codes = stateful.Anomalies(spark, new_path(spark, "state"), run.table_sink(path))
+    run.run_available_now(readings_stream(spark, sf), codes, new_path(spark, "checkpoint"))
+    return spark.read.parquet(path).select("event_id", "meter_id", "anomaly_code")
+
+
+QUERIES = [stream_envelopes, stream_report, stream_collectors, stream_hybrid, stream_anomalies]
