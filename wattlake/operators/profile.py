@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.operators import ordered
-from wattlake.operators.windows import total
+from wattlake.operators.windows import exact_sum, total
+from wattlake.session import written
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -36,61 +37,48 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def _pop_std(value: Column, exact: bool) -> Column:
-    """Population standard deviation.
+def _weighted_sum(value: Column, weight: Column, exact: bool) -> Column:
+    if not exact:
+        return F.sum(value * weight)
+    return F.sum(F.rint(value * 100.0).cast("bigint") * weight) / F.lit(100.0)
 
-    The exact form needs values with two decimals: both sums are whole hundredths.
-    """
+
+def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
+    """The exact form needs values with two decimals, whose squares have four."""
+    if not exact:
+        return F.sum(value * value * weight) / F.sum(weight)
+    hundredths = F.rint(value * 100.0).cast("decimal(12,0)")
+    squares = F.sum((hundredths * hundredths * weight.cast("decimal(12,0)")).cast("decimal(38,0)"))
+    return squares.cast("double") / F.sum(weight) / F.lit(10000.0)
+
+
+def _pop_std(value: Column, exact: bool) -> Column:
+    """Population standard deviation."""
     if not exact:
         return F.stddev_pop(value)
-    hundredths = F.rint(value * 100.0).cast("decimal(18,0)")
-    n = F.count(value)
-    mean_square = F.sum((hundredths * hundredths).cast("decimal(28,0)")).cast("double") / n
-    mean = F.sum(hundredths).cast("double") / n
-    return F.sqrt(F.greatest(mean_square - mean * mean, F.lit(0.0))) / F.lit(100.0)
+    one = F.when(value.isNotNull(), F.lit(1).cast("bigint"))
+    mean = exact_sum(value) / F.count(value)
+    square = _mean_square(value, one, exact)
+    return F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
 
 
 # The quantiles reported.
 QUANTILES = {"median": 0.5, "p95": 0.95, "p99": 0.99}
 
 
-def quantiles(
-    df: DataFrame,
-    keys: list[str],
-    column: str,
-    wanted: dict[str, float] = QUANTILES,
-    group_rows: int = ordered.GROUP_ROWS,
-) -> DataFrame:
-    """Exact quantiles with linear interpolation.
-
-    Equal values are counted first. Then the running count says which value stands at
-    which position, so that no task holds a group: the built-in `percentile` would.
-    """
-    present = df.filter(F.col(column).isNotNull())
-    counted = present.groupBy(*keys, F.col(column).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    running = ordered.running_sum(counted, keys, ["_v"], F.col("_n"), "_upto", group_rows)
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    if keys:
-        on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        sized = running.alias("r").join(sizes.alias("s"), on).select("r.*", "s._size")
-    else:
-        sized = running.withColumn("_size", sizes.select("_size").scalar())
-    held = []
+def _picked(wanted: dict[str, float]) -> tuple[list[Column], list[Column]]:
+    """Aggregates that pick the values around each quantile's position, and what joins them."""
+    picks, results = [], []
     for name, q in wanted.items():
         position = (F.col("_size") - 1) * F.lit(float(q))
         for side, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n"))
-            held.append(F.max(F.when(here, F.col("_v"))).alias(f"_{name}_{side}"))
-    found = sized.groupBy(*keys).agg(F.max("_size").alias("_size"), *held)
-    results = []
-    for name, q in wanted.items():
+            picks.append(F.max(F.when(here, F.col("_v"))).alias(f"_{name}_{side}"))
+        share = F.col(f"_{name}_share")
+        picks.append(F.max(position - F.floor(position)).alias(f"_{name}_share"))
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        position = (F.col("_size") - 1) * F.lit(float(q))
-        share = position - F.floor(position)
         results.append((low * (1 - share) + high * share).alias(name))
-    return found.select(*keys, *results)
+    return picks, results
 
 
 def distribution(
@@ -103,30 +91,61 @@ def distribution(
 ) -> DataFrame:
     """Count, mean, median, population deviation, extremes, p95 and p99 per group.
 
-    `approximate` takes the quantiles from a sketch in the same single aggregation.
+    The quantiles are exact, with linear interpolation. Equal values are counted first, in
+    one pass over the input; the counts are written down and all else comes from them. The
+    running count says which value stands at which position, so that no task has to hold a
+    group, as the built-in `percentile` would. Groups without values have no row.
+
+    `approximate` takes the quantiles from sketches in a single aggregation instead.
     """
     value = F.col(column)
-    n = F.count(value)
-    moments = [
-        n.alias("n"),
-        F.try_divide(total(value, exact), n).alias("mean"),
-        _pop_std(value, exact).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    ]
     if approximate:
+        n = F.count(value)
         sketches = [F.percentile_approx(value, q).alias(name) for name, q in QUANTILES.items()]
-        return df.groupBy(*keys).agg(*moments, *sketches)
-    stats = df.groupBy(*keys).agg(*moments)
-    found = quantiles(df, keys, column, group_rows=group_rows)
-    if not keys:
-        row = found.select(F.struct(*QUANTILES)).scalar()
-        return stats.withColumn("_q", row).select(stats.columns + [f"_q.{q}" for q in QUANTILES])
-    on = [F.col(f"s.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys]
+        return df.filter(value.isNotNull()).groupBy(*keys).agg(
+            n.alias("n"),
+            (total(value, exact) / n).alias("mean"),
+            _pop_std(value, exact).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+            *sketches,
+        )
+    counted = written(
+        df.filter(value.isNotNull())
+        .groupBy(*keys, value.alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counted",
+    )
+    v, n = F.col("_v"), F.col("_n")
+    sizes = counted.groupBy(*keys).agg(
+        F.sum(n).alias("_size"),
+        (_weighted_sum(v, n, exact) / F.sum(n)).alias("_mean"),
+        _mean_square(v, n, exact).alias("_square"),
+    )
+    running = ordered.running_sum(counted, keys, ["_v"], n, "_upto", group_rows)
+    if keys:
+        on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+        sized = running.alias("r").join(sizes.alias("s"), on).select(
+            "r.*", "_size", "_mean", "_square"
+        )
+    else:
+        facts = sizes.select(F.struct("_size", "_mean", "_square")).scalar()
+        sized = running.withColumn("_f", facts).select("*", "_f.*")
+    picks, quantiles = _picked(QUANTILES)
+    spread = F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))) / F.max("_size")
+    if exact:
+        spread = F.greatest(F.max(F.col("_square") - F.col("_mean") * F.col("_mean")), F.lit(0.0))
     return (
-        stats.alias("s")
-        .join(found.alias("q"), on, "left")
-        .select("s.*", *[f"q.{q}" for q in QUANTILES])
+        sized.groupBy(*keys)
+        .agg(
+            F.max("_size").alias("n"),
+            F.max("_mean").alias("mean"),
+            F.sqrt(spread).alias("std"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+            *picks,
+        )
+        .select(*keys, "n", "mean", "std", "min", "max", *quantiles)
     )
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattlake.functions.columns import instant
@@ -52,16 +53,39 @@ def merge_metrics(
 
 def report_columns(exact: bool = False) -> list[Column]:
     """Totals over merged meters; averages weigh each meter by its readings."""
-    n = F.sum("count")
     return [
-        F.coalesce(n, F.lit(0).cast("bigint")).alias("total_readings"),
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("total_readings"),
         F.count("meter_id").alias("active_meters"),
+        *_report_measures("sum_voltage", "sum_current", exact),
+    ]
+
+
+def _report_measures(voltage: str | Column, current: str | Column, exact: bool) -> list[Column]:
+    n = F.sum("count")
+    voltage, current = (F.col(c) if isinstance(c, str) else c for c in (voltage, current))
+    return [
         _or_zero(total(F.col("sum_kwh"), exact)).alias("total_kwh"),
         _ratio(total(F.col("sum_kwh"), exact), n).alias("weighted_avg_kwh"),
         _or_zero(F.min("min_kwh")).alias("min_kwh"),
         _or_zero(F.max("max_kwh")).alias("max_kwh"),
-        _ratio(total(F.col("sum_voltage"), exact), n).alias("weighted_avg_voltage"),
-        _ratio(total(F.col("sum_current"), exact), n).alias("weighted_avg_current"),
+        _ratio(total(voltage, exact), n).alias("weighted_avg_voltage"),
+        _ratio(total(current, exact), n).alias("weighted_avg_current"),
+    ]
+
+
+def _one_pass_report(metrics: DataFrame, exact: bool) -> list[Column]:
+    """Windows, meters and totals in one aggregate.
+
+    Distinct counts copy each metric row per count, but the copies are reduced to distinct
+    keys before they are shuffled; a second pass would read the readings again.
+    """
+    n = F.col("count")
+    measures = _report_measures(F.col("avg_voltage") * n, F.col("avg_current") * n, exact)
+    return [
+        F.count_distinct(F.struct(*window_keys(metrics))).alias("windows"),
+        F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias("total_readings"),
+        F.count_distinct("meter_id").alias("active_meters"),
+        *measures,
     ]
 
 
@@ -70,24 +94,12 @@ def energy_report(
 ) -> DataFrame:
     """One row over everything; zeros when there is nothing.
 
-    `elapsed` is in seconds, by default the time that the windows span. Meters and windows
-    are each counted over their own grouping: two distinct counts in one aggregate would
-    copy every row for each.
+    `elapsed` is in seconds, by default the time that the windows span.
     """
-    windows = metrics.groupBy(*window_keys(metrics)).count()
-    facts = windows.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("windows"),
-            _span_seconds(F.min("window_start"), F.max("window_end")).alias("span"),
-        )
-    ).scalar()
-    merged = merge_metrics(metrics, exact=exact).agg(*report_columns(exact))
-    time = F.lit(float(elapsed)) if elapsed is not None else F.col("_facts.span")
-    return merged.withColumn("_facts", facts).select(
-        F.col("_facts.windows").alias("windows"),
-        *merged.columns,
-        _ratio(F.col("total_readings"), time).alias("readings_per_sec"),
-    )
+    span = _span_seconds(F.min("window_start"), F.max("window_end"))
+    time = span if elapsed is None else F.lit(float(elapsed))
+    rate = _ratio(F.sum("count"), time).alias("readings_per_sec")
+    return metrics.agg(*_one_pass_report(metrics, exact), rate)
 
 
 def flat_summary(metrics: DataFrame, exact: bool = False) -> DataFrame:
@@ -161,7 +173,7 @@ def kpis(
 
     `retained_kwh` covers the n latest windows, `total_kwh` all of them. The rate divides
     all readings by the time from the oldest retained window to `as_of` (by default the
-    end of the latest window).
+    end of the latest window). Reads the metrics three times: give it a stored table.
     """
     windows = summarize(metrics, exact)
     points = latest_n(windows, n).agg(
@@ -299,7 +311,8 @@ def active_collectors(
         F.max_by("shard_id", F.struct("window_end", "shard_id")).alias("shard_id"),
         F.max("window_end").alias("last_seen"),
     )
-    now = windows.agg(F.max("window_end")).scalar() if as_of is None else instant(as_of)
+    # One row per collector is left here; the windows themselves are not read twice.
+    now = F.max("last_seen").over(W.partitionBy()) if as_of is None else instant(as_of)
     age = _span_seconds(F.col("last_seen"), F.col("_now"))
     return (
         seen.withColumn("_now", now)
@@ -327,37 +340,37 @@ def validation_counts(readings: DataFrame, nan: str = "reject") -> DataFrame:
 def throughput(metrics: DataFrame) -> DataFrame:
     """Readings per second and microseconds per reading over the time of the readings,
     and the number of closed windows."""
-    windows = metrics.groupBy(*window_keys(metrics)).count().agg(F.count(F.lit(1))).scalar()
     facts = metrics.agg(
         F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("total_readings"),
         _span_seconds(F.min("first_reading"), F.max("last_reading")).alias("elapsed_seconds"),
+        F.count_distinct(F.struct(*window_keys(metrics))).alias("windows"),
     )
     return facts.select(
         "total_readings",
         "elapsed_seconds",
         _ratio(F.col("total_readings"), F.col("elapsed_seconds")).alias("readings_per_sec"),
         _ratio(F.col("elapsed_seconds") * 1e6, F.col("total_readings")).alias("us_per_reading"),
-    ).withColumn("windows", windows)
+        "windows",
+    )
 
 
 def periodic_report(metrics: DataFrame, interval: str, exact: bool = False) -> DataFrame:
     """An energy report per interval of window ends, each starting from nothing.
 
-    The streaming form is `streaming.reports.report_stream`.
+    An end on a boundary belongs to the interval that begins there. The streaming form is
+    `streaming.reports.report_stream`.
     """
-    # An end on the boundary belongs to the interval that begins there.
-    keyed = metrics.withColumn("_iv", F.window("window_end", interval))
-    windows = (
-        keyed.groupBy("_iv", *window_keys(metrics))
-        .count()
-        .groupBy("_iv")
-        .agg(F.count(F.lit(1)).alias("windows"))
-    )
-    merged = keyed.groupBy("_iv", "meter_id").agg(*merge_columns(exact))
-    report = merged.groupBy("_iv").agg(*report_columns(exact))
-    return report.join(windows, "_iv").select(
+    keyed = metrics.groupBy(F.window("window_end", interval).alias("_iv"))
+    return keyed.agg(*_one_pass_report(metrics, exact)).select(
         F.col("_iv.start").alias("interval_start"),
         F.col("_iv.end").alias("interval_end"),
         "windows",
-        *[c for c in report.columns if c != "_iv"],
+        "total_readings",
+        "active_meters",
+        "total_kwh",
+        "weighted_avg_kwh",
+        "min_kwh",
+        "max_kwh",
+        "weighted_avg_voltage",
+        "weighted_avg_current",
     )

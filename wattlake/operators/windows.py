@@ -233,9 +233,12 @@ def slide(
 ) -> DataFrame:
     """Every `step`, the readings of the last `duration`: totals and active meters.
 
-    A reading lies in duration/step windows. Readings are therefore reduced to one row per
-    meter and pane first (the longest period that divides both), and only the panes are
-    copied into their windows; a per-meter level then makes the distinct count a plain one.
+    A reading lies in duration/step windows. Readings are first reduced to one row per meter
+    and pane (the longest period that divides both). A pane counts its meter as active in
+    those of its windows that the meter's previous pane is not in, so each window counts a
+    meter once, and windows are summed without regard to meters: copies of panes are added
+    up before anything is shuffled. A meter has at most one row per pane, which bounds what
+    the window function sees, whatever its number of readings.
     """
     length, hop = seconds(duration), seconds(step)
     if hop > length:
@@ -249,31 +252,27 @@ def slide(
         F.max("kwh").alias("high"),
     )
     begin = F.unix_seconds("pane.start")
-    # The last window that holds the pane starts at the multiple of the step at or before
-    # it; the first is the earliest multiple whose window reaches the end of the pane.
+    # The last window that holds a pane starts at the multiple of the step at or before it;
+    # the first is the earliest multiple whose window reaches the end of the pane.
     last = begin - F.pmod(begin, F.lit(hop))
     earliest = begin + pane - length
     first = earliest + F.pmod(-earliest, F.lit(hop))
     starts = F.sequence(first, last, F.lit(hop).cast("bigint"))
-    per_meter = (
-        panes.select(F.explode(starts).alias("start"), "meter_id", "n", "kwh", "low", "high")
-        .groupBy("start", "meter_id")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("kwh").alias("kwh"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
+    covered = F.lag(last).over(W.partitionBy("meter_id").orderBy("pane.start"))
+    copies = panes.withColumn("_covered", covered).select(
+        F.explode(starts).alias("start"), "_covered", "n", "kwh", "low", "high"
     )
     energy = F.sum("kwh") / F.lit(100.0) if exact else F.sum("kwh")
     return (
-        per_meter.groupBy("start")
+        copies.groupBy("start")
         .agg(
             F.sum("n").alias("count"),
             energy.alias("sum_kwh"),
             F.min("low").alias("min_kwh"),
             F.max("high").alias("max_kwh"),
-            F.count(F.lit(1)).alias("active_meters"),
+            F.count_if(F.col("_covered").isNull() | (F.col("start") > F.col("_covered"))).alias(
+                "active_meters"
+            ),
         )
         .select(
             F.timestamp_seconds("start").alias("window_start"),

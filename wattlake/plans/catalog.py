@@ -18,7 +18,7 @@ from wattlake.functions import rules
 from wattlake.operators import envelopes, profile, rollups, stored, windows
 from wattlake.plans import streamed
 from wattlake.schemas import READING, WINDOW_KEYS
-from wattlake.session import new_path
+from wattlake.session import new_path, written
 from wattlake.sources import adapters, files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
     return windows.tumble(valid(spark, sf), DAY, exact=True)
 
 
+def stored_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric table written down, for what reads it more than once."""
+    return written(metrics(spark, sf), "metrics")
+
+
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
     return envelopes.summarize(metrics(spark, sf), exact=True)
 
@@ -104,7 +109,7 @@ def time_range_scan(spark, sf):
 
 def kafka_rows(spark, sf):
     """Through the JSON of the array form and back, to flat rows."""
-    sent = envelopes.to_kafka_rows(envelopes.nest_array(metrics(spark, sf)))
+    sent = envelopes.to_kafka_rows(envelopes.nest_array(stored_metrics(spark, sf)))
     good, _ = envelopes.parse_array_envelopes(_kafka_shaped(sent))
     named = envelopes.apply_defaults(good.withColumn("message_key", F.col("collector_id")))
     rows = envelopes.explode_metrics(named)
@@ -113,7 +118,7 @@ def kafka_rows(spark, sf):
 
 def map_envelopes(spark, sf):
     """Through the JSON of the map form and back, to flat rows."""
-    sent = envelopes.to_map_json(envelopes.nest_map(metrics(spark, sf)))
+    sent = envelopes.to_map_json(envelopes.nest_map(stored_metrics(spark, sf)))
     return envelopes.explode_metrics(envelopes.parse_map_envelopes(sent)).select(
         "total_count", *_METRIC_TABLE
     )
@@ -135,7 +140,7 @@ _METRIC_TABLE = [
 
 
 def flat_metrics(spark, sf):
-    return envelopes.flatten_metrics(envelopes.nest_map(metrics(spark, sf)))
+    return envelopes.flatten_metrics(envelopes.nest_map(stored_metrics(spark, sf)))
 
 
 def metrics_roundtrip(spark, sf):
@@ -257,7 +262,7 @@ def time_roundtrip(spark, sf):
 
 def parse_envelopes(spark, sf):
     """Array envelopes of the whole table, with every seventh message cut short."""
-    sent = _kafka_shaped(envelopes.to_kafka_rows(envelopes.nest_array(metrics(spark, sf))))
+    sent = _kafka_shaped(envelopes.to_kafka_rows(envelopes.nest_array(stored_metrics(spark, sf))))
     day = F.get_json_object(F.col("value").cast("string"), "$.window_start").cast("bigint")
     cut = F.pmod(F.floor(day / F.lit(86_400_000_000)), F.lit(7)) == 0
     broken = F.when(cut, F.expr("substring(value, 1, length(value) - 1)")).otherwise(
@@ -282,7 +287,7 @@ def parse_envelopes(spark, sf):
 
 
 def nested_envelopes(spark, sf):
-    nested = envelopes.nest_array(metrics(spark, sf))
+    nested = envelopes.nest_array(stored_metrics(spark, sf))
     meters = F.transform("metrics", lambda m: m["meter_id"])
     return nested.select(
         *WINDOW_KEYS,
@@ -294,7 +299,7 @@ def nested_envelopes(spark, sf):
 
 
 def explode_metrics(spark, sf):
-    rows = envelopes.explode_metrics(envelopes.nest_array(metrics(spark, sf)))
+    rows = envelopes.explode_metrics(envelopes.nest_array(stored_metrics(spark, sf)))
     return rows.select("total_count", *_METRIC_TABLE)
 
 
@@ -304,14 +309,14 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
 
 
 def envelope_totals(spark, sf):
-    totals = envelopes.with_envelope_totals(envelopes.nest_array(metrics(spark, sf)))
+    totals = envelopes.with_envelope_totals(envelopes.nest_array(stored_metrics(spark, sf)))
     return _rounded(totals, "total_kwh").select(
         *WINDOW_KEYS, "total_count", "total_kwh", "num_meters"
     )
 
 
 def envelope_summary(spark, sf):
-    summary = envelopes.envelope_summary(envelopes.nest_map(metrics(spark, sf)))
+    summary = envelopes.envelope_summary(envelopes.nest_map(stored_metrics(spark, sf)))
     return _rounded(_rounded(summary, "total_kwh"), "mean_of_avg_kwh")
 
 
@@ -331,7 +336,8 @@ def tumbling_hybrid(spark, sf):
 
 
 def contiguous_windows(spark, sf):
-    return windows.contiguous_bounds(envelopes.summarize(_hybrid(spark, sf), exact=True))
+    emitted = written(envelopes.summarize(_hybrid(spark, sf), exact=True), "windows")
+    return windows.contiguous_bounds(emitted)
 
 
 def anomalies(spark, sf):
@@ -370,7 +376,7 @@ def by_collector(spark, sf):
 
 
 def dashboard_kpis(spark, sf):
-    return rollups.kpis(metrics(spark, sf), LATEST, exact=True)
+    return rollups.kpis(stored_metrics(spark, sf), LATEST, exact=True)
 
 
 def collector_stats(spark, sf):
@@ -396,7 +402,7 @@ def energy_series(spark, sf):
 def meter_histogram(spark, sf):
     table = rollups.merge_metrics(metrics(spark, sf), exact=True)
     means = table.select((F.col("sum_kwh") / F.col("count")).alias("avg_kwh"))
-    return profile.histogram(means, "avg_kwh")
+    return profile.histogram(written(means, "means"), "avg_kwh")
 
 
 def service_stats(spark, sf):

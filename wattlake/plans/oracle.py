@@ -119,9 +119,9 @@ REPORT = f"""{_long('sum(count)')} AS total_readings, count(*) AS active_meters,
 
 def _pop_std(value: str) -> str:
     cents = f"CAST(round_even({value} * CAST(100 AS DOUBLE), 0) AS HUGEINT)"
-    mean = f"CAST(sum({cents}) AS DOUBLE) / count({value})"
-    square = f"CAST(sum({cents} * {cents}) AS DOUBLE) / count({value})"
-    return f"sqrt(greatest({square} - ({mean}) * ({mean}), 0)) / CAST(100 AS DOUBLE)"
+    mean = f"{_sum(value)} / count({value})"
+    square = f"CAST(sum({cents} * {cents}) AS DOUBLE) / count({value}) / CAST(10000 AS DOUBLE)"
+    return f"sqrt(greatest({square} - ({mean}) * ({mean}), 0))"
 
 
 def _quantile(value: str, q: float) -> str:
