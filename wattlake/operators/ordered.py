@@ -10,6 +10,8 @@ runs of the same group hand on (a total, or a last row) is one row per run.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,22 +19,31 @@ from pyspark.sql import functions as F
 from wattlake.session import written
 
 GROUP_ROWS = 5_000_000
+# Runs get longer rather than more numerous beyond this, unless the session itself has
+# more shuffle partitions; a run is sorted with spilling.
+MAX_RUNS = 10_000
 RUN = "_run"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def _group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group, and of all."""
+    sizes = df.groupBy(*keys).count()
+    largest, all_rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, all_rows or 0
 
 
 def _runs(df: DataFrame, keys: list[str], order: list[str], group_rows: int) -> DataFrame | None:
     """`df` with a run number that grows with the order, or None if no group needs it.
 
-    The partition number depends on the sampled bounds of this one shuffle, so it is
-    written down before anything else uses it.
+    The run number depends on the sampled bounds of this one shuffle, so it is written down
+    before anything else uses it.
     """
-    if largest_group(df, keys) <= group_rows:
+    largest, all_rows = _group_sizes(df, keys)
+    if largest <= group_rows:
         return None
-    ranged = df.repartitionByRange(*keys, *order)
+    wanted = min(math.ceil(all_rows / max(group_rows, 1)), MAX_RUNS)
+    n = max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(n, *keys, *order)
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
 
