@@ -13,6 +13,7 @@ from wattlake.session import local_session  # noqa: E402
 def spark():
     session = local_session(4, "wattlake-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.maxMetadataStringLength", "5000")
     yield session
     session.stop()
 

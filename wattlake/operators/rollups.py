@@ -316,7 +316,7 @@ def active_collectors(
     age = _span_seconds(F.col("last_seen"), F.col("_now"))
     return (
         seen.withColumn("_now", now)
-        .filter(age <= float(seconds(ttl)))
+        .filter(age <= float(seconds(ttl, least=0)))
         .select("collector_id", "shard_id", "last_seen")
     )
 

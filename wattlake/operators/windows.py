@@ -32,12 +32,12 @@ _MEASURES = [
 ]
 
 
-def seconds(duration: str) -> int:
+def seconds(duration: str, least: int = 1) -> int:
     """Whole seconds of a fixed duration such as '30 seconds' or '7 days'."""
     length = pd.Timedelta(duration)
     whole = int(length.total_seconds())
-    if whole <= 0 or pd.Timedelta(seconds=whole) != length:
-        raise ValueError(f"not a positive number of whole seconds: {duration!r}")
+    if whole < least or pd.Timedelta(seconds=whole) != length:
+        raise ValueError(f"not {least} or more whole seconds: {duration!r}")
     return whole
 
 

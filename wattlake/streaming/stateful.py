@@ -91,7 +91,7 @@ class HybridWindows:
             raise ValueError("without a count, use ingest.metric_stream")
         self.spark, self.carried, self.sink = spark, CarriedTables(spark, state), sink
         self.period = seconds(duration) if duration else None
-        self.duration, self.n, self.delay = duration, n, seconds(delay)
+        self.duration, self.n, self.delay = duration, n, seconds(delay, least=0)
         self.order, self.exact, self.group_rows = order, exact, group_rows
         self.keys = [*SOURCE_KEYS, "_start"]
 
