@@ -37,44 +37,36 @@ def _check_nan_mode(nan: str) -> None:
         raise ValueError(f"nan must be one of {NAN_MODES}, not {nan!r}")
 
 
-def _known(condition: Column, value: Column, nan: str) -> Column:
+def _known(condition: str, value: str, nan: str) -> str:
     """`condition`, which in `pass` mode does not hold where `value` is NaN.
 
     Spark orders NaN above all numbers, so that comparisons with it hold;
     in IEEE arithmetic they do not.
     """
-    return condition if nan == "reject" else condition & ~F.isnan(value)
+    return condition if nan == "reject" else f"({condition}) and not isnan({value})"
 
 
-def calculated_power() -> Column:
-    return F.col("voltage") * F.col("current") / F.lit(1000.0)
+POWER = "voltage * current / 1000.0D"
+DIFFERENCE = f"abs({POWER} - kwh)"
+TOLERANCE = f"kwh * {POWER_TOLERANCE}D"
 
 
-def power_difference() -> Column:
-    return F.abs(calculated_power() - F.col("kwh"))
-
-
-def power_tolerance() -> Column:
-    return F.col("kwh") * F.lit(POWER_TOLERANCE)
+def _outside(name: str, limits: tuple[float, float]) -> str:
+    return f"{name} not between {limits[0]}D and {limits[1]}D"
 
 
 def error_code(nan: str = "reject") -> Column:
     """Code of the first rule that fails; 0 if none does, -1 if a measure is null."""
     _check_nan_mode(nan)
-    kwh, voltage, current = F.col("kwh"), F.col("voltage"), F.col("current")
     rules = [
-        (_known(~kwh.between(*KWH_RANGE), kwh, nan), KWH_OUT_OF_RANGE),
-        (_known(~voltage.between(*VOLTAGE_RANGE), voltage, nan), VOLTAGE_OUT_OF_RANGE),
-        (_known(~current.between(*CURRENT_RANGE), current, nan), CURRENT_OUT_OF_RANGE),
-        (
-            _known(power_difference() > power_tolerance(), power_difference(), nan),
-            POWER_MISMATCH,
-        ),
+        ("kwh is null or voltage is null or current is null", NO_INPUT),
+        (_known(_outside("kwh", KWH_RANGE), "kwh", nan), KWH_OUT_OF_RANGE),
+        (_known(_outside("voltage", VOLTAGE_RANGE), "voltage", nan), VOLTAGE_OUT_OF_RANGE),
+        (_known(_outside("current", CURRENT_RANGE), "current", nan), CURRENT_OUT_OF_RANGE),
+        (_known(f"{DIFFERENCE} > {TOLERANCE}", DIFFERENCE, nan), POWER_MISMATCH),
     ]
-    code = F.when(kwh.isNull() | voltage.isNull() | current.isNull(), NO_INPUT)
-    for failed, number in rules:
-        code = code.when(failed, number)
-    return code.otherwise(OK)
+    cases = " ".join(f"when {failed} then {number}" for failed, number in rules)
+    return F.expr(f"case {cases} else {OK} end")
 
 
 def error_message(code: Column) -> Column:
@@ -102,9 +94,9 @@ def with_validation(readings: DataFrame, nan: str = "reject") -> DataFrame:
 def with_power_check(readings: DataFrame) -> DataFrame:
     return readings.withColumns(
         {
-            "calculated_power": calculated_power(),
-            "power_diff": power_difference(),
-            "tolerance": power_tolerance(),
+            "calculated_power": F.expr(POWER),
+            "power_diff": F.expr(DIFFERENCE),
+            "tolerance": F.expr(TOLERANCE),
         }
     )
 
@@ -124,24 +116,21 @@ def rejected(readings: DataFrame, nan: str = "reject") -> DataFrame:
     return bad.withColumn("error_text", error_text(F.col("error_code")))
 
 
-def _jumped(now: Column, before: Column, limit: float, nan: str) -> Column:
+def _jumped(now: str, before: str, limit: float, nan: str) -> str:
     """The relative change exceeds the limit. From zero, every change does."""
-    ratio = F.abs(F.try_divide(now - before, before))
-    moved = _known(now != before, now, nan)
-    return F.when(before == 0, moved).otherwise(_known(ratio > limit, ratio, nan))
+    ratio = f"abs(try_divide({now} - {before}, {before}))"
+    moved = _known(f"{now} <> {before}", now, nan)
+    return f"if({before} = 0, {moved}, {_known(f'{ratio} > {limit}D', ratio, nan)})"
 
 
-def anomaly_code(previous: Column, nan: str = "reject") -> Column:
-    """Compare a row with a struct of the previous kwh and voltage; -1 without one."""
+def anomaly_code(previous: str, nan: str = "reject") -> Column:
+    """Compare a row with the previous kwh and voltage, fields of the struct column
+    `previous`; -1 without one."""
     _check_nan_mode(nan)
-    kwh, voltage = F.col("kwh"), F.col("voltage")
-    before_kwh, before_voltage = previous["kwh"], previous["voltage"]
-    missing = F.lit(False)
-    for value in (kwh, voltage, before_kwh, before_voltage):
-        missing = missing | value.isNull()
-    return (
-        F.when(missing, NO_INPUT)
-        .when(_jumped(kwh, before_kwh, KWH_JUMP, nan), ANOMALY)
-        .when(_jumped(voltage, before_voltage, VOLTAGE_JUMP, nan), ANOMALY)
-        .otherwise(OK)
+    pairs = [("kwh", KWH_JUMP), ("voltage", VOLTAGE_JUMP)]
+    missing = [f"{c} is null or {previous}.{c} is null" for c, _ in pairs]
+    jumps = [_jumped(c, f"{previous}.{c}", limit, nan) for c, limit in pairs]
+    return F.expr(
+        f"case when {' or '.join(missing)} then {NO_INPUT} "
+        f"when ({') or ('.join(jumps)}) then {ANOMALY} else {OK} end"
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.columns import from_micros, to_micros
-from wattlake.operators.windows import exact_sum
+from wattlake.operators.windows import total
 from wattlake.schemas import (
     ARRAY_ENVELOPE,
     FLAT_METRIC,
@@ -130,10 +130,9 @@ def envelope_summary(envelopes: DataFrame) -> DataFrame:
 def summarize(metrics: DataFrame, exact: bool = False) -> DataFrame:
     """One row per window from a metric table, without nesting it first."""
     keys = window_keys(metrics)
-    energy = exact_sum(F.col("sum_kwh")) if exact else F.sum("sum_kwh")
     return metrics.groupBy(*keys).agg(
         F.sum("count").alias("total_count"),
-        energy.alias("total_kwh"),
+        total("sum_kwh", exact).alias("total_kwh"),
         F.count(F.lit(1)).alias("num_meters"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.operators import ordered
-from wattlake.operators.windows import exact_sum, total
+from wattlake.operators.windows import total
 from wattlake.session import written
 
 
@@ -52,12 +52,13 @@ def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
     return squares.cast("double") / F.sum(weight) / F.lit(10000.0)
 
 
-def _pop_std(value: Column, exact: bool) -> Column:
+def _pop_std(column: str | Column, exact: bool) -> Column:
     """Population standard deviation."""
+    value = F.col(column) if isinstance(column, str) else column
     if not exact:
         return F.stddev_pop(value)
     one = F.when(value.isNotNull(), F.lit(1).cast("bigint"))
-    mean = exact_sum(value) / F.count(value)
+    mean = _weighted_sum(value, one, exact) / F.count(value)
     square = _mean_square(value, one, exact)
     return F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
 
@@ -104,8 +105,8 @@ def distribution(
         sketches = [F.percentile_approx(value, q).alias(name) for name, q in QUANTILES.items()]
         return df.filter(value.isNotNull()).groupBy(*keys).agg(
             n.alias("n"),
-            (total(value, exact) / n).alias("mean"),
-            _pop_std(value, exact).alias("std"),
+            (total(column, exact) / n).alias("mean"),
+            _pop_std(column, exact).alias("std"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
             *sketches,
@@ -165,7 +166,8 @@ def compare_runs(
     for m in measures:
         for label, language in (("a", first), ("b", second)):
             value = F.when(F.col("language") == language, F.col(m))
-            mean = F.try_divide(total(value, exact), F.count(value))
+            one = F.when(value.isNotNull(), F.lit(1).cast("bigint"))
+            mean = F.try_divide(_weighted_sum(value, one, exact), F.count(value))
             columns += [mean.alias(f"{m}_mean_{label}"), _pop_std(value, exact).alias(f"{m}_std_{label}")]
     both = (
         runs.filter(F.col("language").isin(first, second))

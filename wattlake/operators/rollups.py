@@ -34,14 +34,13 @@ def _span_seconds(start: Column, end: Column) -> Column:
 
 def merge_columns(exact: bool = False) -> list[Column]:
     """Sums that give back what the readings themselves would have given."""
-    n = F.col("count")
     return [
-        F.sum(n).alias("count"),
-        total(F.col("sum_kwh"), exact).alias("sum_kwh"),
+        F.sum("count").alias("count"),
+        total("sum_kwh", exact).alias("sum_kwh"),
         F.min("min_kwh").alias("min_kwh"),
         F.max("max_kwh").alias("max_kwh"),
-        total(F.col("avg_voltage") * n, exact).alias("sum_voltage"),
-        total(F.col("avg_current") * n, exact).alias("sum_current"),
+        total("avg_voltage * count", exact).alias("sum_voltage"),
+        total("avg_current * count", exact).alias("sum_current"),
     ]
 
 
@@ -60,12 +59,11 @@ def report_columns(exact: bool = False) -> list[Column]:
     ]
 
 
-def _report_measures(voltage: str | Column, current: str | Column, exact: bool) -> list[Column]:
+def _report_measures(voltage: str, current: str, exact: bool) -> list[Column]:
     n = F.sum("count")
-    voltage, current = (F.col(c) if isinstance(c, str) else c for c in (voltage, current))
     return [
-        _or_zero(total(F.col("sum_kwh"), exact)).alias("total_kwh"),
-        _ratio(total(F.col("sum_kwh"), exact), n).alias("weighted_avg_kwh"),
+        _or_zero(total("sum_kwh", exact)).alias("total_kwh"),
+        _ratio(total("sum_kwh", exact), n).alias("weighted_avg_kwh"),
         _or_zero(F.min("min_kwh")).alias("min_kwh"),
         _or_zero(F.max("max_kwh")).alias("max_kwh"),
         _ratio(total(voltage, exact), n).alias("weighted_avg_voltage"),
@@ -79,11 +77,10 @@ def _one_pass_report(metrics: DataFrame, exact: bool) -> list[Column]:
     Distinct counts copy each metric row per count, but the copies are reduced to distinct
     keys before they are shuffled; a second pass would read the readings again.
     """
-    n = F.col("count")
-    measures = _report_measures(F.col("avg_voltage") * n, F.col("avg_current") * n, exact)
+    measures = _report_measures("avg_voltage * count", "avg_current * count", exact)
     return [
         F.count_distinct(F.struct(*window_keys(metrics))).alias("windows"),
-        F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias("total_readings"),
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("total_readings"),
         F.count_distinct("meter_id").alias("active_meters"),
         *measures,
     ]
@@ -110,7 +107,7 @@ def flat_summary(metrics: DataFrame, exact: bool = False) -> DataFrame:
     averages = ["avg_kwh", "avg_voltage", "avg_current"]
     pairs = metrics.groupBy("collector_id", "meter_id").agg(
         F.count(F.lit(1)).alias("n"),
-        total(F.col("sum_kwh"), exact).alias("sum_kwh"),
+        total("sum_kwh", exact).alias("sum_kwh"),
         *[(F.count(a)).alias(f"n_{a}") for a in averages],
         *[_mean_part(a, exact).alias(a) for a in averages],
         F.min("min_kwh").alias("min_kwh"),
@@ -120,7 +117,7 @@ def flat_summary(metrics: DataFrame, exact: bool = False) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total_rows"),
         F.count_distinct("collector_id").alias("collectors"),
         F.count_distinct("meter_id").alias("meters"),
-        _or_zero(total(F.col("sum_kwh"), exact)).alias("total_kwh"),
+        _or_zero(total("sum_kwh", exact)).alias("total_kwh"),
         *[_mean_whole(a, exact).alias(f"mean_of_{a}") for a in averages],
         F.min("min_kwh").alias("min_kwh"),
         F.max("max_kwh").alias("max_kwh"),
@@ -147,12 +144,12 @@ def by_collector(metrics: DataFrame, exact: bool = False) -> DataFrame:
     The (collector, meter) level spreads a collector that has most of the rows.
     """
     pairs = metrics.groupBy("collector_id", "meter_id").agg(
-        total(F.col("sum_kwh"), exact).alias("sum_kwh"), F.sum("count").alias("count")
+        total("sum_kwh", exact).alias("sum_kwh"), F.sum("count").alias("count")
     )
     return (
         pairs.groupBy("collector_id")
         .agg(
-            total(F.col("sum_kwh"), exact).alias("sum_kwh"),
+            total("sum_kwh", exact).alias("sum_kwh"),
             F.sum("count").alias("count"),
             F.count("meter_id").alias("meters"),
         )
@@ -178,7 +175,7 @@ def kpis(
     windows = summarize(metrics, exact)
     points = latest_n(windows, n).agg(
         F.struct(
-            _or_zero(total(F.col("total_kwh"), exact)).alias("kwh"),
+            _or_zero(total("total_kwh", exact)).alias("kwh"),
             F.count(F.lit(1)).alias("n"),
             F.min("window_end").alias("oldest"),
         )
@@ -187,7 +184,7 @@ def kpis(
     last = F.max("window_end")
     totals = windows.agg(
         F.coalesce(F.sum("total_count"), F.lit(0).cast("bigint")).alias("total_readings"),
-        _or_zero(total(F.col("total_kwh"), exact)).alias("total_kwh"),
+        _or_zero(total("total_kwh", exact)).alias("total_kwh"),
         F.count(F.lit(1)).alias("windows_received"),
         last.alias("last_update"),
     )
@@ -216,13 +213,13 @@ def collector_stats(windows: DataFrame, exact: bool = False) -> DataFrame:
     return windows.groupBy(name).agg(
         F.count(F.lit(1)).alias("windows"),
         F.sum("total_count").alias("readings"),
-        F.round(total(F.col("total_kwh"), exact), 2).alias("total_kwh"),
+        F.round(total("total_kwh", exact), 2).alias("total_kwh"),
     )
 
 
 def _meter_totals(metrics: DataFrame, exact: bool) -> DataFrame:
     return metrics.groupBy("meter_id").agg(
-        total(F.col("sum_kwh"), exact).alias("_kwh"),
+        total("sum_kwh", exact).alias("_kwh"),
         F.sum("count").alias("readings"),
         F.min("min_kwh").alias("min_kwh"),
         F.max("max_kwh").alias("max_kwh"),

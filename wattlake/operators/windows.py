@@ -41,34 +41,38 @@ def seconds(duration: str, least: int = 1) -> int:
     return whole
 
 
-def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Sum at a fixed number of decimals, in whole numbers.
+def exact_sum(value: str, scale: int = 2) -> str:
+    """Sum at a fixed number of decimals, in whole numbers, as an SQL expression.
 
     Readings have two decimals. Doubles give sums that depend on the order in which
     partitions arrive; whole numbers do not, and a re-run task gives the same result.
     """
-    unit = float(10**scale)
-    return F.sum(F.rint(value * unit).cast("bigint")) / F.lit(unit)
+    unit = f"{10**scale}.0D"
+    return f"sum(cast(rint({value} * {unit}) as bigint)) / {unit}"
 
 
-def total(value: Column, exact: bool = False) -> Column:
-    return exact_sum(value) if exact else F.sum(value)
+def total_sql(value: str, exact: bool = False) -> str:
+    return exact_sum(value) if exact else f"sum({value})"
+
+
+def total(value: str, exact: bool = False) -> Column:
+    return F.expr(total_sql(value, exact))
 
 
 def metric_columns(exact: bool = False) -> list[Column]:
     """The measures of one group of readings, all with map-side partial aggregation."""
-    n = F.count(F.lit(1))
-    return [
-        n.alias("count"),
-        total(F.col("kwh"), exact).alias("sum_kwh"),
-        (total(F.col("kwh"), exact) / n).alias("avg_kwh"),
-        F.min("kwh").alias("min_kwh"),
-        F.max("kwh").alias("max_kwh"),
-        (total(F.col("voltage"), exact) / n).alias("avg_voltage"),
-        (total(F.col("current"), exact) / n).alias("avg_current"),
-        F.min("ts").alias("first_reading"),
-        F.max("ts").alias("last_reading"),
-    ]
+    measures = {
+        "count": "count(1)",
+        "sum_kwh": total_sql("kwh", exact),
+        "avg_kwh": f"{total_sql('kwh', exact)} / count(1)",
+        "min_kwh": "min(kwh)",
+        "max_kwh": "max(kwh)",
+        "avg_voltage": f"{total_sql('voltage', exact)} / count(1)",
+        "avg_current": f"{total_sql('current', exact)} / count(1)",
+        "first_reading": "min(ts)",
+        "last_reading": "max(ts)",
+    }
+    return [F.expr(measure).alias(name) for name, measure in measures.items()]
 
 
 def aggregate_meters(readings: DataFrame, keys: list[str], exact: bool = False) -> DataFrame:
@@ -224,7 +228,7 @@ def with_anomaly(
     linked = ordered.previous(
         readings, ["meter_id"], order, ["kwh", "voltage"], "_prev", group_rows
     )
-    code = anomaly_code(F.col("_prev"), nan)
+    code = anomaly_code("_prev", nan)
     return linked.withColumn("anomaly_code", code).drop("_prev")
 
 

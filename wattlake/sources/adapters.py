@@ -25,17 +25,17 @@ def total_meters(table: DataFrame):
 
 def as_readings(table: DataFrame, total, shards: int = SHARDS) -> DataFrame:
     """Readings of an events table, batch or stream. `total` is the number of meters."""
-    base = table.select(
+    voltage = "(event_id % 450 + 1980) / 10.0D"
+    amps = f"value * 1000.0D / ({voltage}) * ((event_id % 3 + 10) / 10.0D) * 100.0D"
+    with_current = table.select(
         "event_id",
         F.col("user_id").alias("meter_index"),
         C.meter_id(F.col("user_id")).alias("meter_id"),
         "ts",
         F.col("value").alias("kwh"),
-        ((F.col("event_id") % 450 + 1980) / F.lit(10.0)).alias("voltage"),
-        ((F.col("event_id") % 3 + 10) / F.lit(10.0)).alias("_f"),
+        F.expr(voltage).alias("voltage"),
+        F.expr(f"floor({amps}) / 100.0D").alias("current"),
     )
-    amps = F.col("kwh") * 1000.0 / F.col("voltage") * F.col("_f") * 100.0
-    with_current = base.withColumn("current", F.floor(amps) / F.lit(100.0)).drop("_f")
     sharded = C.with_shard(with_current, total, shards)
     return sharded.withColumn("collector_id", C.collector_id(F.col("shard_id")))
 

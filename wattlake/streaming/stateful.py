@@ -181,9 +181,9 @@ class HybridWindows:
         both = new if left is None else new.unionByName(left)
         return both.groupBy(*self.keys, "window_seq", "meter_id").agg(
             F.sum("count").alias("count"),
-            total(F.col("sum_kwh"), self.exact).alias("sum_kwh"),
-            total(F.col("sum_voltage"), self.exact).alias("sum_voltage"),
-            total(F.col("sum_current"), self.exact).alias("sum_current"),
+            total("sum_kwh", self.exact).alias("sum_kwh"),
+            total("sum_voltage", self.exact).alias("sum_voltage"),
+            total("sum_current", self.exact).alias("sum_current"),
             F.min("min_kwh").alias("min_kwh"),
             F.max("max_kwh").alias("max_kwh"),
             F.min("first_reading").alias("first_reading"),
