@@ -126,9 +126,14 @@ def final_flush(
 ) -> DataFrame:
     """The windows a stopped stream left open, as metrics, from the readings in storage.
 
-    All windows that end by the last emitted end are closed, so the rest of the readings
-    is what is not earlier than that.
+    All windows that end by the last emitted end are closed, so the rest of the readings is
+    what is not earlier than that. The end is looked up first: as a literal it prunes dates
+    and reaches the scan.
     """
-    end = closed.agg(F.max("window_end")).scalar()
-    rest = readings.withColumn("_end", end).filter("_end is null or ts >= _end").drop("_end")
-    return tumble(rest, duration, exact)
+    end = closed.agg(F.max(F.unix_micros("window_end"))).first()[0]
+    if end is None:
+        return tumble(readings, duration, exact)
+    last = F.timestamp_micros(F.lit(end))
+    if "date" in readings.columns:
+        readings = readings.filter(F.col("date") >= F.to_date(last))
+    return tumble(readings.filter(F.col("ts") >= last), duration, exact)

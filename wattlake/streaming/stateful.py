@@ -104,7 +104,8 @@ class HybridWindows:
             clock = taken.agg(F.max("ts").alias("clock"))
             if clock_before is not None:
                 clock = clock.unionByName(clock_before.select("clock"))
-            now = F.lit(clock.agg(F.max("clock")).first()[0]).cast("timestamp")
+            latest = clock.agg(F.max(F.unix_micros("clock"))).first()[0]
+            now = F.timestamp_micros(F.lit(latest).cast("bigint"))
             windows = self._bounded(merged, now)
             self.sink(self._result(windows.filter("_closed")), batch_id)
             left = windows.filter("not _closed").select(merged.columns)
