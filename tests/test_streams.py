@@ -148,8 +148,10 @@ def test_cumulative_tables(spark, source, tmp_path):
         assert values(newest, key) == values(want, key)
 
 
-@pytest.mark.parametrize("duration, n", [("5 minutes", 20), (None, 35), ("1 minute", 1000)])
-@pytest.mark.parametrize("group_rows", [50, 10**6])
+@pytest.mark.parametrize(
+    "duration, n, group_rows",
+    [("5 minutes", 20, 50), (None, 35, 10**6), ("1 minute", 1000, 10**6)],
+)
 def test_hybrid_equals_batch(spark, source, readings, tmp_path, duration, n, group_rows):
     sink = run.table_sink(str(tmp_path / "w"))
     live = stateful.HybridWindows(
