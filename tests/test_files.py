@@ -82,3 +82,12 @@ def test_metrics_table(spark, make, tmp_path):
 def test_kafka_calls_need_the_connector(spark, make):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka.read_kafka(spark, "localhost:9092")
+
+
+def test_runs(spark, tmp_path):
+    line = {"language": "Go", "meters": 10, "iterations": 20, "total_readings": 200, "duration_ms": 1.5,
+            "readings_per_sec": 133.0, "avg_us_per_read": 7.5, "peak_mem_mb": 1.0, "avg_cpu_percent": 0,
+            "window_flushes": 1}
+    (tmp_path / "runs.json").write_text(json.dumps(line) + "\n")
+    row = files.read_runs(spark, str(tmp_path)).first()
+    assert row.asDict() == line

@@ -7,7 +7,7 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from wattlake.functions.rules import valid_only
-from wattlake.operators import envelopes, rollups, windows
+from wattlake.operators import envelopes, rollups, stored, windows
 from wattlake.sources import files
 from wattlake.streaming import ingest, reports, run, stateful
 
@@ -212,6 +212,19 @@ def test_a_repeated_batch_changes_nothing(spark, readings, tmp_path):
     assert values(tables[0]) == values(tables[1])
 
 
+def test_store_keeps_the_last_write(spark, make, tmp_path):
+    columns = [c.split()[0] for c in READINGS.split(", ")]
+    rows = make([(0, 0, 10.1, 1.0), (1, 0, 10.9, 2.0), (2, 1, 10.5, 3.0), (3, 0, 10.2, 4.0)])
+    write_parts(rows.select(columns), str(tmp_path / "in"), [0, 1, 2, 3, 4])
+    sink = run.readings_sink(str(tmp_path / "store"))
+    run.run_available_now(stream(spark, str(tmp_path / "in")), sink, str(tmp_path / "c"))
+    sink(rows.filter("event_id = 3"), 3)
+    table = files.read_readings(spark, str(tmp_path / "store"))
+    kept = stored.upsert_latest(table, order=["ingest_order"])
+    assert table.count() == 5 and {(r.meter_id, r.kwh) for r in kept.collect()} == {
+        ("METER-0000", 4.0), ("METER-0001", 3.0)}
+
+
 def test_late_readings_are_dropped_and_counted(spark, make, tmp_path):
     columns = [c.split()[0] for c in READINGS.split(", ")]
     rows = make([(0, 0, 10, 5.0), (1, 0, 500, 5.0), (2, 0, 1000, 5.0), (3, 0, 20, 5.0), (4, 0, 1010, 5.0)])

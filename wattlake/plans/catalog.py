@@ -92,6 +92,17 @@ def readings_roundtrip(spark, sf):
     return files.read_readings(spark, path).select(READING.fieldNames())
 
 
+def json_readings(spark, sf):
+    """Through JSON lines in files and back, with every thirteenth line cut short."""
+    path = new_path(spark, "json")
+    columns = ["meter_id", F.col("ts").alias("timestamp"), "kwh", "voltage", "current"]
+    line = F.to_json(F.struct(*columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    rows = readings(spark, sf).select("event_id", line.alias("line"))
+    cut = F.expr("if(event_id % 13 = 0, substring(line, 1, 40), line)")
+    rows.select(cut.alias("value")).write.text(path)
+    return files.read_readings(spark, path, "json")
+
+
 def upsert_latest(spark, sf):
     kept = stored.upsert_latest(readings(spark, sf), grain="hour")
     return kept.select("event_id", *READING.fieldNames())
@@ -445,6 +456,10 @@ def compare_runs(spark, sf):
     return profile.compare_runs(runs, "click", "view", ["readings_per_sec"], exact=True)
 
 
+def comparison_range(spark, sf):
+    return profile.comparison_range(compare_runs(spark, sf), ["readings_per_sec"])
+
+
 def _zoneless(query: Query) -> Query:
     """Fix the session zone and give times as wall-clock time."""
 
@@ -460,7 +475,7 @@ def _zoneless(query: Query) -> Query:
 
 
 _BATCH = [
-    scan_readings, readings_roundtrip, upsert_latest, meter_range_scan, time_range_scan,
+    scan_readings, readings_roundtrip, json_readings, upsert_latest, meter_range_scan, time_range_scan,
     kafka_rows, map_envelopes, flat_metrics, metrics_roundtrip, dataset_info,
     validate_codes, power_check, valid_readings, rejected_readings, error_messages,
     meter_ids, shard_assignment, shard_ranges, meter_slice, meter_lookup,
@@ -471,7 +486,7 @@ _BATCH = [
     meter_metrics, merge_meter_metrics, energy_report, flat_summary, by_collector,
     dashboard_kpis, collector_stats, meter_table, top_meters, reading_rate, energy_series,
     meter_histogram, service_stats, windows_per_collector, latest_window, active_collectors,
-    validation_counts, throughput, periodic_report, distribution_stats, compare_runs,
+    validation_counts, throughput, periodic_report, distribution_stats, compare_runs, comparison_range,
 ]
 
 

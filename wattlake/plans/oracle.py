@@ -142,6 +142,11 @@ def _batch() -> dict[str, str]:
             READINGS,
             'SELECT meter_id, ts, kwh, voltage, amps AS "current" FROM readings',
         ),
+        "json_readings": _with(
+            READINGS,
+            '''SELECT meter_id, ts, kwh, voltage, amps AS "current" FROM readings
+               WHERE event_id % 13 <> 0''',
+        ),
         "upsert_latest": _with(
             READINGS,
             f"""{scan} (SELECT *, row_number() OVER (PARTITION BY meter_id, date_trunc('hour', ts)
@@ -430,6 +435,7 @@ def _batch() -> dict[str, str]:
                 FROM readings GROUP BY collector_id""",
         ),
         "compare_runs": _COMPARE,
+        "comparison_range": f"SELECT {_RANGE} FROM ({_COMPARE})",
     }
 
 
@@ -466,6 +472,13 @@ STREAMED = {
 }
 
 
+_RANGE = ", ".join(
+    f"{f}(readings_per_sec_{c}) AS {f}_readings_per_sec_{c}"
+    for c in ("ratio", "mean_a", "mean_b")
+    for f in ("min", "max")
+)
+
+
 def statements() -> dict[str, str]:
     batch = _batch()
     return batch | {name: batch[same] for name, same in STREAMED.items()}

@@ -5,6 +5,8 @@ The results are those of the batch queries, so most share their SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,12 @@ DELAY = "1 hour"
 
 def readings_stream(spark: SparkSession, sf: str) -> DataFrame:
     source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    total = adapters.events(spark, sf).agg(F.max("user_id") + 1).first()[0]
-    return adapters.as_readings(source.option("maxFilesPerTrigger", 100).parquet(sf), total)
+    rows = source.option("maxFilesPerTrigger", 100).parquet(sf)
+    return adapters.as_readings(rows, _total_meters(spark, sf))
+
+
+def _total_meters(spark: SparkSession, sf: str) -> int:
+    return adapters.events(spark, sf).agg(F.max("user_id") + 1).first()[0]
 
 
 def _to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
@@ -32,7 +38,9 @@ def _to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 
 
 def _closed_and_rest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    stream = ingest.envelope_stream(readings_stream(spark, sf), DAY, DELAY, exact=True)
+    per_shard = _total_meters(spark, sf) / adapters.SHARDS
+    parts = math.ceil(per_shard / envelopes.MAX_METRICS)
+    stream = ingest.envelope_stream(readings_stream(spark, sf), DAY, DELAY, parts, exact=True)
     closed = _to_table(spark, stream, "envelopes")
     stored = valid_only(adapters.readings(spark, sf))
     return closed, run.final_flush(stored, closed, DAY, exact=True)

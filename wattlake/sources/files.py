@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.operators.envelopes import parse_map_envelopes
-from wattlake.schemas import FLAT_METRIC, KAFKA_ROW, READING, READING_JSON
+from wattlake.schemas import FLAT_METRIC, KAFKA_ROW, READING, READING_JSON, RUN
 
 _CORRUPT = "_corrupt"
 _LINE = T.StructType([*READING_JSON.fields, T.StructField(_CORRUPT, T.StringType())])
-_STORED = T.StructType(READING.fields).add("date", "date")
+# Stored readings keep the order in which they came in, for `stored.upsert_latest`.
+_STORED = (
+    T.StructType(READING.fields)
+    .add("ingest_order", T.LongType())
+    .add("date", T.DateType())
+)
 
 
 def _decoded(lines: DataFrame) -> DataFrame:
@@ -44,13 +49,18 @@ def stream_readings(
     return reader.schema(_STORED).parquet(path)
 
 
-def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None:
+def write_readings(
+    readings: DataFrame, path: str, order: Column | None = None, mode: str = "append"
+) -> None:
     """Parquet by date, ordered by meter within files.
 
     Rebalancing joins small partitions and splits a date that has most of the rows; the
     order gives row groups narrow ranges of meters, which the read of one meter skips by.
+    A later reading of the same meter and second is appended like any other; give `order`,
+    and `stored.upsert_latest(table, order=["ingest_order"])` keeps the last when reading.
     """
-    dated = readings.select(*READING.fieldNames(), F.to_date("ts").alias("date"))
+    ingest = (F.lit(None) if order is None else order).cast("bigint").alias("ingest_order")
+    dated = readings.select(*READING.fieldNames(), ingest, F.to_date("ts").alias("date"))
     balanced = dated.hint("rebalance", "date").sortWithinPartitions("date", "meter_id", "ts")
     balanced.write.mode(mode).partitionBy("date").parquet(path)
 
@@ -85,3 +95,8 @@ def stream_kafka_files(
     """Kafka-shaped rows from files, for archives of a topic and for tests."""
     reader = spark.readStream.schema(KAFKA_ROW).option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Results of benchmark runs, one JSON object per line, for `profile.compare_runs`."""
+    return spark.read.schema(RUN).json(path)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wattlake.operators.envelopes import array_envelopes, malformed, with_decoded
 from wattlake.operators.windows import tumble
+from wattlake.sources.files import write_readings
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -58,6 +59,19 @@ def table_sink(path: str) -> Sink:
     return write
 
 
+def readings_sink(path: str) -> Sink:
+    """Append readings to the store, ordered by batch.
+
+    A repeated batch appends the same readings under the same order again, which
+    `stored.upsert_latest` reduces to one on reading, like any second write of a key.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_readings(batch, path, order=F.lit(batch_id))
+
+    return write
+
+
 class CarriedTables:
     """Tables that one micro-batch leaves for the next, in the shared folder.
 
