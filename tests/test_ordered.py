@@ -38,7 +38,7 @@ def brute():
     return numbers, sums, before
 
 
-@pytest.mark.parametrize("group_rows", [200, 10**6])
+@pytest.mark.parametrize("group_rows", [200, 600, 10**6])
 def test_against_brute_force(frame, group_rows):
     numbers, sums, before = brute()
     got = ordered.row_number(frame, ["k"], ["t", "id"], "n", group_rows)
@@ -64,9 +64,21 @@ def test_empty(frame, group_rows):
 
 
 def test_no_run_is_a_whole_hot_group(frame):
-    runs = ordered._runs(frame, ["k"], ["t", "id"], 200)
+    runs = ordered._runs(frame, ["k"], ["t", "id"], 15)
     sizes = runs.filter("k = 'hot'").groupBy(ordered.RUN).count().collect()
     assert len(sizes) > 3
     assert max(r["count"] for r in sizes) < 500 < frame.filter("k = 'hot'").count()
     same_time = runs.filter("k = 'hot' and t = 500").select(ordered.RUN).distinct().count()
     assert same_time > 1
+
+
+def test_only_large_groups_are_cut(frame):
+    cut = []
+
+    def in_runs(runs):
+        cut.extend(runs.select("k").distinct().collect())
+        return runs.drop(ordered.RUN)
+
+    got = ordered._by_size(frame, ["k"], ["t", "id"], 600, lambda rows: rows, in_runs)
+    assert [r.k for r in cut] == ["hot"] and got.count() == 3000
+    assert ordered._sizes(frame, ["k"], 10).large_rows == 3000

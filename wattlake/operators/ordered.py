@@ -2,15 +2,17 @@
 
 A window function sends a whole group to one task. That is the right plan while the
 groups are small, so their sizes are counted first (a map-side aggregate of the keys).
-Where a group is larger than `group_rows`, the rows are range-partitioned by keys and
-order instead, which cuts a group wherever it is too long, even among rows of the same
-time. Every run of rows then gets its window function on its own, and what the earlier
-runs of the same group hand on (a total, or a last row) is one row per run.
+Rows of groups larger than `group_rows` are range-partitioned by keys and order instead,
+which cuts a group wherever it is too long, even among rows of the same time. Every run of
+rows then gets its window function on its own, and what the earlier runs of the same group
+hand on (a total, or a last row) is one row per run.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,39 +24,72 @@ GROUP_ROWS = 5_000_000
 # Runs get longer rather than more numerous beyond this, unless the session itself has
 # more shuffle partitions; a run is sorted with spilling.
 MAX_RUNS = 10_000
+# Lists of large groups up to this length are broadcast.
+BROADCAST_GROUPS = 100_000
 RUN = "_run"
 
 
-def _group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest group, and of all."""
-    sizes = df.groupBy(*keys).count()
-    largest, all_rows = sizes.agg(F.max("count"), F.sum("count")).first()
-    return largest or 0, all_rows or 0
+class _Sizes(NamedTuple):
+    rows: int
+    large_groups: int
+    large_rows: int
 
 
-def _runs(df: DataFrame, keys: list[str], order: list[str], group_rows: int) -> DataFrame | None:
-    """`df` with a run number that grows with the order, or None if no group needs it.
+def _sizes(df: DataFrame, keys: list[str], group_rows: int) -> _Sizes:
+    large = F.col("count") > group_rows
+    counts = df.groupBy(*keys).count()
+    row = counts.agg(F.sum("count"), F.count_if(large), F.sum(F.when(large, F.col("count"))))
+    return _Sizes(*[value or 0 for value in row.first()])
+
+
+def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+    """Equal keys; null is a group of its own."""
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def _runs(df: DataFrame, keys: list[str], order: list[str], wanted: int) -> DataFrame:
+    """`df` with a run number that grows with the order.
 
     The run number depends on the sampled bounds of this one shuffle, so it is written down
     before anything else uses it.
     """
-    largest, all_rows = _group_sizes(df, keys)
-    if largest <= group_rows:
-        return None
-    wanted = min(math.ceil(all_rows / max(group_rows, 1)), MAX_RUNS)
-    n = max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *keys, *order)
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(max(min(wanted, MAX_RUNS), shuffled), *keys, *order)
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
 
+def _by_size(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    group_rows: int,
+    whole: Callable[[DataFrame], DataFrame],
+    in_runs: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """`whole` for the groups that fit one task, `in_runs` for the others."""
+    sizes = _sizes(df, keys, group_rows)
+    if not sizes.large_groups:
+        return whole(df)
+    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
+    if sizes.large_rows == sizes.rows:
+        return in_runs(_runs(df, keys, order, wanted))
+    large = df.groupBy(*keys).count().filter(F.col("count") > group_rows).select(*keys)
+    listed = written(large, "large-groups")
+    if sizes.large_groups <= BROADCAST_GROUPS:
+        listed = F.broadcast(listed)
+    rows, groups = df.alias("r"), listed.alias("g")
+    small = rows.join(groups, _same("r", "g", keys), "left_anti")
+    rest = rows.join(groups, _same("r", "g", keys), "left_semi")
+    return whole(small).unionByName(in_runs(_runs(rest, keys, order, wanted)))
+
+
 def _with_carry(runs: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the carry. Null keys match null keys.
+    """Add the carry.
 
     Only the first group of a run can have begun in an earlier one, so the carry has
     at most one row per run, that is, per shuffle partition: small enough to broadcast.
     """
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    on.append(F.col(f"r.{RUN}") == F.col(f"c.{RUN}"))
+    on = [*_same("r", "c", keys), F.col(f"r.{RUN}") == F.col(f"c.{RUN}")]
     continued = F.broadcast(carry.filter("_carry is not null"))
     return runs.alias("r").join(continued.alias("c"), on, "left").select("r.*", "c._carry")
 
@@ -71,21 +106,23 @@ def running_sum(
 
     `order` must be unique within a group.
     """
-    runs = _runs(df, keys, order, group_rows)
-    if runs is None:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(weight).over(w))
-    w = W.partitionBy(*keys, RUN).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    earlier = W.partitionBy(*keys).orderBy(RUN).rowsBetween(W.unboundedPreceding, -1)
-    carry = (
-        runs.groupBy(*keys, RUN)
-        .agg(F.sum(weight).alias("_total"))
-        .withColumn("_carry", F.sum("_total").over(earlier))
-        .drop("_total")
-    )
-    summed = _with_carry(runs.withColumn(name, F.sum(weight).over(w)), carry, keys)
-    total = F.col(name) + F.coalesce(F.col("_carry"), F.lit(0))
-    return summed.withColumn(name, total).drop(RUN, "_carry")
+
+    def so_far(*groups: str) -> Column:
+        frame = W.partitionBy(*groups).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return F.sum(weight).over(frame)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, so_far(*keys))
+
+    def in_runs(runs: DataFrame) -> DataFrame:
+        earlier = W.partitionBy(*keys).orderBy(RUN).rowsBetween(W.unboundedPreceding, -1)
+        totals = runs.groupBy(*keys, RUN).agg(F.sum(weight).alias("_total"))
+        carry = totals.withColumn("_carry", F.sum("_total").over(earlier)).drop("_total")
+        summed = _with_carry(runs.withColumn(name, so_far(*keys, RUN)), carry, keys)
+        total = F.col(name) + F.coalesce(F.col("_carry"), F.lit(0))
+        return summed.withColumn(name, total).drop(RUN, "_carry")
+
+    return _by_size(df, keys, order, group_rows, whole, in_runs)
 
 
 def row_number(
@@ -109,16 +146,19 @@ def previous(
 ) -> DataFrame:
     """Add a struct of `columns` of the row before; null for the first row of a group."""
     row = F.struct(*columns)
-    runs = _runs(df, keys, order, group_rows)
-    if runs is None:
-        return df.withColumn(name, F.lag(row).over(W.partitionBy(*keys).orderBy(*order)))
-    last = F.max_by(row, F.struct(*order)).alias("_last")
-    carry = (
-        runs.groupBy(*keys, RUN)
-        .agg(last)
-        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(RUN)))
-        .drop("_last")
-    )
-    before = F.lag(row).over(W.partitionBy(*keys, RUN).orderBy(*order))
-    joined = _with_carry(runs.withColumn(name, before), carry, keys)
-    return joined.withColumn(name, F.coalesce(name, "_carry")).drop(RUN, "_carry")
+
+    def before(*groups: str) -> Column:
+        return F.lag(row).over(W.partitionBy(*groups).orderBy(*order))
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, before(*keys))
+
+    def in_runs(runs: DataFrame) -> DataFrame:
+        last = F.max_by(row, F.struct(*order)).alias("_last")
+        earlier = F.lag("_last").over(W.partitionBy(*keys).orderBy(RUN))
+        lasts = runs.groupBy(*keys, RUN).agg(last)
+        carry = lasts.withColumn("_carry", earlier).drop("_last")
+        linked = _with_carry(runs.withColumn(name, before(*keys, RUN)), carry, keys)
+        return linked.withColumn(name, F.coalesce(name, "_carry")).drop(RUN, "_carry")
+
+    return _by_size(df, keys, order, group_rows, whole, in_runs)
