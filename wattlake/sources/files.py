@@ -79,14 +79,25 @@ def append_envelopes(envelopes: DataFrame, path: str) -> None:
     envelopes.write.mode("append").parquet(path)
 
 
+def _landed(lines: DataFrame) -> DataFrame:
+    arrived = F.col("_metadata.file_modification_time").alias("received_at")
+    return parse_map_envelopes(lines.select("value", arrived))
+
+
 def read_map_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Envelopes posted to a landing folder, one JSON object per line.
 
     They are stamped with the time their file arrived.
     """
-    lines = spark.read.text(path)
-    arrived = F.col("_metadata.file_modification_time").alias("received_at")
-    return parse_map_envelopes(lines.select("value", arrived))
+    return _landed(spark.read.text(path))
+
+
+def stream_map_envelopes(
+    spark: SparkSession, path: str, files_per_trigger: int = 1000
+) -> DataFrame:
+    """The same, as a stream of new files."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    return _landed(reader.text(path))
 
 
 def stream_kafka_files(

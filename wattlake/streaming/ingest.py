@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.rules import valid_only
+from wattlake.operators.envelopes import dealt, envelope_columns
 from wattlake.operators.windows import metric_columns, tumble
-from wattlake.schemas import METRIC_FIELDS, SOURCE_KEYS
+from wattlake.schemas import SOURCE_KEYS
 
 DELAY = "1 minute"
 
@@ -35,11 +36,8 @@ def envelope_stream(
     valid = valid_only(readings).withWatermark("ts", delay)
     window = F.window("ts", duration).alias("window")
     metrics = valid.groupBy(window, *SOURCE_KEYS, "meter_id").agg(*metric_columns(exact))
-    part = F.pmod(F.xxhash64("meter_id"), F.lit(parts)).cast("int").alias("part")
-    packed = F.sort_array(F.collect_list(F.struct(*METRIC_FIELDS)))
-    nested = metrics.groupBy("window", *SOURCE_KEYS, part).agg(
-        F.sum("count").alias("total_count"), packed.alias("metrics")
-    )
+    rows = dealt(metrics, F.lit(parts), ["window", *SOURCE_KEYS])
+    nested = rows.groupBy("window", *SOURCE_KEYS, "part").agg(*envelope_columns(False))
     return nested.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
