@@ -11,7 +11,7 @@ hand on (a total, or a last row) is one row per run.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -35,19 +35,19 @@ class _Sizes(NamedTuple):
     large_rows: int
 
 
-def _sizes(df: DataFrame, keys: list[str], group_rows: int) -> _Sizes:
+def _sizes(df: DataFrame, keys: Sequence[str], group_rows: int) -> _Sizes:
     large = F.col("count") > group_rows
     counts = df.groupBy(*keys).count()
     row = counts.agg(F.sum("count"), F.count_if(large), F.sum(F.when(large, F.col("count"))))
     return _Sizes(*[value or 0 for value in row.first()])
 
 
-def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+def _same(left: str, right: str, keys: Sequence[str]) -> list[Column]:
     """Equal keys; null is a group of its own."""
     return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
 
 
-def _runs(df: DataFrame, keys: list[str], order: list[str], wanted: int) -> DataFrame:
+def _runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], wanted: int) -> DataFrame:
     """`df` with a run number that grows with the order.
 
     The run number depends on the sampled bounds of this one shuffle, so it is written down
@@ -60,8 +60,8 @@ def _runs(df: DataFrame, keys: list[str], order: list[str], wanted: int) -> Data
 
 def _by_size(
     df: DataFrame,
-    keys: list[str],
-    order: list[str],
+    keys: Sequence[str],
+    order: Sequence[str],
     group_rows: int,
     whole: Callable[[DataFrame], DataFrame],
     in_runs: Callable[[DataFrame], DataFrame],
@@ -83,7 +83,7 @@ def _by_size(
     return whole(small).unionByName(in_runs(_runs(rest, keys, order, wanted)))
 
 
-def _with_carry(runs: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+def _with_carry(runs: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the carry.
 
     Only the first group of a run can have begun in an earlier one, so the carry has
@@ -96,8 +96,8 @@ def _with_carry(runs: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame
 
 def running_sum(
     df: DataFrame,
-    keys: list[str],
-    order: list[str],
+    keys: Sequence[str],
+    order: Sequence[str],
     weight: Column,
     name: str,
     group_rows: int = GROUP_ROWS,
@@ -127,8 +127,8 @@ def running_sum(
 
 def row_number(
     df: DataFrame,
-    keys: list[str],
-    order: list[str],
+    keys: Sequence[str],
+    order: Sequence[str],
     name: str,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
@@ -138,9 +138,9 @@ def row_number(
 
 def previous(
     df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    columns: list[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
     name: str,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,7 +86,7 @@ def _picked(wanted: dict[str, float]) -> tuple[list[Column], list[Column]]:
 
 def distribution(
     df: DataFrame,
-    keys: list[str],
+    keys: Sequence[str],
     column: str,
     exact: bool = False,
     approximate: bool = False,
@@ -150,14 +152,14 @@ def distribution(
     )
 
 
-RUN_MEASURES = ["readings_per_sec", "avg_us_per_read", "peak_mem_mb"]
+RUN_MEASURES = ("readings_per_sec", "avg_us_per_read", "peak_mem_mb")
 
 
 def compare_runs(
     runs: DataFrame,
     first: str,
     second: str,
-    measures: list[str] = RUN_MEASURES,
+    measures: Sequence[str] = RUN_MEASURES,
     exact: bool = False,
 ) -> DataFrame:
     """Mean and population deviation of each measure for two languages, side by side per
@@ -186,7 +188,7 @@ def compare_runs(
     return both.select("*", *ratios).orderBy("meters")
 
 
-def comparison_range(compared: DataFrame, measures: list[str] = RUN_MEASURES) -> DataFrame:
+def comparison_range(compared: DataFrame, measures: Sequence[str] = RUN_MEASURES) -> DataFrame:
     """The smallest and largest ratio and means over all numbers of meters."""
     columns = []
     for m in measures:

@@ -5,6 +5,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -45,7 +46,7 @@ def merge_columns(exact: bool = False) -> list[Column]:
 
 
 def merge_metrics(
-    metrics: DataFrame, keys: list[str] = ["meter_id"], exact: bool = False
+    metrics: DataFrame, keys: Sequence[str] = ("meter_id",), exact: bool = False
 ) -> DataFrame:
     return metrics.groupBy(*keys).agg(*merge_columns(exact))
 
@@ -288,7 +289,7 @@ def windows_per_collector(windows: DataFrame) -> DataFrame:
     return named.groupBy("collector_id").agg(F.count(F.lit(1)).alias("windows"))
 
 
-def latest_window(windows: DataFrame, arrival: list[str] = ["received_at"]) -> DataFrame:
+def latest_window(windows: DataFrame, arrival: Sequence[str] = ("received_at",)) -> DataFrame:
     """The window that arrived last."""
     row = F.max_by(F.struct(*windows.columns), F.struct(*arrival)).alias("_w")
     return windows.agg(row).filter("_w is not null").select("_w.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from wattlake.functions.columns import instant, whole_second
 
 
 def upsert_latest(
-    readings: DataFrame, grain: str = "second", order: list[str] = ["event_id"]
+    readings: DataFrame, grain: str = "second", order: Sequence[str] = ("event_id",)
 ) -> DataFrame:
     """One reading per meter and `grain` of time: the last one written, by `order`.
 

@@ -8,6 +8,7 @@ A metric table has one row per window and meter.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from wattlake.functions.rules import anomaly_code
 from wattlake.operators import ordered
 from wattlake.schemas import SOURCE_KEYS, window_keys
 
-ORDER = ["ts", "event_id"]
+ORDER = ("ts", "event_id")
 _MEASURES = [
     "count",
     "sum_kwh",
@@ -75,7 +76,7 @@ def metric_columns(exact: bool = False) -> list[Column]:
     return [F.expr(measure).alias(name) for name, measure in measures.items()]
 
 
-def aggregate_meters(readings: DataFrame, keys: list[str], exact: bool = False) -> DataFrame:
+def aggregate_meters(readings: DataFrame, keys: Sequence[str], exact: bool = False) -> DataFrame:
     return readings.groupBy(*keys).agg(*metric_columns(exact))
 
 
@@ -93,7 +94,7 @@ def tumble(readings: DataFrame, duration: str, exact: bool = False) -> DataFrame
 
 
 def _counted(
-    readings: DataFrame, keys: list[str], n: int, order: list[str], exact: bool, group_rows: int
+    readings: DataFrame, keys: Sequence[str], n: int, order: Sequence[str], exact: bool, group_rows: int
 ) -> DataFrame:
     """Metrics per (keys, window_seq, meter) where every n-th row of `keys` closes a window.
 
@@ -120,7 +121,7 @@ def _counted(
 def tumble_count(
     readings: DataFrame,
     n: int,
-    order: list[str] = ORDER,
+    order: Sequence[str] = ORDER,
     exact: bool = False,
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:
@@ -161,7 +162,7 @@ def tumble_hybrid(
     readings: DataFrame,
     duration: str | None,
     n: int,
-    order: list[str] = ORDER,
+    order: Sequence[str] = ORDER,
     exact: bool = False,
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:
@@ -220,7 +221,7 @@ def contiguous_bounds(
 
 def with_anomaly(
     readings: DataFrame,
-    order: list[str] = ORDER,
+    order: Sequence[str] = ORDER,
     nan: str = "reject",
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:

@@ -10,6 +10,8 @@ The results equal those of the batch operators as long as batches arrive in orde
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ class Anomalies:
         spark: SparkSession,
         state: str,
         sink: Sink,
-        order: list[str] = ORDER,
+        order: Sequence[str] = ORDER,
         nan: str = "reject",
         group_rows: int = ordered.GROUP_ROWS,
     ) -> None:
@@ -83,7 +85,7 @@ class HybridWindows:
         duration: str | None,
         n: int,
         delay: str = "1 minute",
-        order: list[str] = ORDER,
+        order: Sequence[str] = ORDER,
         exact: bool = False,
         group_rows: int = ordered.GROUP_ROWS,
     ) -> None:
