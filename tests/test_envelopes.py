@@ -140,3 +140,18 @@ def test_go_style_times_in_map_form(spark):
     row = envelopes.parse_map_envelopes(frame).first()
     assert since(row.window_start) == pytest.approx(0.123456) and since(row.window_end) == 30
     assert EPOCH.year == 2024
+
+
+def test_json_is_decoded_once_per_message(spark, tmp_path):
+    messages(spark, [encoded()]).write.parquet(str(tmp_path / "k"))
+    rows = spark.read.parquet(str(tmp_path / "k"))
+    good, bad = envelopes.parse_array_envelopes(rows)
+    texts = spark.createDataFrame([("{}",)], "value string")
+    for frame in (
+        envelopes.explode_metrics(envelopes.apply_defaults(good)),
+        bad,
+        envelopes.explode_metrics(envelopes.parse_map_envelopes(texts)),
+    ):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert text.count("from_json") == 1
+        assert text.count("transform(") <= 2

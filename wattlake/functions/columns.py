@@ -141,3 +141,12 @@ def to_rfc3339(ts: Column) -> Column:
 def from_rfc3339(text: Column) -> Column:
     """Accepts offsets and up to nine decimals; keeps six. Null if it is no time."""
     return text.try_cast("timestamp")
+
+
+def with_computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters use.
+
+    Filters are pushed below a projection by repeating its expression, and JSON would be
+    decoded again for each mention. The output of a generator is not repeated.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlake.functions.columns import from_micros, to_micros
+from wattlake.functions.columns import from_micros, to_micros, with_computed_once
 from wattlake.operators.windows import total
 from wattlake.schemas import (
     ARRAY_ENVELOPE,
@@ -96,9 +96,13 @@ def metric_array(envelopes: DataFrame) -> Column:
 
 
 def explode_metrics(envelopes: DataFrame) -> DataFrame:
-    """One row per (envelope, meter); metrics without a meter id are dropped."""
+    """One row per (envelope, meter); metrics without a meter id are dropped.
+
+    The outer form spares a test for empty arrays, which would compute the array twice; what
+    it gives for them has no meter id.
+    """
     keep = [c for c in envelopes.columns if c not in ("metrics", "part")]
-    rows = envelopes.select(*keep, F.explode(metric_array(envelopes)).alias("_m"))
+    rows = envelopes.select(*keep, F.explode_outer(metric_array(envelopes)).alias("_m"))
     return rows.filter("_m.meter_id is not null and _m.meter_id <> ''").select(*keep, "_m.*")
 
 
@@ -213,7 +217,7 @@ def with_decoded(rows: DataFrame) -> DataFrame:
     a field of the wrong type.
     """
     text = F.try_validate_utf8(F.col("value").cast("string"))
-    decoded = rows.withColumn("_d", _decode(text, ARRAY_ENVELOPE))
+    decoded = with_computed_once(rows, "_d", _decode(text, ARRAY_ENVELOPE))
     sound = F.col("_d").isNotNull() & F.col(f"_d.{CORRUPT}").isNull()
     return decoded.withColumn("envelope", F.when(sound, F.col("_d"))).drop("_d")
 
@@ -291,7 +295,7 @@ def to_map_json(envelopes: DataFrame) -> DataFrame:
 def parse_map_envelopes(rows: DataFrame) -> DataFrame:
     """Sound envelopes of rows (value, received_at). Empty and malformed bodies are left out."""
     carried = [c for c in rows.columns if c != "value"]
-    decoded = rows.withColumn("_d", _decode(F.col("value"), MAP_ENVELOPE))
+    decoded = with_computed_once(rows, "_d", _decode(F.col("value"), MAP_ENVELOPE))
     sound = decoded.filter(f"_d is not null and _d.{CORRUPT} is null")
     fields = [F.col(f"_d.{f}").alias(f) for f in MAP_ENVELOPE.fieldNames() if f != "part"]
     part = F.coalesce(F.col("_d.part"), F.lit(0)).alias("part")

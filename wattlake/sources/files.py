@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattlake.functions.columns import with_computed_once
 from wattlake.operators.envelopes import parse_map_envelopes
 from wattlake.schemas import FLAT_METRIC, KAFKA_ROW, READING, READING_JSON, RUN
 
@@ -26,7 +27,7 @@ def _decoded(lines: DataFrame) -> DataFrame:
     a query asks for, and a defect elsewhere in the line would go unnoticed.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    rows = lines.select(F.from_json("value", _LINE, options).alias("r"))
+    rows = with_computed_once(lines, "r", F.from_json("value", _LINE, options))
     return rows.filter(f"r is not null and r.{_CORRUPT} is null").select(
         "r.meter_id", F.col("r.timestamp").alias("ts"), "r.kwh", "r.voltage", "r.current"
     )
