@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from conftest import at, since
-from pyspark.sql import functions as F
 
 from wattlake.operators import envelopes, profile, rollups, windows
 
@@ -186,4 +185,3 @@ def test_summaries_agree(make):
     flat = {tuple(r) for r in envelopes.summarize(table).collect()}
     nested = envelopes.summarize_envelopes(envelopes.nest_map(table, 2))
     assert {tuple(r) for r in nested.select(envelopes.summarize(table).columns).collect()} == flat
-    assert F is not None
