@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import exact, license_scan, shards
+from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,35 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
-QUERIES = [op1_license_scan, op2_interleaved_shards, op3_exact_dedup]
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), path)
+    return bpe.decode_ids(coded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, size=2048)
+
+
+QUERIES = [
+    op1_license_scan,
+    op2_interleaved_shards,
+    op3_exact_dedup,
+    op5_token_counts,
+    op6_bpe_round_trip,
+    op8_packing,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

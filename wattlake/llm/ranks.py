@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-#: Rows that a bucket holds on average if all rows are in one group. It sets how finely the work
-#: is cut, and never changes a rank.
-BUCKET_ROWS = 20_000
+#: Rows that a bucket holds on average if all rows are in one group, and the most buckets of a
+#: group (each is a row of a running sum). They set how finely the work is cut, never a rank.
+BUCKET_ROWS = 2_000
+MAX_BUCKETS = 100_000
 
 
 def even(value: Column) -> Column:
@@ -37,24 +38,23 @@ def ranked(
     in `group` is a group of its own. `rows` is read twice, so it should be a written table. An
     empty input gives an empty result.
     """
-    buckets = max(1, ceil(rows.count() / BUCKET_ROWS))
+    buckets = min(MAX_BUCKETS, max(1, ceil(rows.count() / BUCKET_ROWS)))
     keys = [*group, "_bucket"]
     cut = rows.withColumn("_bucket", F.floor(F.col(order) * buckets).cast("int"))
     before = W.Window.partitionBy(*group).orderBy("_bucket")
+    before = before.rowsBetween(W.Window.unboundedPreceding, -1)
     sizes = (
         cut.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_before", F.coalesce(F.sum("_rows").over(before.rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
-        )
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .withColumn(size, F.sum("_rows").over(W.Window.partitionBy(*group)))
-        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_before", size)
+        .select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_before", size)
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     inside = W.Window.partitionBy(*keys).orderBy(order, *ties)
     return (
         cut.withColumn("_inside", F.row_number().over(inside))
         .join(sizes, same)
         .withColumn(rank, F.col("_before") + F.col("_inside") - 1)
-        .drop("_inside", "_before", "_bucket", *[f"_of_{k}" for k in keys])
+        .drop("_inside", "_before", "_bucket", *[f"_key_{k}" for k in keys])
     )
