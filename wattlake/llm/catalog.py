@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts
+import wattlake
+from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts, toxicity
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let the Python workers import this package from where the driver has it.
+
+    Needed where the package isn't installed and lies on a path that all machines see.
+    """
+    root = str(Path(wattlake.__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        paths = [x for x in (known, root) if x]
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(paths)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,6 +66,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, size=2048)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.col("toxicity.passages").alias("passages"),
+    )
+
+
 QUERIES = [
     op1_license_scan,
     op2_interleaved_shards,
@@ -57,6 +86,7 @@ QUERIES = [
     op5_token_counts,
     op6_bpe_round_trip,
     op8_packing,
+    op10_toxicity,
 ]
 
 
