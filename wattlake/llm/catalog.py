@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wattlake
-from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts, toxicity
+from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts, toxicity, vectors
 
 
 def reachable(spark: SparkSession) -> None:
@@ -66,6 +66,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, size=2048)
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.embedding_links(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -86,6 +90,7 @@ QUERIES = [
     op5_token_counts,
     op6_bpe_round_trip,
     op8_packing,
+    op9_vector_dedup,
     op10_toxicity,
 ]
 
