@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wattlake
-from wattlake.llm import bpe, exact, license_scan, packing, shards, token_counts, toxicity, vectors
+from wattlake.llm import bpe, exact, license_scan, neardup, packing, shards, token_counts, toxicity, vectors
 
 
 def reachable(spark: SparkSession) -> None:
@@ -45,6 +45,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = neardup.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, limit=1024)
@@ -87,6 +92,7 @@ QUERIES = [
     op1_license_scan,
     op2_interleaved_shards,
     op3_exact_dedup,
+    op4_near_dedup,
     op5_token_counts,
     op6_bpe_round_trip,
     op8_packing,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,19 @@ def connected(edges: DataFrame) -> DataFrame:
             )
         before = state
         pairs = written(small_star(large_star(pairs)), "links")
+
+
+def block_roots(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the nodes of rows and of columns the smallest node that links of a block connect.
+
+    `linked` is a matrix of booleans. The smallest node is passed on along the links until
+    nothing changes; one edge for each node says then what all links of the block say.
+    """
+    most = np.iinfo(np.int64).max
+    root, far = rows.copy(), columns.copy()
+    while True:
+        to = np.minimum(far, np.where(linked, root[:, None], most).min(0, initial=most))
+        back = np.minimum(root, np.where(linked, to[None], most).min(1, initial=most))
+        if (to == far).all() and (back == root).all():
+            return root, far
+        root, far = back, to

@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.components import connected
+from wattlake.llm.components import block_roots, connected
 from wattlake.session import written
 
 #: Vectors that the index is fitted on at most, those with the lowest hash. All are indexed.
@@ -182,15 +182,7 @@ def block_links(table: pa.Table, index: Broadcast, within: float, least: float)
     if not len(rows):
         return schema.empty_table()
     links = linked @ held["copies"].to_numpy()[columns]
-    # The smallest node that is connected: pass it on along the links until nothing changes.
-    root, far = node[rows].copy(), other[columns].copy()
-    most = np.iinfo(np.int64).max
-    while True:
-        to = np.minimum(far, np.where(linked, root[:, None], most).min(0))
-        back = np.minimum(root, np.where(linked, to[None], most).min(1))
-        if (to == far).all() and (back == root).all():
-            break
-        root, far = back, to
+    root, far = block_roots(linked, node[rows], other[columns])
     return pa.Table.from_arrays(
         [
             pa.array(np.concatenate([node[rows], other[columns]])),
