@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -17,7 +18,9 @@ from wattlake.llm.pretokens import (
 
 #: Characters of text whose new pre-tokens are merged together: the index covers the distinct
 #: pre-tokens of such a block of a partition, so its size is bounded.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
+#: Runs whose ids a worker remembers.
+RUNS = 200_000
 #: Bits of an id in a pair's key.
 SHIFT = 20
 
@@ -146,8 +149,8 @@ class Encoder:
     def __init__(self, path: str):
         self.merges = Merges(path)
         self.special = {x: n.to_bytes(4, "little") for x, n in special_strings(path).items()}
-        self.spaced = Cache(None)
-        self.plain = Cache(None)
+        self.spaced = Cache(None, RUNS)
+        self.plain = Cache(None, RUNS // 8)
 
     def learn(self, wanted: set[str], spaced: bool, known: dict[str, bytes]) -> None:
         """Put the ids of runs into `known` and the cache."""
@@ -199,11 +202,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def blocks(texts: list[str], chars: int = BLOCK_CHARS) -> Iterator[list[str]]:
+def blocks(texts: list[str | None], chars: int = BLOCK_CHARS) -> Iterator[list[str]]:
     block, size = [], 0
     for text in texts:
         block.append(text)
-        size += len(text)
+        size += len(text or "")
         if size >= chars:
             yield block
             block, size = [], 0
@@ -254,3 +257,35 @@ def decode_ids(coded: DataFrame, path: str, row_id: str = "doc_id", ids: str = "
         lambda batches: decoded(batches, path, schema), "id bigint, ids binary, decoded string"
     )
     return out.withColumnRenamed("id", row_id)
+
+
+def round_trip(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Encode and decode block by block; of ids and texts only the digests leave the task."""
+    own = encoder(path)
+    for batch in batches:
+        at = 0
+        for block in blocks(batch.column(1).to_pylist()):
+            ids = own.encode([x or "" for x in block])
+            text = [sha256(own.merges.decode(x).encode()).hexdigest() for x in ids]
+            columns = [[len(x) // 4 for x in ids], [sha256(x).hexdigest() for x in ids], text]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, len(block)), *arrays], schema=schema
+            )
+            at += len(block)
+
+
+def round_trip_digests(docs: DataFrame, path: str, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`row_id`, n_tokens, ids_sha256 and decoded_sha256 of `encode_texts` and `decode_ids`.
+
+    Both run in one Python worker, so that neither ids nor decoded texts are sent between.
+    """
+    schema = pa.schema(
+        [("id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    )
+    rows = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    out = rows.mapInArrow(
+        lambda batches: round_trip(batches, path, schema),
+        "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    )
+    return out.withColumnRenamed("id", row_id)

@@ -57,13 +57,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), path)
-    return bpe.decode_ids(coded, path).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), path)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
