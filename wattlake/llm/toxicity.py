@@ -377,8 +377,8 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     return Model(model.words, model.stems, rate, log_k, intercept, slope)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add the struct `toxicity`: score (0 to 1), passages (number of significant ones).
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
+    """Add the struct `name`: score (0 to 1), passages (number of significant ones).
 
     One row per row; nothing is shuffled. Null and empty texts get the score of no words.
     """
@@ -389,7 +389,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         scorer = Scorer(sent.value)
         return pd.DataFrame([scorer.score(x) for x in texts], columns=["score", "passages"])
 
-    return docs.withColumn("toxicity", scored(F.col(text)))
+    return docs.withColumn(name, scored(F.col(text)))
 
 
 def passages(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
