@@ -38,6 +38,8 @@ ERRORS, DRIFT = 1.0, 0.5
 HELD = 400_000
 #: Steps of the histograms that the calibration is made from.
 SCORE_STEP, STRENGTH_STEP, FARTHEST = 0.01, 0.05, 20.0
+#: The strength of a text without any word that speaks for toxicity, whatever its length.
+NOTHING = -5.0
 
 #: All ASCII but letters and digits is read as a space.
 WORD_BYTES = b"abcdefghijklmnopqrstuvwxyz0123456789"
@@ -249,11 +251,13 @@ class Scorer:
         """How far the segments exceed what clean text has, and the number of passages.
 
         The excesses of the significant segments are added; without any, it is the (negative)
-        distance of the strongest segment. A text without words has a strongest score of 0.
+        distance of the strongest segment. A text without any segment has the strength NOTHING.
         """
         scores = self.scores(text)
         top, least = best(np.cumsum(scores)), self.least(len(scores))
         over = [x[2] - least for x in segments(scores) if x[2] >= least] if top >= max(least, 1e-9) else []
+        if not top:
+            return NOTHING, 0
         return self.model.rate * (sum(over) if over else top - least), len(over)
 
     def score(self, text: str | None) -> tuple[float, int]:
@@ -369,6 +373,7 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     over = F.expr("filter(segments, x -> x >= least)")
     total = F.expr("aggregate(filter(segments, x -> x >= least), 0D, (a, x) -> a + x - least)")
     strength = rate * F.when(F.size(over) > 0, total).otherwise(top - F.col("least"))
+    strength = F.when(top > 0, strength).otherwise(F.lit(NOTHING))
     near = F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), strength))
     bins = rows.withColumn("least", least).groupBy("label", F.round(near / STRENGTH_STEP).alias("bin"))
     bins = bins.agg(F.count("*").alias("n")).toPandas()
