@@ -1,0 +1,166 @@
+import random
+from collections import Counter
+from zlib import crc32
+
+import duckdb
+import numpy as np
+import pytest
+from conftest_llm import ODD
+from pyspark.sql import functions as F
+from test_near import near_expected
+from test_tokens import check_packs
+
+import corpus_pipeline
+from wattlake.llm import catalog, oracle, toxicity
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def by_force(scores):
+    """Ruzzo and Tompa's definition: the best segment, then the same on both sides of it."""
+    out = []
+
+    def split(a, b):
+        best = max(((round(sum(scores[i:j]), 9), i - j, -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        if best and best[0] > 0:
+            # of equal segments the one that no longer one contains with all prefixes positive
+            out.append((best[3], best[4], best[0]))
+            split(a, best[3])
+            split(best[4], b)
+
+    split(0, len(scores))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_segments(seed):
+    rng = random.Random(seed)
+    scores = [rng.choice([-1, 1]) * (rng.random() + 1e-3 * k) for k in range(rng.randint(0, 25))]
+    want = by_force(scores)
+    got = [(a, b, round(s, 9)) for a, b, s in sorted(toxicity.segments(np.array(scores)))]
+    assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+    assert toxicity.best(np.cumsum(scores)) == pytest.approx(max([s for _, _, s in want], default=0.0))
+
+
+def test_decay():
+    scores, weights = np.array([-1.0, 2.0]), np.array([9.0, 1.0])
+    rate = toxicity.decay(scores, weights)
+    assert (weights * np.exp(rate * scores)).sum() / weights.sum() == pytest.approx(1)
+    assert toxicity.decay(np.array([]), np.array([])) == 1.0 == toxicity.decay(np.array([-1.0]), np.array([4.0]))
+
+
+def made(n=400):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    vocabulary = [word() for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(20, 200))]
+        if i % 5 == 0:
+            for k in rng.sample(range(len(words)), 6):
+                words[k] = rng.choice(["vile", "Nasty!", "rotten"])
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, int(i % 5 == 0)))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark, docs_of):
+    rows, labels = made()
+    rows += [(None, "vile " * 9, "s"), (1000, None, "s"), (1001, "", None), (1001, "", None), (1002, "Vile, NASTY! " * 30_000, "s")]
+    docs = docs_of(rows).withColumn("toxicity", F.lit("clash"))
+    model = toxicity.fit(docs, spark.createDataFrame(labels + [(None, 1), (3000, None), (3001, 1)], "doc_id bigint, toxic int"))
+    got = toxicity.score(docs, model, name="t").select("doc_id", "t.*").collect()
+    assert len(got) == len(rows)
+    scores = {r.doc_id: r.score for r in got if r.doc_id is not None}
+    truth = dict(labels)
+    held = [i for i in truth if crc32(str(i).encode()) % 5 == 0]
+    assert len(held) > 40 and all((scores[i] >= 0.5) == bool(truth[i]) for i in held)
+    assert all(0 <= r.score <= 1 for r in got) and scores[1000] == scores[1001] < 0.5 <= scores[1002]
+    spots = toxicity.passages(docs.where("doc_id = 0"), model).collect()
+    assert spots and all(r.end > r.first and r.strength > 0 for r in spots)
+
+
+def test_labels_of_the_held_out_fold_do_not_matter(spark, docs_of):
+    rows, labels = made(150)
+    docs = docs_of(rows)
+    turned = [(i, 1 - y if crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels]
+    models = [toxicity.fit(docs, spark.createDataFrame(x, "doc_id bigint, toxic int")) for x in (labels, turned)]
+    assert models[0].slope == models[1].slope and (models[0].words[0] == models[1].words[0]).all()
+
+
+@pytest.mark.parametrize("label", [None, 0, 1])
+def test_no_or_one_kind_of_labels(spark, odd, none, label):
+    labels = spark.createDataFrame([(i, label) for i in range(12)], "doc_id bigint, toxic int")
+    model = toxicity.fit(odd, labels)
+    assert all(0 <= r.t.score <= 1 for r in toxicity.score(odd, model, name="t").collect())
+    assert toxicity.score(none, toxicity.fit(none, labels), name="t").count() == 0
+
+
+def run_stages(spark, docs, folder, tmp_path):
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        out.append(docs)
+    return out
+
+
+def test_pipeline(spark, docs_of, tmp_path):
+    rows, labels = made()
+    clean = [r for r in rows if r[0] % 5]
+    rows += [(2000 + k, text.upper(), "s") for k, (_, text, _) in enumerate(clean[:20])]
+    rows += [(2100 + k, text + " tail", "s") for k, (_, text, _) in enumerate(clean[20:40])]
+    rows += [(3000, None, None), (3000, None, None), (3001, "", "s"), (None, "some words without an id", "s")]
+    docs = docs_of(rows).withColumn("_copy", F.lit(1)).withColumn("toxicity", F.lit(2))
+    folder = tmp_path / "in"
+    docs.write.parquet(str(folder / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(str(folder / "labels.parquet"))
+    stages = run_stages(spark, docs, str(folder), tmp_path)
+    assert all(x.columns == docs.columns for x in stages[:4])
+    text = {(i, t): (i, t, s) for i, t, s in rows}
+    first, second, third = ([(r.doc_id, r.text, r.source) for r in x.select("doc_id", "text", "source").collect()] for x in stages[1:4])
+    # All clean documents stay, all toxic ones go.
+    assert Counter(first) == Counter(r for r in rows if r[0] is None or r[0] >= 2000 or r[0] % 5)
+    winners = {}
+    for i, t, _ in first:
+        key = (t or "").encode().lower()
+        winners[key] = max(winners.get(key, -1), -1 if i is None else i)
+    assert Counter((i, (t or "").encode().lower()) for i, t, _ in second) == Counter((None if i < 0 else i, k) for k, i in winners.items())
+    want, number = near_expected(second)
+    assert len(third) == number and {i for i, _, _ in third} == {c for _, _, c in want}
+    check_packs(stages[4].collect(), [text[i, t] for i, t, _ in third], corpus_pipeline.SEQUENCE)
+    whole = corpus_pipeline.run(spark, str(folder)).collect()
+    assert Counter(map(tuple, whole)) == Counter(map(tuple, stages[4].collect()))
+
+
+def test_pipeline_of_nothing(spark, none, tmp_path):
+    none.write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    spark.createDataFrame([], "doc_id bigint, toxic int").write.parquet(str(tmp_path / "in" / "labels.parquet"))
+    assert [x.count() for x in run_stages(spark, none, str(tmp_path / "in"), tmp_path)] == [0] * 5
+
+
+def test_stages_take_odd_rows(spark, odd, tmp_path):
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int").write.parquet(str(tmp_path / "in" / "labels.parquet"))
+    stages = run_stages(spark, odd, str(tmp_path / "in"), tmp_path)
+    assert stages[1].count() <= len(ODD) and stages[4].count() > 0
+
+
+def duck():
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
+def test_queries_equal_their_statements(spark, name):
+    got = catalog.queries()[name](spark, SMALL)
+    want = duck().execute(oracle.statements()[name])
+    names = [x[0] for x in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(tuple(r[n] for n in names) for r in got.collect()) == Counter(want.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(oracle.statements())))
+def test_queries_run(spark, name):
+    assert catalog.queries()[name](spark, SMALL).count() > 0
