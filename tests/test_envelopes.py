@@ -53,6 +53,25 @@ def test_nest_then_explode_is_identity(metrics, nest, max_metrics):
         assert nested.count() == windows_count
 
 
+def test_only_windows_over_the_limit_are_split(make):
+    """A large window has exact parts; the others stay whole, and all measures are the same."""
+    rows = [(i, i, 1, 1.0 + i % 5) for i in range(40)] + [(100 + i, i, 70, 2.0) for i in range(7)]
+    table = windows.tumble(make(rows, total=40, shards=1), "60 seconds", exact=True)
+    for nest in (envelopes.nest_array, envelopes.nest_map):
+        parts, one = nest(table, 8), nest(table)
+        sizes = parts.select("window_start", "part", F.size("metrics").alias("n")).collect()
+        assert sorted((r.part, r.n) for r in sizes) == [(0, 7), (0, 8), (1, 8), (2, 8), (3, 8), (4, 8)]
+        for measure in (envelopes.with_envelope_totals, envelopes.envelope_summary, envelopes.summarize_envelopes):
+            got, want = (
+                {tuple(r) for r in measure(x).drop("metrics", "whole").collect()} for x in (parts, one)
+            )
+            assert got == want and len(want) == 2
+        assert envelopes.explode_metrics(parts).exceptAll(envelopes.explode_metrics(one)).count() == 0
+        assert rollups.dataset_info(parts).first()[0] == 2
+        assert tuple(rollups.service_stats(parts).first()) == (2, 47)
+        assert sum(r.windows for r in rollups.windows_per_collector(parts).collect()) == 2
+
+
 def test_flat_table(metrics, spark):
     flat = envelopes.flatten_metrics(envelopes.nest_array(metrics))
     assert len(flat.columns) == 12 and flat.count() == metrics.count()
@@ -76,7 +95,9 @@ def test_kafka_roundtrip(metrics):
 
 
 def test_malformed_messages(spark):
-    bad_values = [b"\xffA", b"{bad", b"[1]", None, b"null", b'"text"', b"",
+    twice = encoded() + encoded()
+    bad_values = [b"\xffA", b"{bad", b"[1]", None, b"null", b'"text"', b"", twice, encoded() + b" x",
+                  encoded().replace(b'"', b"'"), b"[" + encoded() + b"]", b"  ",
                   encoded(total_count="many"), encoded(metrics={"a": METRIC})]
     rows = messages(spark, [encoded(), *bad_values, encoded(collector_id="collector-2")])
     good, bad = envelopes.parse_array_envelopes(rows)
@@ -129,6 +150,8 @@ def test_map_form_from_landing_folder(spark, metrics, tmp_path):
     got = files.read_map_envelopes(spark, str(tmp_path / "landing"))
     assert as_set(envelopes.explode_metrics(got)) == as_set(metrics)
     assert got.count() == nested.count() and got.filter("received_at is null").count() == 0
+    rejected = files.rejected_map_envelopes(spark, str(tmp_path / "landing"))
+    assert {r.value for r in rejected.collect()} == {"{bad", "", "{}", "[1]"}
     newest = rollups.latest_window(got.select("window_end", "collector_id", "received_at"))
     assert newest.count() == 1
 
@@ -137,7 +160,7 @@ def test_go_style_times_in_map_form(spark):
     body = {"window_start": "2024-01-01T00:00:00.123456789Z", "window_end": "2024-01-01T02:00:30+02:00",
             "shard_id": 1, "collector_id": "c", "total_count": 0, "metrics": {}}
     frame = spark.createDataFrame([(json.dumps(body),)], "value string")
-    row = envelopes.parse_map_envelopes(frame).first()
+    row = envelopes.parse_map_envelopes(frame)[0].first()
     assert since(row.window_start) == pytest.approx(0.123456) and since(row.window_end) == 30
 
 
@@ -149,7 +172,7 @@ def test_json_is_decoded_once_per_message(spark, tmp_path):
     for frame in (
         envelopes.explode_metrics(envelopes.apply_defaults(good)),
         bad,
-        envelopes.explode_metrics(envelopes.parse_map_envelopes(texts)),
+        envelopes.explode_metrics(envelopes.parse_map_envelopes(texts)[0]),
     ):
         text = frame._jdf.queryExecution().executedPlan().toString()
         assert text.count("from_json") == 1

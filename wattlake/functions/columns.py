@@ -76,7 +76,20 @@ def meters_in_range(readings: DataFrame, start: int, end: int, total: int | None
 
 
 def meter(readings: DataFrame, identifier: str) -> DataFrame:
-    return readings.filter(F.col("meter_id") == identifier)
+    """The readings of one meter. Where its number is a column, that filter reaches the scan."""
+    one = readings.filter(F.col("meter_id") == identifier)
+    number = identifier.rpartition("-")[2]
+    if "meter_index" in readings.columns and number.isascii() and number.isdigit():
+        one = one.filter(F.col("meter_index") == int(number))
+    return one
+
+
+def write_order(readings: DataFrame) -> list[str]:
+    """The columns that tell which of two readings was written later."""
+    for columns in (["event_id"], ["ingest_order", "ingest_position"]):
+        if set(columns) <= set(readings.columns):
+            return columns
+    raise ValueError("give the order: there is neither event_id nor an ingest order")
 
 
 def _by_band(values: dict[str, object], hour: Column, other: object) -> Column:
@@ -134,8 +147,8 @@ def from_micros(micros: Column) -> Column:
 
 
 def to_rfc3339(ts: Column) -> Column:
-    """Text in the session time zone, which must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Text with the offset of the session time zone, which is Z in UTC."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
 def from_rfc3339(text: Column) -> Column:

@@ -1,9 +1,11 @@
 """Envelopes: the nested form of a window on the wire, and the ways in and out of it.
 
-In tables, windows are flat metric rows; they are nested only to be sent. A window whose
-meters may not fit one message becomes several envelopes with the same bounds: part 0, which
-announces the window, and parts 1, 2, ... with the meters, each with the readings of its own
-meters as `total_count`. Sums over envelopes stay the same, and windows are counted by part 0.
+In tables, windows are flat metric rows; they are nested only to be sent. A window with more
+meters than fit one message becomes several envelopes with the same bounds, parts 0, 1, ... in
+the order of meters, each with the readings of its own meters as `total_count`. Other windows
+stay in one part. Every part of a split window also carries what the whole window has (`whole`),
+so that what is read from parts is the same as from one envelope: `explode_metrics` gives the
+window's count, and totals and summaries have one row per window, made from part 0.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlake.functions.columns import from_micros, to_micros, with_computed_once
+from wattlake.functions.columns import from_micros, to_micros
+from wattlake.functions.strict_json import with_body
+from wattlake.operators import ordered
 from wattlake.operators.windows import total
 from wattlake.schemas import (
     ARRAY_ENVELOPE,
@@ -26,24 +30,15 @@ from wattlake.schemas import (
 # Fixed value: what stands for a collector that did not give its name.
 UNKNOWN_COLLECTOR = "?"
 MAX_METRICS = 2000
-CORRUPT = "_corrupt"
 
 
 # --- nest ---------------------------------------------------------------------------
 
 
-def parts_needed(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> Column:
-    """The number of parts that the largest window needs, as a scalar subquery.
-
-    It is one number for the whole table, so that no row has to move to learn it.
-    """
-    sizes = metrics.groupBy(*window_keys(metrics)).agg(F.count(F.lit(1)).alias("n"))
-    needed = sizes.agg(F.ceil(F.max("n") / F.lit(max_metrics))).scalar()
-    return F.coalesce(needed, F.lit(1).cast("bigint"))
-
-
 def dealt(metrics: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
-    """Metrics as structs `_m`, dealt into parts by meter; `keep` names further columns.
+    """Metrics as structs `_m`, dealt into parts by a hash of the meter, for streams.
+
+    A stream cannot number the meters of a window. `keep` names further columns.
 
     With several parts, each row also stands for its window in part 0, without a metric.
     These rows combine to one per window and task before they are shuffled.
@@ -67,11 +62,37 @@ def envelope_columns(as_map: bool) -> list[Column]:
     return [count.alias("total_count"), packed.alias("metrics")]
 
 
+def numbered_parts(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> DataFrame:
+    """Metrics with their `part`, and `whole`: what the window has in all, null if it is one part.
+
+    Meters are numbered within their window, so no part has more than `max_metrics`, and the
+    parts of a window depend on nothing but the window.
+    """
+    keys = window_keys(metrics)
+    facts = metrics.groupBy(*keys).agg(
+        F.struct(
+            F.sum("count").alias("total_count"),
+            F.count(F.lit(1)).alias("num_meters"),
+            F.sum("sum_kwh").alias("total_kwh"),
+            F.sum("avg_kwh").alias("sum_of_avg_kwh"),
+        ).alias("_facts")
+    )
+    rows = ordered.row_number(metrics, keys, ["meter_id"], "_position")
+    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
+    joined = rows.alias("m").join(facts.alias("f"), same).select("m.*", "f._facts")
+    split = F.col("_facts.num_meters") > max_metrics
+    part = F.expr(f"cast((_position - 1) div {int(max_metrics)} as int)")
+    return joined.withColumns(
+        {"part": part, "whole": F.when(split, F.col("_facts"))}
+    ).drop("_position", "_facts")
+
+
 def _nest(metrics: DataFrame, as_map: bool, max_metrics: int) -> DataFrame:
     keys = window_keys(metrics)
-    rows = dealt(metrics, parts_needed(metrics, max_metrics), keys)
-    nested = rows.groupBy(*keys, "part").agg(*envelope_columns(as_map))
-    return nested.select(*keys, "total_count", "metrics", "part")
+    rows = numbered_parts(metrics, max_metrics)
+    rows = rows.select(*keys, "part", "whole", F.struct(*METRIC_FIELDS).alias("_m"))
+    nested = rows.groupBy(*keys, "part").agg(*envelope_columns(as_map), F.first("whole").alias("whole"))
+    return nested.select(*keys, "total_count", "metrics", "part", "whole")
 
 
 def nest_array(metrics: DataFrame, max_metrics: int = MAX_METRICS) -> DataFrame:
@@ -96,13 +117,14 @@ def metric_array(envelopes: DataFrame) -> Column:
 
 
 def explode_metrics(envelopes: DataFrame) -> DataFrame:
-    """One row per (envelope, meter); metrics without a meter id are dropped.
+    """One row per (envelope, meter) with the window's count; metrics without a meter id are dropped.
 
     The outer form spares a test for empty arrays, which would compute the array twice; what
     it gives for them has no meter id.
     """
-    keep = [c for c in envelopes.columns if c not in ("metrics", "part")]
-    rows = envelopes.select(*keep, F.explode_outer(metric_array(envelopes)).alias("_m"))
+    keep = [c for c in envelopes.columns if c not in ("metrics", "part", "whole")]
+    rows = envelopes.withColumn("total_count", _of_window(envelopes, "total_count", F.col("total_count")))
+    rows = rows.select(*keep, F.explode_outer(metric_array(envelopes)).alias("_m"))
     return rows.filter("_m.meter_id is not null and _m.meter_id <> ''").select(*keep, "_m.*")
 
 
@@ -111,7 +133,21 @@ def flatten_metrics(envelopes: DataFrame) -> DataFrame:
     return explode_metrics(envelopes).select(FLAT_METRIC.fieldNames())
 
 
-# --- per-envelope measures ------------------------------------------------------------
+# --- per-window measures --------------------------------------------------------------
+
+
+def first_parts(envelopes: DataFrame) -> DataFrame:
+    """One row per window: part 0. Tables without parts are windows already."""
+    if "part" not in envelopes.columns:
+        return envelopes
+    return envelopes.filter(F.coalesce("part", F.lit(0)) == 0)
+
+
+def _of_window(envelopes: DataFrame, field: str, own: Column) -> Column:
+    """A fact of the whole window: `own` if the envelope is all of it."""
+    if "whole" not in envelopes.columns:
+        return own
+    return F.coalesce(F.col(f"whole.{field}"), own)
 
 
 def _sum_field(envelopes: DataFrame, field: str) -> Column:
@@ -126,25 +162,29 @@ def _size(envelopes: DataFrame) -> Column:
 
 
 def with_envelope_totals(envelopes: DataFrame) -> DataFrame:
-    """Add the energy and the number of meters of each envelope."""
-    return envelopes.withColumns(
-        {"total_kwh": _sum_field(envelopes, "sum_kwh"), "num_meters": _size(envelopes)}
+    """One row per window: add its energy and number of meters, also of split windows."""
+    own = {"total_kwh": _sum_field(envelopes, "sum_kwh"), "num_meters": _size(envelopes)}
+    own |= {"total_count": F.col("total_count")}
+    return first_parts(envelopes).withColumns(
+        {name: _of_window(envelopes, name, value) for name, value in own.items()}
     )
 
 
 def envelope_summary(envelopes: DataFrame) -> DataFrame:
-    """What the intake answers: readings, meters, energy, and the mean of the averages.
+    """What the intake answers per window: readings, meters, energy, and the mean of the averages.
 
-    The mean does not weight meters by their readings; 0 for an envelope without meters.
+    The mean does not weight meters by their readings; 0 for a window without meters.
     """
     keys = window_keys(envelopes)
-    mean = F.try_divide(_sum_field(envelopes, "avg_kwh"), _size(envelopes))
-    return envelopes.select(
+    count = _of_window(envelopes, "total_count", F.col("total_count"))
+    meters = _of_window(envelopes, "num_meters", _size(envelopes))
+    averages = _of_window(envelopes, "sum_of_avg_kwh", _sum_field(envelopes, "avg_kwh"))
+    return first_parts(envelopes).select(
         *keys,
-        F.col("total_count").alias("received_count"),
-        _size(envelopes).alias("meters_count"),
-        _sum_field(envelopes, "sum_kwh").alias("total_kwh"),
-        F.coalesce(mean, F.lit(0.0)).alias("mean_of_avg_kwh"),
+        count.alias("received_count"),
+        meters.alias("meters_count"),
+        _of_window(envelopes, "total_kwh", _sum_field(envelopes, "sum_kwh")).alias("total_kwh"),
+        F.coalesce(F.try_divide(averages, meters), F.lit(0.0)).alias("mean_of_avg_kwh"),
     )
 
 
@@ -159,7 +199,7 @@ def summarize(metrics: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def summarize_envelopes(envelopes: DataFrame) -> DataFrame:
-    """One row per window from received envelopes: parts are put together again."""
+    """One row per window from received envelopes; envelopes of one window are added up."""
     keys = window_keys(envelopes)
     return (
         with_envelope_totals(envelopes)
@@ -190,7 +230,7 @@ def to_kafka_rows(envelopes: DataFrame) -> DataFrame:
         "collector_id",
         "total_count",
         F.transform(metric_array(envelopes), _wire_metric).alias("metrics"),
-        "part",
+        *[c for c in ("part", "whole") if c in envelopes.columns],
     )
     return envelopes.select(
         F.col("collector_id").cast("binary").alias("key"),
@@ -204,22 +244,14 @@ def _read_metric(m: Column) -> Column:
     return F.struct(*fields, *times)
 
 
-def _decode(text: Column, schema: T.StructType) -> Column:
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return F.from_json(text, full, options)
-
-
 def with_decoded(rows: DataFrame) -> DataFrame:
     """Add the decoded array envelope as `envelope`; null where the value is malformed.
 
-    Malformed is: no value, bytes that are not UTF-8, text that is not a JSON object, or
-    a field of the wrong type.
+    Malformed is: no value, bytes that are not UTF-8, text that is not exactly one JSON object,
+    or a field of the wrong type.
     """
     text = F.try_validate_utf8(F.col("value").cast("string"))
-    decoded = with_computed_once(rows, "_d", _decode(text, ARRAY_ENVELOPE))
-    sound = F.col("_d").isNotNull() & F.col(f"_d.{CORRUPT}").isNull()
-    return decoded.withColumn("envelope", F.when(sound, F.col("_d"))).drop("_d")
+    return with_body(rows, text, ARRAY_ENVELOPE, "envelope")
 
 
 def array_envelopes(decoded: DataFrame) -> DataFrame:
@@ -241,6 +273,7 @@ def array_envelopes(decoded: DataFrame) -> DataFrame:
         e["total_count"].alias("total_count"),
         F.transform(e["metrics"], _read_metric).alias("metrics"),
         F.coalesce(e["part"], F.lit(0)).alias("part"),
+        e["whole"].alias("whole"),
     )
 
 
@@ -287,21 +320,30 @@ def apply_defaults(envelopes: DataFrame) -> DataFrame:
 
 def to_map_json(envelopes: DataFrame) -> DataFrame:
     """(value): the envelope as JSON with metrics keyed by meter and RFC 3339 times."""
-    body = F.struct(*MAP_ENVELOPE.fieldNames())
+    body = F.struct(*[f for f in MAP_ENVELOPE.fieldNames() if f in envelopes.columns])
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     return envelopes.select(F.to_json(body, options).alias("value"))
 
 
-def parse_map_envelopes(rows: DataFrame) -> DataFrame:
-    """Sound envelopes of rows (value, received_at). Empty and malformed bodies are left out."""
-    carried = [c for c in rows.columns if c != "value"]
-    decoded = with_computed_once(rows, "_d", _decode(F.col("value"), MAP_ENVELOPE))
-    sound = decoded.filter(f"_d is not null and _d.{CORRUPT} is null")
-    fields = [F.col(f"_d.{f}").alias(f) for f in MAP_ENVELOPE.fieldNames() if f != "part"]
-    part = F.coalesce(F.col("_d.part"), F.lit(0)).alias("part")
-    # An object without any known field is an empty body.
-    named = [F.col(f"_d.{f}").isNotNull() for f in MAP_ENVELOPE.fieldNames()]
-    some = named[0]
-    for given in named[1:]:
-        some = some | given
-    return sound.filter(some).select(*carried, *fields, part)
+def with_decoded_map(rows: DataFrame) -> DataFrame:
+    """Add the decoded map envelope as `envelope`; null for malformed and empty bodies.
+
+    An object without any known field is an empty body.
+    """
+    decoded = with_body(rows, F.col("value"), MAP_ENVELOPE, "envelope")
+    given = [F.col(f"envelope.{f}").isNotNull() for f in MAP_ENVELOPE.fieldNames()]
+    return decoded.withColumn("envelope", F.when(F.greatest(*given), F.col("envelope")))
+
+
+def map_envelopes(decoded: DataFrame) -> DataFrame:
+    """The sound envelopes as columns, after the columns that came with the body."""
+    carried = [c for c in decoded.columns if c not in ("value", "envelope")]
+    fields = [F.col(f"envelope.{f}").alias(f) for f in MAP_ENVELOPE.fieldNames() if f != "part"]
+    part = F.coalesce(F.col("envelope.part"), F.lit(0)).alias("part")
+    return decoded.filter("envelope is not null").select(*carried, *fields, part)
+
+
+def parse_map_envelopes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sound envelopes, rejected bodies) of rows (value, received_at)."""
+    decoded = with_decoded_map(rows)
+    return map_envelopes(decoded), malformed(decoded)

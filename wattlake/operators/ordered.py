@@ -1,9 +1,9 @@
 """Row numbers, running sums and previous rows for groups of any size.
 
 A window function sends a whole group to one task. That is the right plan while the
-groups are small, so their sizes are counted first (a map-side aggregate of the keys).
-Rows of groups larger than `group_rows` are range-partitioned by keys and order instead,
-which cuts a group wherever it is too long, even among rows of the same time. Every run of
+groups are small, so their sizes are counted first (a map-side aggregate of the keys). If there
+are groups larger than `group_rows`, the input is written down once, and their rows are
+range-partitioned by keys and order instead, which cuts a group wherever it is too long, even among rows of the same time. Every run of
 rows then gets its window function on its own, and what the earlier runs of the same group
 hand on (a total, or a last row) is one row per run.
 """
@@ -21,16 +21,10 @@ from pyspark.sql import functions as F
 from wattlake.session import written
 
 GROUP_ROWS = 5_000_000
-# Runs get longer rather than more numerous beyond this, unless the session itself has
-# more shuffle partitions; a run is sorted with spilling.
-MAX_RUNS = 10_000
-# Lists of large groups up to this length are broadcast.
-BROADCAST_GROUPS = 100_000
 RUN = "_run"
 
 
 class _Sizes(NamedTuple):
-    rows: int
     large_groups: int
     large_rows: int
 
@@ -38,7 +32,7 @@ class _Sizes(NamedTuple):
 def _sizes(df: DataFrame, keys: Sequence[str], group_rows: int) -> _Sizes:
     large = F.col("count") > group_rows
     counts = df.groupBy(*keys).count()
-    row = counts.agg(F.sum("count"), F.count_if(large), F.sum(F.when(large, F.col("count"))))
+    row = counts.agg(F.count_if(large), F.sum(F.when(large, F.col("count"))))
     return _Sizes(*[value or 0 for value in row.first()])
 
 
@@ -54,7 +48,7 @@ def _runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], wanted: int)
     before anything else uses it.
     """
     shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(max(min(wanted, MAX_RUNS), shuffled), *keys, *order)
+    ranged = df.repartitionByRange(max(wanted, shuffled), *keys, *order)
     return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
 
 
@@ -70,16 +64,12 @@ def _by_size(
     sizes = _sizes(df, keys, group_rows)
     if not sizes.large_groups:
         return whole(df)
-    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
-    if sizes.large_rows == sizes.rows:
-        return in_runs(_runs(df, keys, order, wanted))
-    large = df.groupBy(*keys).count().filter(F.col("count") > group_rows).select(*keys)
-    listed = written(large, "large-groups")
-    if sizes.large_groups <= BROADCAST_GROUPS:
-        listed = F.broadcast(listed)
-    rows, groups = df.alias("r"), listed.alias("g")
+    stored = written(df, "ordered-rows")
+    large = stored.groupBy(*keys).count().filter(F.col("count") > group_rows).select(*keys)
+    rows, groups = stored.alias("r"), written(large, "large-groups").alias("g")
     small = rows.join(groups, _same("r", "g", keys), "left_anti")
     rest = rows.join(groups, _same("r", "g", keys), "left_semi")
+    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
     return whole(small).unionByName(in_runs(_runs(rest, keys, order, wanted)))
 
 
@@ -119,7 +109,8 @@ def running_sum(
         totals = runs.groupBy(*keys, RUN).agg(F.sum(weight).alias("_total"))
         carry = totals.withColumn("_carry", F.sum("_total").over(earlier)).drop("_total")
         summed = _with_carry(runs.withColumn(name, so_far(*keys, RUN)), carry, keys)
-        total = F.col(name) + F.coalesce(F.col("_carry"), F.lit(0))
+        # Null only where the run and what came before it have nothing to add.
+        total = F.coalesce(F.col(name) + F.col("_carry"), F.col(name), F.col("_carry"))
         return summed.withColumn(name, total).drop(RUN, "_carry")
 
     return _by_size(df, keys, order, group_rows, whole, in_runs)

@@ -42,15 +42,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 def _weighted_sum(value: Column, weight: Column, exact: bool) -> Column:
     if not exact:
         return F.sum(value * weight)
-    return F.sum(F.rint(value * 100.0).cast("bigint") * weight) / F.lit(100.0)
+    exact_value = value.cast("decimal(22,9)") * weight.cast("decimal(15,0)")
+    return F.sum(exact_value.cast("decimal(28,9)")).cast("double")
 
 
 def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
     """The exact form needs values with two decimals, whose squares have four."""
     if not exact:
         return F.sum(value * value * weight) / F.sum(weight)
-    hundredths = F.rint(value * 100.0).cast("decimal(12,0)")
-    squares = F.sum((hundredths * hundredths * weight.cast("decimal(12,0)")).cast("decimal(38,0)"))
+    hundredths = F.rint(value * 100.0).cast("decimal(18,0)")
+    squares = F.sum((hundredths * hundredths * weight.cast("decimal(18,0)")).cast("decimal(38,0)"))
     return squares.cast("double") / F.sum(weight) / F.lit(10000.0)
 
 

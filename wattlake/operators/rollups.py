@@ -8,12 +8,11 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattlake.functions.columns import instant
 from wattlake.functions.rules import with_validation
-from wattlake.operators.envelopes import UNKNOWN_COLLECTOR, summarize
+from wattlake.operators.envelopes import UNKNOWN_COLLECTOR, first_parts, summarize
 from wattlake.operators.windows import latest_n, seconds, total
 from wattlake.schemas import window_keys
 
@@ -125,17 +124,12 @@ def flat_summary(metrics: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-# Averages have no fixed decimals; where their sums must be exact, six are kept.
-_MICRO = 1_000_000.0
-
-
 def _mean_part(name: str, exact: bool) -> Column:
-    value = F.rint(F.col(name) * _MICRO).cast("bigint") if exact else F.col(name)
-    return F.sum(value)
+    return F.sum(F.col(name).cast("decimal(28,9)") if exact else F.col(name))
 
 
 def _mean_whole(name: str, exact: bool) -> Column:
-    amount = F.sum(name) / F.lit(_MICRO) if exact else F.sum(name)
+    amount = F.sum(name).cast("double") if exact else F.sum(name)
     return F.try_divide(amount, F.sum(f"n_{name}"))
 
 
@@ -277,27 +271,35 @@ def energy_series(windows: DataFrame, n: int = 500) -> DataFrame:
 
 
 def service_stats(windows: DataFrame) -> DataFrame:
+    """Windows and readings, of windows or of envelopes (a split window counts once)."""
+    first = F.coalesce("part", F.lit(0)) == 0 if "part" in windows.columns else F.lit(True)
     return windows.agg(
-        F.count(F.lit(1)).alias("total_windows"),
+        F.count_if(first).alias("total_windows"),
         F.coalesce(F.sum("total_count"), F.lit(0).cast("bigint")).alias("total_readings"),
     )
 
 
 def windows_per_collector(windows: DataFrame) -> DataFrame:
     """Windows without a collector id are left out here."""
-    named = windows.filter("collector_id is not null and collector_id <> ''")
+    named = first_parts(windows).filter("collector_id is not null and collector_id <> ''")
     return named.groupBy("collector_id").agg(F.count(F.lit(1)).alias("windows"))
 
 
 def latest_window(windows: DataFrame, arrival: Sequence[str] = ("received_at",)) -> DataFrame:
-    """The window that arrived last."""
-    row = F.max_by(F.struct(*windows.columns), F.struct(*arrival)).alias("_w")
+    """The window that arrived last; of those that arrived together, the one that ended last.
+
+    Windows that also ended together follow the order of their shard and collector.
+    """
+    windows = first_parts(windows)
+    ties = ("window_end", "window_start", "window_seq", "shard_id", "collector_id")
+    order = [*arrival, *[c for c in ties if c in windows.columns and c not in arrival]]
+    row = F.max_by(F.struct(*windows.columns), F.struct(*order)).alias("_w")
     return windows.agg(row).filter("_w is not null").select("_w.*")
 
 
 def dataset_info(windows: DataFrame) -> DataFrame:
-    """The size of a dataset in windows, not rows."""
-    return windows.agg(F.count(F.lit(1)).alias("total_records"))
+    """The size of a dataset in windows: neither in metrics nor in parts of split windows."""
+    return first_parts(windows).agg(F.count(F.lit(1)).alias("total_records"))
 
 
 def active_collectors(
@@ -309,8 +311,7 @@ def active_collectors(
         F.max_by("shard_id", F.struct("window_end", "shard_id")).alias("shard_id"),
         F.max("window_end").alias("last_seen"),
     )
-    # One row per collector is left here; the windows themselves are not read twice.
-    now = F.max("last_seen").over(W.partitionBy()) if as_of is None else instant(as_of)
+    now = seen.agg(F.max("last_seen")).scalar() if as_of is None else instant(as_of)
     age = _span_seconds(F.col("last_seen"), F.col("_now"))
     return (
         seen.withColumn("_now", now)
@@ -352,6 +353,11 @@ def throughput(metrics: DataFrame) -> DataFrame:
     )
 
 
+def readings_per_sec(readings: Column, interval: str) -> Column:
+    """Readings of a report over the length of its interval."""
+    return readings / F.lit(float(seconds(interval)))
+
+
 def periodic_report(metrics: DataFrame, interval: str, exact: bool = False) -> DataFrame:
     """An energy report per interval of window ends, each starting from nothing.
 
@@ -364,6 +370,7 @@ def periodic_report(metrics: DataFrame, interval: str, exact: bool = False) -> D
         F.col("_iv.end").alias("interval_end"),
         "windows",
         "total_readings",
+        readings_per_sec(F.col("total_readings"), interval).alias("readings_per_sec"),
         "active_meters",
         "total_kwh",
         "weighted_avg_kwh",

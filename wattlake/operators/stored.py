@@ -8,17 +8,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.columns import instant, whole_second
+from wattlake.functions.columns import instant, meter, whole_second, write_order
 
 
 def upsert_latest(
-    readings: DataFrame, grain: str = "second", order: Sequence[str] = ("event_id",)
+    readings: DataFrame, grain: str = "second", order: Sequence[str] | None = None
 ) -> DataFrame:
     """One reading per meter and `grain` of time: the last one written, by `order`.
 
-    An aggregate, not a ranking: losers are dropped before the shuffle, however many
-    readings one meter has in one grain.
+    By default that is the event's number, or the order in which the store got it. An aggregate,
+    not a ranking: losers are dropped before the shuffle, however many readings one meter has in
+    one grain. It sorts by key on both sides of the shuffle, as a row is no fixed-width value.
     """
+    order = order or write_order(readings)
     others = [c for c in readings.columns if c != "meter_id"]
     slot = F.date_trunc(grain, "ts").alias("_slot")
     last = F.max_by(F.struct(*others), F.struct(*order)).alias("_last")
@@ -42,7 +44,7 @@ def readings_for_meter(
     The bounds are cut, not the column: the filter reaches the scan.
     """
     low, high = instant(whole_second(start)), instant(whole_second(end))
-    one = readings.filter(F.col("meter_id") == meter_id)
+    one = meter(readings, meter_id)
     return _on_days(one, low, high).filter((F.col("ts") >= low) & (F.col("ts") < high))
 
 

@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wattlake.functions.columns import write_order
 from wattlake.functions.rules import anomaly_code
 from wattlake.operators import ordered
 from wattlake.schemas import SOURCE_KEYS, window_keys
 
-ORDER = ("ts", "event_id")
 _MEASURES = [
     "count",
     "sum_kwh",
@@ -42,14 +42,18 @@ def seconds(duration: str, least: int = 1) -> int:
     return whole
 
 
-def exact_sum(value: str, scale: int = 2) -> str:
-    """Sum at a fixed number of decimals, in whole numbers, as an SQL expression.
+def time_order(readings: DataFrame) -> list[str]:
+    """Time, and what makes it unique."""
+    return ["ts", *write_order(readings)]
 
-    Readings have two decimals. Doubles give sums that depend on the order in which
-    partitions arrive; whole numbers do not, and a re-run task gives the same result.
+
+def exact_sum(value: str, scale: int = 9) -> str:
+    """Sum as a decimal with `scale` decimals, as an SQL expression.
+
+    Doubles give sums that depend on the order in which partitions arrive; decimals do not, and
+    a re-run task gives the same result. There is room for values up to 10^19.
     """
-    unit = f"{10**scale}.0D"
-    return f"sum(cast(rint({value} * {unit}) as bigint)) / {unit}"
+    return f"cast(sum(cast({value} as decimal(28, {scale}))) as double)"
 
 
 def total_sql(value: str, exact: bool = False) -> str:
@@ -94,13 +98,14 @@ def tumble(readings: DataFrame, duration: str, exact: bool = False) -> DataFrame
 
 
 def _counted(
-    readings: DataFrame, keys: Sequence[str], n: int, order: Sequence[str], exact: bool, group_rows: int
+    readings: DataFrame, keys: Sequence[str], n: int, order: Sequence[str] | None, exact: bool, group_rows: int
 ) -> DataFrame:
     """Metrics per (keys, window_seq, meter) where every n-th row of `keys` closes a window.
 
     `_full` tells whether the window reached n rows, `_from` and `_to` its first and last
     time. A window has at most n rows, so they can come from a window function.
     """
+    order = order or time_order(readings)
     ranked = ordered.row_number(readings, keys, order, "_rank", group_rows)
     seq = F.call_function("div", F.col("_rank") - 1, F.lit(n))
     metrics = (
@@ -121,7 +126,7 @@ def _counted(
 def tumble_count(
     readings: DataFrame,
     n: int,
-    order: Sequence[str] = ORDER,
+    order: Sequence[str] | None = None,
     exact: bool = False,
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:
@@ -162,7 +167,7 @@ def tumble_hybrid(
     readings: DataFrame,
     duration: str | None,
     n: int,
-    order: Sequence[str] = ORDER,
+    order: Sequence[str] | None = None,
     exact: bool = False,
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:
@@ -221,11 +226,12 @@ def contiguous_bounds(
 
 def with_anomaly(
     readings: DataFrame,
-    order: Sequence[str] = ORDER,
+    order: Sequence[str] | None = None,
     nan: str = "reject",
     group_rows: int = ordered.GROUP_ROWS,
 ) -> DataFrame:
     """Add `anomaly_code`, which compares each reading with the one before of its meter."""
+    order = order or time_order(readings)
     linked = ordered.previous(
         readings, ["meter_id"], order, ["kwh", "voltage"], "_prev", group_rows
     )

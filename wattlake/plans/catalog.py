@@ -29,6 +29,8 @@ HYBRID = ("7 days", 100)
 COUNT_WINDOW = 100
 SLIDE = ("5 minutes", "30 seconds")
 LATEST = 50
+SPLIT = 5
+SPLIT_ROWS = 40
 TTL = "2 days"
 METER = "METER-0007"
 RANGE = (dt.datetime(2024, 1, 10, 6, 30, 15, 500000), dt.datetime(2024, 1, 20, 18, 45, 30, 250000))
@@ -108,6 +110,17 @@ def upsert_latest(spark, sf):
     return kept.select("event_id", *READING.fieldNames())
 
 
+def stored_anomalies(spark, sf):
+    """Through the store: two writes of the same seconds, the last of each, and its rule."""
+    path = new_path(spark, "store")
+    first = readings(spark, sf).orderBy("event_id")
+    second = first.filter("event_id % 10 = 0").withColumn("kwh", F.col("kwh") + 1)
+    files.write_readings(first, path)
+    files.write_readings(second, path)
+    kept = stored.upsert_latest(files.read_readings(spark, path))
+    return windows.with_anomaly(kept).select("meter_id", "ts", "kwh", "anomaly_code")
+
+
 def meter_range_scan(spark, sf):
     found = stored.readings_for_meter(readings(spark, sf), METER, *RANGE)
     return found.select("event_id", *READING.fieldNames())
@@ -130,9 +143,19 @@ def kafka_rows(spark, sf):
 def map_envelopes(spark, sf):
     """Through the JSON of the map form and back, to flat rows."""
     sent = envelopes.to_map_json(envelopes.nest_map(stored_metrics(spark, sf)))
-    return envelopes.explode_metrics(envelopes.parse_map_envelopes(sent)).select(
-        "total_count", *_METRIC_TABLE
+    good, _ = envelopes.parse_map_envelopes(sent)
+    return envelopes.explode_metrics(good).select("total_count", *_METRIC_TABLE)
+
+
+def map_dead_letters(spark, sf):
+    """Map bodies of the whole table with defects, by outcome."""
+    sent = envelopes.to_map_json(envelopes.nest_map(stored_metrics(spark, sf)))
+    day = F.expr("unix_date(cast(get_json_object(value, '$.window_start') as date))")
+    good, bad = envelopes.parse_map_envelopes(sent.withColumn("value", _defective(day)))
+    outcome = good.select(F.lit("parsed").alias("outcome")).unionAll(
+        bad.select(F.lit("dead letter"))
     )
+    return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
 _METRIC_TABLE = [
@@ -214,25 +237,20 @@ def shard_assignment(spark, sf):
 
 def shard_ranges(spark, sf):
     """The range of each shard next to what the readings show of it."""
-    table = adapters.events(spark, sf)
-    total = adapters.total_meters(table)
-    per = C.meters_per_shard(total, adapters.SHARDS)
+    total = adapters.events(spark, sf).agg(F.max("user_id") + 1).first()[0] or 0
     used = readings(spark, sf).groupBy("shard_id").agg(
         F.min("meter_index").alias("lowest_meter"),
         F.max("meter_index").alias("highest_meter"),
         F.count(F.lit(1)).alias("readings"),
     )
-    return (
-        used.withColumn("_per", per)
-        .withColumn("_total", total)
-        .select(
-            "shard_id",
-            (F.col("shard_id") * F.col("_per")).alias("range_start"),
-            F.least((F.col("shard_id") + 1) * F.col("_per"), F.col("_total")).alias("range_end"),
-            "lowest_meter",
-            "highest_meter",
-            "readings",
-        )
+    ranges = C.shard_ranges(spark, total, adapters.SHARDS)
+    return used.join(ranges, "shard_id").select(
+        "shard_id",
+        F.col("start").alias("range_start"),
+        F.col("end").alias("range_end"),
+        "lowest_meter",
+        "highest_meter",
+        "readings",
     )
 
 
@@ -271,14 +289,29 @@ def time_roundtrip(spark, sf):
 # --- envelopes ----------------------------------------------------------------------
 
 
+def _defective(day: Column) -> Column:
+    """The text `value`, malformed in one of seven ways on six days of seven, by the day."""
+    text = F.col("value").cast("string")
+    defects = [
+        F.expr("substring(cast(value as string), 1, length(value) - 1)"),
+        F.concat(text, F.lit(" trailing")),
+        F.concat(text, text),
+        F.translate(text, '"', "'"),
+        F.concat(F.lit("["), text, F.lit("]")),
+        F.lit(""),
+    ]
+    which = F.pmod(day, F.lit(7))
+    chosen = text
+    for k, defect in enumerate(defects):
+        chosen = F.when(which == k, defect).otherwise(chosen)
+    return chosen
+
+
 def parse_envelopes(spark, sf):
-    """Array envelopes of the whole table, with every seventh message cut short."""
+    """Array envelopes of the whole table; on six days of seven they have a defect."""
     sent = _kafka_shaped(envelopes.to_kafka_rows(envelopes.nest_array(stored_metrics(spark, sf))))
-    day = F.get_json_object(F.col("value").cast("string"), "$.window_start").cast("bigint")
-    cut = F.pmod(F.floor(day / F.lit(86_400_000_000)), F.lit(7)) == 0
-    broken = F.when(cut, F.expr("substring(value, 1, length(value) - 1)")).otherwise(
-        F.col("value")
-    )
+    micros = F.get_json_object(F.col("value").cast("string"), "$.window_start").cast("bigint")
+    broken = _defective(F.floor(micros / F.lit(86_400_000_000))).cast("binary")
     good, bad = envelopes.parse_array_envelopes(sent.withColumn("value", broken))
     outcome = good.select(
         F.lit("parsed").alias("outcome"), "collector_id", "total_count", F.size("metrics").alias("n")
@@ -331,6 +364,60 @@ def envelope_summary(spark, sf):
     return _rounded(_rounded(summary, "total_kwh"), "mean_of_avg_kwh")
 
 
+# Every window of the test tables fits one message. These force parts of five meters, through
+# both forms of the wire, and give what whole envelopes give.
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    sent = envelopes.to_kafka_rows(envelopes.nest_array(stored_metrics(spark, sf), SPLIT))
+    return envelopes.parse_array_envelopes(_kafka_shaped(sent))[0]
+
+
+def _split_map(spark: SparkSession, sf: str) -> DataFrame:
+    sent = envelopes.to_map_json(envelopes.nest_map(stored_metrics(spark, sf), SPLIT))
+    return envelopes.parse_map_envelopes(sent)[0]
+
+
+def split_envelopes(spark, sf):
+    """The parts themselves."""
+    parts = _split(spark, sf)
+    return parts.select(*WINDOW_KEYS, "part", "total_count", F.size("metrics").alias("num_meters"))
+
+
+def split_kafka_rows(spark, sf):
+    rows = envelopes.explode_metrics(_split(spark, sf))
+    return rows.select(F.col("collector_id").alias("message_key"), "total_count", *_METRIC_TABLE)
+
+
+def split_map_envelopes(spark, sf):
+    return envelopes.explode_metrics(_split_map(spark, sf)).select("total_count", *_METRIC_TABLE)
+
+
+def split_envelope_totals(spark, sf):
+    totals = envelopes.with_envelope_totals(_split(spark, sf))
+    return _rounded(totals, "total_kwh").select(
+        *WINDOW_KEYS, "total_count", "total_kwh", "num_meters"
+    )
+
+
+def split_envelope_summary(spark, sf):
+    summary = envelopes.envelope_summary(_split_map(spark, sf))
+    return _rounded(_rounded(summary, "total_kwh"), "mean_of_avg_kwh")
+
+
+def split_dataset_info(spark, sf):
+    """Parts appended to a dataset in two goes, counted as windows."""
+    path = new_path(spark, "dataset")
+    parts = written(envelopes.nest_array(stored_metrics(spark, sf), SPLIT), "parts")
+    files.append_envelopes(parts.filter("shard_id % 2 = 0"), path)
+    files.append_envelopes(parts.filter("shard_id % 2 <> 0"), path)
+    return rollups.dataset_info(spark.read.schema(parts.schema).parquet(path))
+
+
+def split_service_stats(spark, sf):
+    return rollups.service_stats(_split(spark, sf))
+
+
 # --- windows ------------------------------------------------------------------------
 
 
@@ -355,6 +442,26 @@ def anomalies(spark, sf):
     return windows.with_anomaly(readings(spark, sf)).select("event_id", "meter_id", "anomaly_code")
 
 
+# No meter or shard of the test tables is large. These force the way for large groups.
+
+
+def split_anomalies(spark, sf):
+    coded = windows.with_anomaly(readings(spark, sf), group_rows=SPLIT_ROWS)
+    return coded.select("event_id", "meter_id", "anomaly_code")
+
+
+def split_count(spark, sf):
+    return windows.tumble_count(
+        valid(spark, sf), COUNT_WINDOW, exact=True, group_rows=SPLIT_ROWS
+    )
+
+
+def split_hybrid(spark, sf):
+    return windows.tumble_hybrid(
+        valid(spark, sf), *HYBRID, exact=True, group_rows=SPLIT_ROWS
+    )
+
+
 def latest_n(spark, sf):
     return windows.latest_n(summaries(spark, sf), LATEST)
 
@@ -475,14 +582,16 @@ def _zoneless(query: Query) -> Query:
 
 
 _BATCH = [
-    scan_readings, readings_roundtrip, json_readings, upsert_latest, meter_range_scan, time_range_scan,
-    kafka_rows, map_envelopes, flat_metrics, metrics_roundtrip, dataset_info,
+    scan_readings, readings_roundtrip, json_readings, upsert_latest, stored_anomalies, meter_range_scan, time_range_scan,
+    kafka_rows, map_envelopes, map_dead_letters, flat_metrics, metrics_roundtrip, dataset_info,
     validate_codes, power_check, valid_readings, rejected_readings, error_messages,
     meter_ids, shard_assignment, shard_ranges, meter_slice, meter_lookup,
     load_bands, derived_current, time_roundtrip,
     parse_envelopes, nested_envelopes, explode_metrics, envelope_totals, envelope_summary,
+    split_envelopes, split_kafka_rows, split_map_envelopes, split_envelope_totals,
+    split_envelope_summary, split_dataset_info, split_service_stats,
     tumbling_time, tumbling_count, tumbling_hybrid, contiguous_windows,
-    anomalies, latest_n, sliding_analysis,
+    anomalies, split_anomalies, split_count, split_hybrid, latest_n, sliding_analysis,
     meter_metrics, merge_meter_metrics, energy_report, flat_summary, by_collector,
     dashboard_kpis, collector_stats, meter_table, top_meters, reading_rate, energy_series,
     meter_histogram, service_stats, windows_per_collector, latest_window, active_collectors,

@@ -31,9 +31,9 @@ checked AS (
 valid AS (SELECT * FROM checked WHERE error_code = 0)"""
 
 
-def _sum(value: str, scale: int = 2) -> str:
-    unit = f"CAST({10**scale} AS DOUBLE)"
-    return f"CAST(sum(CAST(round_even({value} * {unit}, 0) AS BIGINT)) AS DOUBLE) / {unit}"
+def _sum(value: str) -> str:
+    """All decimals that the readings have, and seven more."""
+    return f"CAST(sum(CAST({value} AS DECIMAL(28, 9))) AS DOUBLE)"
 
 
 def _long(value: str) -> str:
@@ -100,7 +100,7 @@ SPAN = f"(epoch_us({{1}}) - epoch_us({{0}})) / {MICRO}"
 
 
 def _mean(name: str) -> str:
-    return f"{_sum(name, 6)} / count({name})"
+    return f"{_sum(name)} / count({name})"
 
 
 def _merged(keys: str) -> str:
@@ -152,6 +152,23 @@ def _batch() -> dict[str, str]:
             f"""{scan} (SELECT *, row_number() OVER (PARTITION BY meter_id, date_trunc('hour', ts)
                  ORDER BY event_id DESC) AS n FROM readings) WHERE n = 1""",
         ),
+        "stored_anomalies": _with(
+            f"""{READINGS}, written AS (
+                SELECT 1 AS batch, event_id, meter_id, ts, kwh, voltage FROM readings
+                UNION ALL SELECT 2, event_id, meter_id, ts, kwh + 1, voltage FROM readings
+                WHERE event_id % 10 = 0),
+            kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id,
+                date_trunc('second', ts) ORDER BY batch DESC, event_id DESC) AS n FROM written)
+                WHERE n = 1)""",
+            """SELECT meter_id, ts, kwh,
+                CASE WHEN k IS NULL THEN -1
+                     WHEN CASE WHEN k = 0 THEN kwh <> 0 ELSE abs((kwh - k) / k) > 0.5::DOUBLE END THEN 5
+                     WHEN CASE WHEN v = 0 THEN voltage <> 0
+                               ELSE abs((voltage - v) / v) > 0.1::DOUBLE END THEN 5
+                     ELSE 0 END AS anomaly_code
+               FROM (SELECT *, lag(kwh) OVER w AS k, lag(voltage) OVER w AS v FROM kept
+                     WINDOW w AS (PARTITION BY meter_id ORDER BY ts))""",
+        ),
         "meter_range_scan": _with(
             READINGS,
             f"{scan} readings WHERE meter_id = 'METER-0007' AND ts >= {s0} AND ts < {s1}",
@@ -231,15 +248,29 @@ def _batch() -> dict[str, str]:
             strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS rfc3339, ts AS from_rfc3339 FROM events""",
         "parse_envelopes": _with(
             WINDOWS,
-            f"""SELECT CASE WHEN (epoch_us(window_start) // 86400000000) % 7 = 0
+            f"""SELECT CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 6
                   THEN 'dead letter' ELSE 'parsed' END AS outcome, collector_id,
                 count(*) AS messages,
-                {_long('''sum(CASE WHEN (epoch_us(window_start) // 86400000000) % 7 = 0
+                {_long('''sum(CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 6
                   THEN 0 ELSE total_count END)''')} AS readings,
-                {_long('''sum(CASE WHEN (epoch_us(window_start) // 86400000000) % 7 = 0
+                {_long('''sum(CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 6
                   THEN 0 ELSE num_meters END)''')} AS metrics
                 FROM windows GROUP BY ALL""",
         ),
+        "map_dead_letters": _with(
+            WINDOWS,
+            """SELECT CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 6
+                  THEN 'dead letter' ELSE 'parsed' END AS outcome, count(*) AS messages
+               FROM windows GROUP BY ALL""",
+        ),
+        "split_envelopes": _with(
+            METRICS,
+            f"""SELECT window_start, window_end, shard_id, collector_id,
+                CAST((n - 1) // 5 AS INTEGER) AS part, {_long('sum(count)')} AS total_count,
+                CAST(count(*) AS INTEGER) AS num_meters
+                FROM (SELECT *, row_number() OVER (PARTITION BY window_start, window_end, shard_id,
+                        collector_id ORDER BY meter_id) AS n FROM metrics) GROUP BY ALL""",
+        ),
         "nested_envelopes": _with(
             METRICS,
             f"""SELECT window_start, window_end, shard_id, collector_id, 0 AS part,
@@ -423,6 +454,7 @@ def _batch() -> dict[str, str]:
             ends AS (SELECT time_bucket(INTERVAL 7 DAY, window_end, {ORIGIN}) AS interval_start,
                             count(*) AS windows FROM windows GROUP BY ALL)""",
             f"""SELECT interval_start, interval_start + INTERVAL 7 DAY AS interval_end, windows,
+                {_long('sum(count)')} / CAST(604800 AS DOUBLE) AS readings_per_sec,
                 {REPORT} FROM merged JOIN ends USING (interval_start)
                 GROUP BY interval_start, windows""",
         ),
@@ -479,6 +511,20 @@ _RANGE = ", ".join(
 )
 
 
+# Windows in parts give what whole windows give.
+SPLIT = {
+    "split_kafka_rows": "kafka_rows",
+    "split_map_envelopes": "map_envelopes",
+    "split_envelope_totals": "envelope_totals",
+    "split_envelope_summary": "envelope_summary",
+    "split_dataset_info": "dataset_info",
+    "split_service_stats": "service_stats",
+    "split_anomalies": "anomalies",
+    "split_hybrid": "tumbling_hybrid",
+    "split_count": "tumbling_count",
+}
+
+
 def statements() -> dict[str, str]:
     batch = _batch()
-    return batch | {name: batch[same] for name, same in STREAMED.items()}
+    return batch | {name: batch[same] for name, same in (STREAMED | SPLIT).items()}

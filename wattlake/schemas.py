@@ -40,14 +40,19 @@ METRIC_WIRE = _struct(
 )
 
 
+WHOLE = _struct(
+    "total_count bigint, num_meters bigint, total_kwh double, sum_of_avg_kwh double"
+)
+
+
 def _envelope(time_type: str, metrics: T.DataType) -> T.StructType:
     head = _struct(
         f"window_start {time_type}, window_end {time_type}, shard_id int, "
         "collector_id string, total_count bigint"
     )
-    # `part` numbers the pieces of an envelope too large for one message;
-    # producers that do not split leave it out and it counts as 0.
-    return head.add("metrics", metrics).add("part", T.IntegerType())
+    # `part` numbers the pieces of an envelope too large for one message, and `whole` says what
+    # the window has in all; producers that do not split leave them out, and part counts as 0.
+    return head.add("metrics", metrics).add("part", T.IntegerType()).add("whole", WHOLE)
 
 
 MAP_ENVELOPE = _envelope("timestamp", T.MapType(T.StringType(), METRIC))

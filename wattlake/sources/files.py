@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlake.functions.columns import with_computed_once
-from wattlake.operators.envelopes import parse_map_envelopes
+from wattlake.functions.strict_json import with_body
+from wattlake.operators.envelopes import malformed, map_envelopes, with_decoded_map
 from wattlake.schemas import FLAT_METRIC, KAFKA_ROW, READING, READING_JSON, RUN
 
-_CORRUPT = "_corrupt"
-_LINE = T.StructType([*READING_JSON.fields, T.StructField(_CORRUPT, T.StringType())])
 # Stored readings keep the order in which they came in, for `stored.upsert_latest`.
 _STORED = (
     T.StructType(READING.fields)
     .add("ingest_order", T.LongType())
+    .add("ingest_position", T.LongType())
     .add("date", T.DateType())
 )
 
@@ -26,9 +25,8 @@ def _decoded(lines: DataFrame) -> DataFrame:
     Lines are decoded by a function rather than by the reader: the reader decodes the columns
     a query asks for, and a defect elsewhere in the line would go unnoticed.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    rows = with_computed_once(lines, "r", F.from_json("value", _LINE, options))
-    return rows.filter(f"r is not null and r.{_CORRUPT} is null").select(
+    rows = with_body(lines, F.col("value"), READING_JSON, "r")
+    return rows.filter("r is not null").select(
         "r.meter_id", F.col("r.timestamp").alias("ts"), "r.kwh", "r.voltage", "r.current"
     )
 
@@ -57,11 +55,16 @@ def write_readings(
 
     Rebalancing joins small partitions and splits a date that has most of the rows; the
     order gives row groups narrow ranges of meters, which the read of one meter skips by.
-    A later reading of the same meter and second is appended like any other; give `order`,
-    and `stored.upsert_latest(table, order=["ingest_order"])` keeps the last when reading.
+    A later reading of the same meter and second is appended like any other, with its place in
+    the order of writing: `order`, by default the time, and the position in what is written.
+    `stored.upsert_latest` keeps the last when reading.
     """
-    ingest = (F.lit(None) if order is None else order).cast("bigint").alias("ingest_order")
-    dated = readings.select(*READING.fieldNames(), ingest, F.to_date("ts").alias("date"))
+    now = F.unix_micros(F.current_timestamp())
+    ingest = (now if order is None else order).cast("bigint").alias("ingest_order")
+    position = F.monotonically_increasing_id().alias("ingest_position")
+    dated = readings.select(
+        *READING.fieldNames(), ingest, position, F.to_date("ts").alias("date")
+    )
     balanced = dated.hint("rebalance", "date").sortWithinPartitions("date", "meter_id", "ts")
     balanced.write.mode(mode).partitionBy("date").parquet(path)
 
@@ -82,7 +85,7 @@ def append_envelopes(envelopes: DataFrame, path: str) -> None:
 
 def _landed(lines: DataFrame) -> DataFrame:
     arrived = F.col("_metadata.file_modification_time").alias("received_at")
-    return parse_map_envelopes(lines.select("value", arrived))
+    return with_decoded_map(lines.select("value", arrived))
 
 
 def read_map_envelopes(spark: SparkSession, path: str) -> DataFrame:
@@ -90,7 +93,12 @@ def read_map_envelopes(spark: SparkSession, path: str) -> DataFrame:
 
     They are stamped with the time their file arrived.
     """
-    return _landed(spark.read.text(path))
+    return map_envelopes(_landed(spark.read.text(path)))
+
+
+def rejected_map_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a landing folder that are no envelopes, with the time their file arrived."""
+    return malformed(_landed(spark.read.text(path)))
 
 
 def stream_map_envelopes(
@@ -98,7 +106,7 @@ def stream_map_envelopes(
 ) -> DataFrame:
     """The same, as a stream of new files."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-    return _landed(reader.text(path))
+    return map_envelopes(_landed(reader.text(path)))
 
 
 def stream_kafka_files(

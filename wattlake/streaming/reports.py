@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.operators.envelopes import apply_defaults, explode_metrics, with_envelope_totals
-from wattlake.operators.rollups import merge_columns, report_columns
+from wattlake.operators.rollups import merge_columns, readings_per_sec, report_columns
 
 INTERVAL = "30 seconds"
 
@@ -36,6 +36,7 @@ def report_stream(
     return report.select(
         F.col("window.start").alias("interval_start"),
         F.col("window.end").alias("interval_end"),
+        readings_per_sec(F.col("total_readings"), interval).alias("readings_per_sec"),
         *[c for c in report.columns if c != "window"],
     )
 

@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.rules import valid_only
 from wattlake.operators import ordered
-from wattlake.operators.windows import ORDER, seconds, total, with_anomaly
+from wattlake.operators.windows import seconds, total, with_anomaly
 from wattlake.schemas import SOURCE_KEYS
 from wattlake.streaming.run import CarriedTables, Sink
 
 # --- previous reading ---------------------------------------------------------------
 
+# What makes the order of readings unique, where the caller says nothing else.
+ORDER = ("ts", "event_id")
+
 
 class Anomalies:
     """`windows.with_anomaly` on a stream: the last reading of each meter is carried on.
