@@ -94,3 +94,14 @@ def test_instant_is_utc(spark):
     zoned = dt.datetime(2024, 1, 1, 2, tzinfo=dt.timezone(dt.timedelta(hours=2)))
     for moment in (dt.datetime(2024, 1, 1), "2024-01-01", "2024-01-01T00:00:00Z", zoned, at(0)):
         assert spark.range(1).select(F.unix_seconds(C.instant(moment))).first()[0] == 1704067200
+
+
+def test_rfc3339_in_another_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        text = spark.range(1).select(C.to_rfc3339(F.timestamp_micros(F.lit(0))).alias("t"))
+        assert text.first().t == "1970-01-01T09:00:00.000000+09:00"
+        assert text.select(F.unix_micros(C.from_rfc3339(F.col("t")))).first()[0] == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -91,3 +91,25 @@ def test_runs(spark, tmp_path):
     (tmp_path / "runs.json").write_text(json.dumps(line) + "\n")
     row = files.read_runs(spark, str(tmp_path)).first()
     assert row.asDict() == line
+
+
+def test_store_keeps_the_order_of_writing(spark, make, tmp_path):
+    """Later writes win, and later rows of one write; the default orders work on the store."""
+    path = str(tmp_path / "store")
+    first = make([(1, 0, 10, 1.0), (2, 0, 10, 2.0), (3, 0, 20, 2.1)]).orderBy("event_id").coalesce(1)
+    files.write_readings(first, path)
+    files.write_readings(make([(4, 0, 20, 9.0)]), path)
+    table = files.read_readings(spark, path)
+    kept = stored.upsert_latest(table)
+    assert sorted(r.kwh for r in kept.collect()) == [2.0, 9.0]
+    codes = windows.with_anomaly(kept).orderBy("ts").collect()
+    assert [r.anomaly_code for r in codes] == [-1, 5]
+    with pytest.raises(ValueError, match="order"):
+        stored.upsert_latest(table.drop("ingest_order"))
+
+
+def test_json_lines_hold_one_object(spark, tmp_path):
+    line = '{"meter_id":"METER-0001","timestamp":"2024-01-01T00:00:00Z","kwh":1.0,"voltage":220.0,"current":4.5}'
+    bad = [line + line, line + " x", line.replace('"', "'"), f"[{line}]", ""]
+    (tmp_path / "in.json").write_text("\n".join([line, *bad]))
+    assert files.read_readings(spark, str(tmp_path / "in.json"), "json").count() == 1

@@ -82,3 +82,13 @@ def test_only_large_groups_are_cut(frame):
     got = ordered._by_size(frame, ["k"], ["t", "id"], 600, lambda rows: rows, in_runs)
     assert [r.k for r in cut] == ["hot"] and got.count() == 3000
     assert ordered._sizes(frame, ["k"], 10).large_rows == 3000
+
+
+@pytest.mark.parametrize("group_rows", [2, 1000])
+def test_null_weights_count_as_nothing(spark, group_rows):
+    weights = [None, None, 1, None, 5, None, None, 2, None]
+    rows = [(i // 5, i, w) for i, w in enumerate(weights)]
+    frame = spark.createDataFrame(rows, "k bigint, o bigint, w bigint")
+    got = ordered.running_sum(frame, ["k"], ["o"], F.col("w"), "s", group_rows)
+    want = {0: None, 1: None, 2: 1, 3: 1, 4: 6, 5: None, 6: None, 7: 2, 8: 2}
+    assert {r.o: r.s for r in got.collect()} == want

@@ -185,3 +185,8 @@ def test_exact_sums_do_not_depend_on_partitions(make):
         for n in (1, 3, 7)
     }
     assert len(sums) == 1
+
+
+def test_exact_sums_lose_no_decimals(spark):
+    frame = spark.range(1000).selectExpr("0.004D AS kwh")
+    assert frame.agg(windows.total("kwh", exact=True)).first()[0] == 4.0

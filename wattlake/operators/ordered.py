@@ -64,12 +64,14 @@ def _by_size(
     sizes = _sizes(df, keys, group_rows)
     if not sizes.large_groups:
         return whole(df)
+    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
+    if not keys:  # all rows are the one large group
+        return in_runs(_runs(df, keys, order, wanted))
     stored = written(df, "ordered-rows")
     large = stored.groupBy(*keys).count().filter(F.col("count") > group_rows).select(*keys)
     rows, groups = stored.alias("r"), written(large, "large-groups").alias("g")
     small = rows.join(groups, _same("r", "g", keys), "left_anti")
     rest = rows.join(groups, _same("r", "g", keys), "left_semi")
-    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
     return whole(small).unionByName(in_runs(_runs(rest, keys, order, wanted)))
 
 
