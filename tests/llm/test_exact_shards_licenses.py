@@ -4,7 +4,7 @@ from hashlib import sha256
 
 import pyarrow as pa
 import pytest
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 from wattlake.llm import exact, license_scan, shards
 from wattlake.llm.licences import ISC, MIT

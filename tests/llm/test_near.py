@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 from pyspark.sql import types as T
 
 from wattlake.llm import components, neardup, shingles, vectors

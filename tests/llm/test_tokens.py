@@ -6,7 +6,7 @@ from hashlib import sha256
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 from tokenizers import Tokenizer
 
 from wattlake.llm import bpe, packing, pretokens, token_counts, word_ids

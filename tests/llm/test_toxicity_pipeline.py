@@ -5,10 +5,10 @@ from zlib import crc32
 import duckdb
 import numpy as np
 import pytest
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 from pyspark.sql import functions as F
-from test_near import near_expected
-from test_tokens import check_packs
+from llm.test_near import near_expected
+from llm.test_tokens import check_packs
 
 import corpus_pipeline
 from wattlake.llm import catalog, oracle, toxicity
