@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log
+from math import asinh, exp, log
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ ERRORS, DRIFT = 1.0, 0.5
 #: Words that a task counts before it hands the counts on.
 HELD = 400_000
 #: Steps of the histograms that the calibration is made from.
-SCORE_STEP, STRENGTH_STEP, FARTHEST = 0.01, 0.05, 20.0
+SCORE_STEP, STRENGTH_STEP = 0.01, 0.02
 #: The strength of a text without any word that speaks for toxicity, whatever its length.
 NOTHING = -5.0
 
@@ -262,8 +262,9 @@ class Scorer:
 
     def score(self, text: str | None) -> tuple[float, int]:
         strength, passages = self.strength(text)
-        z = self.model.intercept + self.model.slope * max(-FARTHEST, min(FARTHEST, strength))
-        return 1 / (1 + np.exp(-z)), passages
+        # The inverse hyperbolic sine keeps the order, and strong passages from outweighing all.
+        z = self.model.intercept + self.model.slope * asinh(strength)
+        return 1 / (1 + exp(-max(-500.0, min(500.0, z)))), passages
 
 
 def decay(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -290,7 +291,7 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]
         return (-1.0, 1.0)
     design = np.stack([np.ones(len(x)), x], axis=1)
     w = np.zeros(2)
-    for _ in range(100):
+    for _ in range(500):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         gradient = design.T @ (n * (p - y)) + 1e-2 * w
         hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
@@ -374,8 +375,8 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     total = F.expr("aggregate(filter(segments, x -> x >= least), 0D, (a, x) -> a + x - least)")
     strength = rate * F.when(F.size(over) > 0, total).otherwise(top - F.col("least"))
     strength = F.when(top > 0, strength).otherwise(F.lit(NOTHING))
-    near = F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), strength))
-    bins = rows.withColumn("least", least).groupBy("label", F.round(near / STRENGTH_STEP).alias("bin"))
+    bins = rows.withColumn("least", least)
+    bins = bins.groupBy("label", F.round(F.asinh(strength) / STRENGTH_STEP).alias("bin"))
     bins = bins.agg(F.count("*").alias("n")).toPandas()
     x, y, n = (bins[c].to_numpy(float) for c in ("bin", "label", "n"))
     intercept, slope = logistic(x * STRENGTH_STEP, y, n)
