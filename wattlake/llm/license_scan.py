@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.licences import SPELLINGS, known
+from wattlake.llm.pretokens import sliced
 
 #: The start of a line that is nothing but a copyright claim.
 COPYRIGHT = re.compile("(?m)^[^a-z0-9\n]*(copyright|\\(c\\)|©)[^\n]*$".encode())
@@ -48,7 +49,7 @@ def known_digests() -> dict[str, str]:
 def scanned(
     batches: Iterator[pa.RecordBatch], notices: dict[str, str], longest: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         whole, found, hits = [], [], []
         for text in batch.column(1).to_pylist():
             lines = canonical_lines(text)

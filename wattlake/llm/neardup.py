@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.components import block_roots, connected
+from wattlake.llm.pretokens import sliced
 from wattlake.llm.shingles import BITS, POSITIONS, common, shingle_set, signatures
 from wattlake.session import written
 
@@ -37,7 +38,7 @@ SKETCH = "at bigint, id bigint, text_key bigint, n bigint, class binary, sketch
 
 def sketched(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Size, digest and signature of the shingle set of each text; none for empty sets."""
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingle_set(x) for x in batch.column(3).to_pylist()]
         full = [s for s in sets if len(s)]
         rows = iter(signatures(full)) if full else iter(())
@@ -70,7 +71,7 @@ def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, n, members): the sets of texts again, as sorted 64-bit hashes."""
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingle_set(x) for x in batch.column(1).to_pylist()]
         columns = [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "members"])
@@ -97,7 +98,7 @@ def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sets are similar."""
-    for batch in batches:
+    for batch in sliced(batches):
         own, other = (batch.column(k).to_pylist() for k in (2, 3))
         good = []
         for x, y in zip(own, other):

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.llm.pretokens import sliced
 from wattlake.llm.ranks import even, ranked
 from wattlake.llm.word_ids import word_ids
 from wattlake.session import written
@@ -28,7 +29,7 @@ def pieces(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     own, end = word_ids(path), end_id.to_bytes(4, "little")
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ids = own.ids(text) + end

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 import regex
 
 #: Before one single space that is followed by no white space, the byte-level pattern always
@@ -20,10 +22,21 @@ BYTE_LEVEL = regex.compile(
 )
 
 #: Entries of a worker's cache, of short runs. When it is full, the older half is forgotten.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 CACHED_CHARS = 64
 
 
+#: Rows that a worker takes from an Arrow batch at a time.
+SLICE_ROWS = 1_000
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that Python objects of few rows exist at a time."""
+    for batch in batches:
+        for start in range(0, len(batch), SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def runs(text: str) -> list[str]:
     """The runs of a text; all but the first stand for themselves with a space before them."""
     return CUT.split(text) if NOT_CUT.search(text) else text.split(" ")

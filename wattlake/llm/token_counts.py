@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.pretokens import (
-    CACHED_CHARS, Cache, as_letters, cut_special, pre_tokens, runs, special_strings, tokenizer,
+    CACHED_CHARS, Cache, as_letters, cut_special, pre_tokens, runs, sliced, special_strings, tokenizer,
 )
 
 #: Rows from which the frequent pre-tokens are taken, and the entries of the table. Both only set
@@ -24,7 +24,7 @@ TABLE_ENTRIES = 32_768
 def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The TABLE_ENTRIES most frequent pre-tokens of a partition."""
     seen: Counter[str] = Counter()
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).to_pylist():
             first, *rest = runs(text or "")
             seen.update(pre_tokens(first, False))
@@ -90,7 +90,7 @@ def counted(
     batches: Iterator[pa.RecordBatch], path: str, table: Broadcast, limit: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     lengths = worker_lengths(path, table)
-    for batch in batches:
+    for batch in sliced(batches):
         texts = batch.column(1).to_pylist()
         tokens = [lengths.count(x) for x in texts]
         size = [len((x or "").encode()) for x in texts]

@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.pretokens import Cache
+from wattlake.llm.pretokens import Cache, sliced
 from wattlake.session import written
 
 #: Labelled rows that the classifier is fitted on at most (those with the lowest hash of their id,
@@ -35,7 +35,7 @@ TRUST = 30.0
 #: Standard errors that are taken off a log-odds, and the cost of a token.
 ERRORS, DRIFT = 1.0, 0.5
 #: Words that a task counts before it hands the counts on.
-HELD = 400_000
+HELD = 150_000
 #: Steps of the histograms that the calibration is made from.
 SCORE_STEP, STRENGTH_STEP = 0.01, 0.02
 #: The strength of a text without any word that speaks for toxicity, whatever its length.
@@ -89,7 +89,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
         )
 
-    for batch in batches:
+    for batch in sliced(batches):
         seen: Counter[bytes] = Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = words(text)
@@ -324,7 +324,7 @@ def labelled(labels: DataFrame, row_id: str, limit: int) -> DataFrame:
 def measured(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
     """Per text of the calibration fold: its label, words, positive segments, counts of scores."""
     scorer = Scorer(model.value)
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             scores = scorer.scores(text)
