@@ -1,3 +1,5 @@
+import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -7,7 +9,7 @@ import pytest
 from llm.conftest_llm import ODD
 
 from wattlake.llm import exact, license_scan, shards
-from wattlake.llm.licences import ISC, MIT
+from wattlake.llm.licences import ISC, MIT, TEXTS
 from wattlake.llm.survivors import surviving
 
 
@@ -117,3 +119,47 @@ def test_licenses_of_odd_rows(odd, none):
     rows = license_scan.scan_licenses(odd).collect()
     assert len(rows) == len(ODD) and not any(r.license for r in rows)
     assert license_scan.scan_licenses(none).count() == 0
+
+
+def filled(text, width):
+    return textwrap.fill(text, width, break_long_words=False, break_on_hyphens=False)
+
+
+def rewrapped(text, width):
+    """Each paragraph anew, but claims, which have a line of their own."""
+    parts = re.split(r"\n\s*\n", text)
+    return "\n\n".join(p if p.startswith("Copyright (c) <") else filled(p, width) for p in parts)
+
+
+@pytest.mark.parametrize("change", [str, str.upper, str.lower])
+def test_licenses_at_any_width(change):
+    for licence, text in TEXTS:
+        own = license_scan.digest(license_scan.canonical_lines(text))
+        for width in range(20, 130, 1 if len(text) < 4_000 else 11):
+            lines = license_scan.canonical_lines(change(rewrapped(text, width)))
+            assert license_scan.digest(lines) == own, (licence, width)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Copyright 2020", "Copyright (c) 2020 A", "# Copyright: 1999-2003, Some One", "(C) 2011 B", "© Some One",
+        "Copyright [yyyy] [name of copyright owner]", "Copyright (c) Jane Doe. All rights reserved.",
+        "Copyright by the Authors", "Copyright Some One", "COPYRIGHT THE REGENTS OF THE UNIVERSITY",
+        "(c) Copyright 2001 C", "(c) Jane Doe", "Copyright © <year> <copyright holders>",
+    ],
+)
+def test_claims_are_left_out(line):
+    assert license_scan.canonical_lines(f"a\n{line}\nb") == [b"a", b"b"]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY",
+        "copyright holder nor the names of its", "copyright", "copyrighted works", "copyright, patent and trademark",
+        "(c) You must retain, in the Source form", "(c) Copyright notices must be kept", "copyright owner that",
+    ],
+)
+def test_lines_of_a_body_stay(line):
+    assert len(license_scan.canonical_lines(f"a\n{line}\nb")) == 3

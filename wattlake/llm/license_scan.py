@@ -13,19 +13,55 @@ from pyspark.sql import functions as F
 from wattlake.llm.licences import SPELLINGS, known
 from wattlake.llm.pretokens import sliced
 
-#: The start of a line that is nothing but a copyright claim.
-COPYRIGHT = re.compile("(?m)^[^a-z0-9\n]*(copyright|\\(c\\)|©)[^\n]*$".encode())
+#: A line that may be a copyright claim: a mark, and what follows.
+MARKED = re.compile("(?m)^[^a-z0-9\n]*(copyright|\\(c\\)|©)([^\n]*)$".encode())
+#: A sign, a placeholder or a year after the mark make it one.
+CLAIM = re.compile(rb"[^a-z0-9\n]*(?:\(c\)|\xc2\xa9|[<\[{]|(?:[0-9]{4}|yyyy|xxxx|year)\b)")
+#: So does a holder: words of which the first is none of those that licences write after
+#: "copyright", and none is of a sentence.
+HOLDER = re.compile(rb"(?:[ \t:]|\xe2\x80\x93|--?)+(?:by[ \t]+)?(?=[a-z0-9\x80-\xff])")
+TERMS = frozenset(
+    b"""act acts also assignment assignments claim claims disclaimer disclaimers doctrine doctrines grant holder
+    holders infringement infringements information interest interests law laws legend legends licence
+    licences license licensed licenses licensing like line lines material materials mark notice notices
+    owned owner owners ownership patent permission permissions permits policy protected protection
+    registration related resulting right rights status statement statements term terms trademark
+    treaties treaty violation violations work works""".split()
+)
+SENTENCE = frozenset(
+    b"""a above an any applicable apply applies are as at be been below but can do does each either every from
+    has have hereby how if in into is it made may means must no nor not on only or otherwise shall should
+    such than that their these this those to under unless was were when where whether which who will
+    with within without would you your""".split()
+)
+WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: All ASCII but letters, digits and line ends is read as a space. Letters beyond ASCII stay.
 KEPT = b"abcdefghijklmnopqrstuvwxyz0123456789\n"
 PLAIN = bytes(x if x >= 128 or x in KEPT else 32 for x in range(256))
 SPELLED = [(old.encode(), re.compile(rf"\b{old}\b".encode()), new.encode()) for old, new in SPELLINGS]
 
 
+def is_claim(mark: bytes, rest: bytes) -> bool:
+    """Whether a line in lower case claims a copyright; lines of a licence's body don't.
+
+    Bodies are wrapped anywhere, so "copyright notice", "copyright holders" and the like may open
+    a line, and "(c)" an item of a list.
+    """
+    if CLAIM.match(rest):
+        return True
+    if mark == b"(c)" and (again := MARKED.match(rest)):
+        return is_claim(again[1], again[2])
+    if not (lead := HOLDER.match(rest)):
+        return False
+    own = WORD.findall(rest, lead.end())
+    return not (own[0] in TERMS or own[0] in (b"and", b"of", b"for", b"the") and len(own) < 2 or SENTENCE & set(own))
+
+
 def canonical_lines(text: str | None) -> list[bytes]:
-    """The lines that are left of a text: lower case A-Z, no copyright lines, no marks."""
+    """The lines that are left of a text: lower case A-Z, no copyright claims, no marks."""
     raw = (text or "").encode().lower()
     if b"copyright" in raw or b"(c)" in raw or "©".encode() in raw:
-        raw = COPYRIGHT.sub(b"", raw)
+        raw = MARKED.sub(lambda m: b"" if is_claim(m[1], m[2]) else m[0], raw)
     lines = [b" ".join(x.split()) for x in raw.translate(PLAIN).split(b"\n")]
     plain = b"\n".join(x for x in lines if x)
     for old, pattern, new in SPELLED:
@@ -68,8 +104,8 @@ def scan_licenses(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -
 
     Columns: `row_id`, canonical_sha256, license (null: the text as a whole is no known one),
     notices (sorted ids of the lines that are, each as a whole, a known text, or empty),
-    n_notices (lines that are one). Case of A-Z, punctuation, copyright lines and listed
-    spellings don't matter. Null and empty texts have the digest of an empty text and no
+    n_notices (lines that are one). Case of A-Z, punctuation, line ends, lines that claim a
+    copyright (`is_claim`) and listed spellings don't matter. Null and empty texts have the digest of an empty text and no
     licence. Ids may be null or repeat. Other columns are not read. Empty in, empty out.
 
     The known digests are a fixed list, joined by hash on the map side; nothing is shuffled.
