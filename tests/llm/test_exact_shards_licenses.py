@@ -9,7 +9,7 @@ import pytest
 from llm.conftest_llm import ODD
 
 from wattlake.llm import exact, license_scan, shards
-from wattlake.llm.licences import ISC, MIT, TEXTS
+from wattlake.llm.licences import END, FILES, ISC, MIT, NAMED, TEXTS, known
 from wattlake.llm.survivors import surviving
 
 
@@ -127,8 +127,9 @@ def filled(text, width):
 
 def rewrapped(text, width):
     """Each paragraph anew, but claims, which have a line of their own."""
-    parts = re.split(r"\n\s*\n", text)
-    return "\n\n".join(p if p.startswith("Copyright (c) <") else filled(p, width) for p in parts)
+    parts = re.split(r"\n\s*\n|\n(?=\s*Copyright \([cC]\) [<12])|(?<=Foundation, Inc[.],)\n|(?<=Foundation, Inc[.])\n|(?<=fsf.org/>)\n", text)
+    parts = [" ".join(p.split()) for p in parts]
+    return "\n\n".join(p if re.match(r"\s*Copyright \([cC]\) [<12]", p) else filled(p, width) for p in parts)
 
 
 @pytest.mark.parametrize("change", [str, str.upper, str.lower])
@@ -163,3 +164,40 @@ def test_claims_are_left_out(line):
 )
 def test_lines_of_a_body_stay(line):
     assert len(license_scan.canonical_lines(f"a\n{line}\nb")) == 3
+
+
+def test_whole_texts_and_sentences(docs_of):
+    whole = {path.stem: path.read_text() for path in FILES.glob("*.txt")}
+    assert {"Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "CC0-1.0", "Unlicense"} <= set(whole)
+    said = {
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This software is released under the Mozilla Public License 2.0.": "MPL-2.0",
+        "Licensed under a text of our own.": "Own",
+    }
+    said |= {f"SPDX-License-Identifier: {x}": x for x in NAMED}
+    pairs = [*((text, x) for x, text in whole.items()), *said.items()]
+    # A width that lets "copyright" and "(c)" open lines.
+    pairs += [(rewrapped(text.partition(END)[0] + END, 61), x) for x, text in whole.items() if END in text]
+    more = [("Own", "licensed under A TEXT of our own")]
+    got = license_scan.scan_licenses(docs_of([(i, text, "s") for i, (text, _) in enumerate(pairs)]), more=more)
+    assert {r.doc_id: r.license for r in got.collect()} == {i: x for i, (_, x) in enumerate(pairs)}
+
+
+def test_file_texts_at_any_width():
+    for path in FILES.glob("*.txt"):
+        # An example in the GPL's appendix has a claim within a sentence.
+        text = path.read_text().partition(END)[0]
+        own = license_scan.digest(license_scan.canonical_lines(text))
+        for width in range(40, 121, 3):
+            lines = license_scan.canonical_lines(rewrapped(text, width))
+            assert license_scan.digest(lines) == own, (path.stem, width)
+
+
+def test_no_text_stands_for_two_licences():
+    found = defaultdict(set)
+    for licence, text in known():
+        found[license_scan.digest(license_scan.canonical_lines(text))].add(licence)
+    assert all(len(x) == 1 for x in found.values())

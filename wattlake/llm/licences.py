@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from pathlib import Path
+
 MIT = """MIT License
 
 Copyright (c) <year> <copyright holders>
@@ -125,18 +128,52 @@ TEXTS: list[tuple[str, str]] = [
     ("Zlib", ZLIB.partition("\n\n")[2]),
     ("Apache-2.0", APACHE_NOTICE),
     ("MPL-2.0", MPL_NOTICE),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("MIT", "Released under the MIT License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
 
-#: Ids for which "Licensed under the X license", "Released under ..." and SPDX lines are known.
-NAMED = [
-    "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Apache-2.0", "MPL-2.0",
-    "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "Unlicense", "CC0-1.0",
-    "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0",
-]
+#: Whole texts in files, named by their ids.
+FILES = Path(__file__).with_name("texts")
+END = "END OF TERMS AND CONDITIONS"
+
+#: Ids and the names that sentences call them by, besides the id itself.
+NAMED: dict[str, list[str]] = {
+    "MIT": ["Expat"],
+    "ISC": [],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "3-Clause BSD License"],
+    "Zlib": [],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache Version 2.0"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0"],
+    "Unlicense": ["The Unlicense"],
+    "CC0-1.0": ["Creative Commons Zero v1.0 Universal", "CC0 1.0 Universal"],
+}
+for short, name, versions in (
+    ("GPL", "GNU General Public License", ["2.0", "3.0"]),
+    ("LGPL", "GNU Lesser General Public License", ["2.1", "3.0"]),
+    ("AGPL", "GNU Affero General Public License", ["3.0"]),
+):
+    for version in versions:
+        numbers = [version, version.removesuffix(".0")] if version.endswith(".0") else [version]
+        NAMED[f"{short}-{version}"] = [
+            form.format(called, n)
+            for called in (name, name.removeprefix("GNU "), f"GNU {short}", short)
+            for n in numbers
+            for form in ("{}, version {}", "{} v{}", "{}v{}", "{} {}")
+        ]
+for short, name in (
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+):
+    NAMED[f"CC-{short}-4.0"] = [
+        f"Creative Commons {name} 4.0", f"Creative Commons {name} 4.0 International",
+        f"Creative Commons {short} 4.0",
+    ]
+
+SUBJECTS = ["", *(f"This {x} is " for x in ("work", "software", "program", "project", "document", "file", "code"))]
+VERBS = ["Licensed", "Released", "Distributed"]
+
 
 #: Equivalent spellings, as words: the first is read as the second.
 SPELLINGS: list[tuple[str, str]] = [
@@ -158,16 +195,34 @@ SPELLINGS: list[tuple[str, str]] = [
 ]
 
 
-def known() -> list[tuple[str, str]]:
-    """(licence id, text) of all known texts and notices."""
-    named = [
-        (x, form.format(x))
-        for x in NAMED
-        for form in (
-            "SPDX-License-Identifier: {}",
-            "Licensed under {}.",
-            "Licensed under the {} License.",
-            "Released under the {} License.",
-        )
-    ]
-    return list(dict.fromkeys([*TEXTS, *named]))
+def in_files() -> list[tuple[str, str]]:
+    """(licence id, text) of the files: as published, without the appendix or the frame, if any."""
+    found = []
+    for path in sorted(FILES.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        own = [text]
+        if END in text:
+            own.append(text[: text.index(END) + len(END)])
+        if path.stem.startswith("CC-"):
+            title = f"\nCreative Commons {text.splitlines()[0]} Public\nLicense\n"
+            own.append(text[text.index(title) : text.rindex("====\n")].rstrip("=\n"))
+        own += [x.replace("“", '"').replace("”", '"') for x in own]
+        found += [(path.stem, x) for x in own]
+    return found
+
+
+def sentences(licence: str) -> list[str]:
+    """Notices of one line that name a licence."""
+    out = [f"SPDX-License-Identifier: {licence}"]
+    if "GPL" in licence:
+        out += [f"SPDX-License-Identifier: {licence}-{x}" for x in ("only", "or-later")]
+    for name in (licence, *NAMED[licence]):
+        for named in (name, f"the {name}", f"the {name} License"):
+            out += [f"{x}{v.lower() if x else v} under {named}." for x in SUBJECTS for v in VERBS]
+    return out
+
+
+def known(more: Iterable[tuple[str, str]] = ()) -> list[tuple[str, str]]:
+    """(licence id, text) of all known texts and notices; `more` comes first."""
+    named = [(x, sentence) for x in NAMED for sentence in sentences(x)]
+    return list(dict.fromkeys([*more, *TEXTS, *in_files(), *named]))

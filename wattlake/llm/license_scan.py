@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import pyarrow as pa
@@ -21,10 +21,10 @@ CLAIM = re.compile(rb"[^a-z0-9\n]*(?:\(c\)|\xc2\xa9|[<\[{]|(?:[0-9]{4}|yyyy|xxxx
 #: "copyright", and none is of a sentence.
 HOLDER = re.compile(rb"(?:[ \t:]|\xe2\x80\x93|--?)+(?:by[ \t]+)?(?=[a-z0-9\x80-\xff])")
 TERMS = frozenset(
-    b"""act acts also assignment assignments claim claims disclaimer disclaimers doctrine doctrines grant holder
-    holders infringement infringements information interest interests law laws legend legends licence
+    b"""act acts also and assignment assignments claim claims disclaimer disclaimers doctrine doctrines
+    for grant holder holders infringement infringements information interest interests law laws legend legends licence
     licences license licensed licenses licensing like line lines material materials mark notice notices
-    owned owner owners ownership patent permission permissions permits policy protected protection
+    of owned owner owners ownership patent permission permissions permits policy protected protection
     registration related resulting right rights status statement statements term terms trademark
     treaties treaty violation violations work works""".split()
 )
@@ -34,6 +34,7 @@ SENTENCE = frozenset(
     such than that their these this those to under unless was were when where whether which who will
     with within without would you your""".split()
 )
+THINGS = frozenset(b"library material program software work works".split())
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: All ASCII but letters, digits and line ends is read as a space. Letters beyond ASCII stay.
 KEPT = b"abcdefghijklmnopqrstuvwxyz0123456789\n"
@@ -54,7 +55,9 @@ def is_claim(mark: bytes, rest: bytes) -> bool:
     if not (lead := HOLDER.match(rest)):
         return False
     own = WORD.findall(rest, lead.end())
-    return not (own[0] in TERMS or own[0] in (b"and", b"of", b"for", b"the") and len(own) < 2 or SENTENCE & set(own))
+    if own[0] == b"the" and (len(own) < 2 or own[1] in THINGS):  # "copyright the software, and (2) offer"
+        return False
+    return own[0] not in TERMS and not SENTENCE & set(own)
 
 
 def canonical_lines(text: str | None) -> list[bytes]:
@@ -71,13 +74,17 @@ def canonical_lines(text: str | None) -> list[bytes]:
 
 
 def digest(lines: list[bytes]) -> str:
-    return sha256(b" ".join(lines)).hexdigest()
+    whole = b" ".join(lines)
+    for old, pattern, new in SPELLED:
+        if b" " in old and old in whole:  # over the end of a line
+            whole = pattern.sub(new, whole)
+    return sha256(whole).hexdigest()
 
 
-def known_digests() -> dict[str, str]:
+def known_digests(more: Iterable[tuple[str, str]] = ()) -> dict[str, str]:
     """Digest of the canonical text -> licence id."""
     found: dict[str, str] = {}
-    for licence, text in known():
+    for licence, text in known(more):
         found.setdefault(digest(canonical_lines(text)), licence)
     return found
 
@@ -99,7 +106,9 @@ def scanned(
         yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def scan_licenses(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, row_id: str = "doc_id", text: str = "text", more: Iterable[tuple[str, str]] = ()
+) -> DataFrame:
     """One row per row of `docs`: the licence that its whole text is, and licence notices in it.
 
     Columns: `row_id`, canonical_sha256, license (null: the text as a whole is no known one),
@@ -108,10 +117,12 @@ def scan_licenses(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -
     copyright (`is_claim`) and listed spellings don't matter. Null and empty texts have the digest of an empty text and no
     licence. Ids may be null or repeat. Other columns are not read. Empty in, empty out.
 
-    The known digests are a fixed list, joined by hash on the map side; nothing is shuffled.
+    The known digests are a list, joined by hash on the map side; nothing is shuffled. `more`
+    adds (id, text) pairs to those of `licences`.
     """
-    digests = known_digests()
-    longest = max(len(b" ".join(canonical_lines(x))) for _, x in known())
+    more = list(more)
+    digests = known_digests(more)
+    longest = max(len(b" ".join(canonical_lines(x))) for _, x in known(more))
     rows = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     schema = pa.schema(
         [("id", pa.int64()), ("canonical_sha256", pa.string()), ("notices", pa.string()), ("n_notices", pa.int64())]
