@@ -101,3 +101,40 @@ def test_a_text_that_changes_its_frame_has_no_span():
     own = chat.Renderer(lambda turns: "".join(f"{len(t)}:{t};" for _, t in turns))
     assert own.add("user", "abc")[1:3] == (-1, -1)
     assert own.add("user", "x")[1:3] == (2, 3)
+
+
+def test_long_conversations_are_rendered_from_their_start(spark):
+    def numbered(turns):
+        """Numbers turns, has the system text in the first user turn and wants users to start."""
+        system = "".join(t for r, t in turns if r == "system")
+        said = [x for x in turns if x[0] != "system"]
+        if said and said[0][0] != "user":
+            raise ValueError("a user must start")
+        return "".join(f"{k}[{r}] {system if not k else ''}{t}\n" for k, (r, t) in enumerate(said))
+
+    rows = [(1, 0, "system", "S"), *((1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(1, 200))]
+    got = sorted(chat.format_turns(frame(spark, rows), numbered).collect(), key=lambda r: r.turn)
+    whole = numbered([(r[2], r[3]) for r in rows])
+    assert "".join(r.piece for r in got) == whole and not any(r.rewritten for r in got)
+    for r, (_, _, _, text) in list(zip(got, rows))[1:]:
+        at = r.start + r.text_start
+        assert whole[at : at + len(text)] == text == whole[at : r.start + r.text_end]
+
+
+def test_rewriting_far_back_is_seen(spark):
+    def template(turns):
+        """The first text is cut once there are over 150 turns."""
+        return "".join(f"[{r}] {t[:1] if not k and len(turns) > 150 else t}\n" for k, (r, t) in enumerate(turns))
+
+    rows = [(1, t, "user", f"text {t}") for t in range(180)]
+    got = {r.turn: r for r in chat.format_turns(frame(spark, rows), template).collect()}
+    before = template([(r[2], r[3]) for r in rows[:150]])
+    assert got[150].rewritten == len(before) - len("[user] t")
+    assert sum(r.rewritten for r in got.values()) == got[150].rewritten
+
+
+def test_op7_returns_what_was_rewritten(spark):
+    from wattlake.llm import catalog
+
+    out = catalog.op7_chat_format(spark, "/root/testdata/sf0.001")
+    assert "rewritten" in out.columns and out.where("rewritten <> 0").count() == 0

@@ -53,7 +53,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id bigint, turn bigint, role string, text string",
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(chat.format_turns(turns.unionByName(hard))).drop("rewritten")
+    return chat.read_back(chat.format_turns(turns.unionByName(hard)))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

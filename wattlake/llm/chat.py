@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Callable, Iterator
 from hashlib import sha256
 from os.path import commonprefix
@@ -12,11 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Turns of context that a prefix is rendered with. Conversations up to this length are rendered
-#: from their start; in longer ones the window moves along, so that the work for a turn and the
-#: memory stay bounded.
-WINDOW = 64
-
 #: A template: a black box from turns (role, text) to a text.
 Template = Callable[[list[tuple[str, str]]], str]
 
@@ -59,24 +53,24 @@ MARKED = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + r"\
 class Renderer:
     """Renders a conversation turn by turn; the template is only called, never looked into."""
 
-    def __init__(self, template: Template, window: int = WINDOW):
-        self.template = template
-        self.context: deque[tuple[str, str]] = deque(maxlen=window)
+    def __init__(self, template: Template, window: int | None = None):
+        self.template, self.window = template, window
+        self.turns: list[tuple[str, str]] = []
         self.before = template([])
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int]:
         """(what the turn adds to the output, start and end of its text in it, history rewritten).
 
-        The turn is rendered after its context; what the context alone gives must be a prefix of
-        that. If it isn't, the template rewrites history: the last value says how many characters
-        of it, and what is added starts there. The text's place is found by rendering the turn
+        The turn is rendered after all turns before it, or the last `window` - 1 of them if that is
+        given; what these alone give must be a prefix of that. If it isn't, the template rewrites
+        history: the last value says how many characters of it, and what is added starts there. The text's place is found by rendering the turn
         with one unused character instead of the text; it is (-1, -1) if what stands around the
         text hangs on the text.
         """
-        if len(self.context) == self.context.maxlen:
-            self.context.popleft()
-            self.before = self.template(list(self.context))
-        turns = list(self.context)
+        turns = self.turns
+        if self.window and len(turns) >= self.window:
+            del turns[: len(turns) - self.window + 1]
+            self.before = self.template(list(turns))
         after = self.template([*turns, (role, text)])
         kept = len(self.before) if after.startswith(self.before) else len(commonprefix([self.before, after]))
         added, rewritten = after[kept:], len(self.before) - kept
@@ -86,7 +80,7 @@ class Renderer:
         end = len(added) - (len(sample) - start - 1)
         if start < 0 or end < start or added[:start] != sample[:start] or added[end:] != sample[start + 1 :]:
             start = end = -1
-        self.context.append((role, text))
+        turns.append((role, text))
         self.before = after
         return added, start, end, rewritten
 
@@ -103,7 +97,7 @@ def schema_of(columns: str) -> pa.Schema:
 
 
 def rendered(
-    batches: Iterator[pa.RecordBatch], template: Template, loss_roles: set[str], window: int
+    batches: Iterator[pa.RecordBatch], template: Template, loss_roles: set[str], window: int | None
 ) -> Iterator[pa.RecordBatch]:
     """Turns in, spans out, in order; a conversation may go on over any number of batches."""
     schema = schema_of(TURN)
@@ -128,7 +122,7 @@ def format_turns(
     turns: DataFrame,
     template: Template = marked,
     loss_roles: tuple[str, ...] = ("assistant",),
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """One row per turn of `turns` (conv_id, turn, role, text): its piece of the output.
 
@@ -139,7 +133,9 @@ def format_turns(
     first; repeated rows are turns of their own. Other columns are not read. Empty in, empty out.
 
     Partitions hold whole conversations in order and stream through the renderer, which holds
-    the last `window` turns only. Rewriting is seen as far back as that.
+    one conversation and renders each of its prefixes: work grows with the square of its length.
+    `window` bounds that to the last turns. It is only for templates that are known to look no
+    further back and at nothing but the turns; rewriting is then seen as far back as that.
     """
     order = ["conv_id", "turn", "role", "text"]
     rows = turns.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
