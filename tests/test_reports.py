@@ -185,3 +185,15 @@ def test_summaries_agree(make):
     flat = {tuple(r) for r in envelopes.summarize(table).collect()}
     nested = envelopes.summarize_envelopes(envelopes.nest_map(table, 2))
     assert {tuple(r) for r in nested.select(envelopes.summarize(table).columns).collect()} == flat
+
+
+def test_exact_deviation_of_more_than_two_decimals(spark):
+    rows = [("same", 1.006)] * 50 + [("small", 0.001), ("small", 0.004), ("fine", 7.123456), ("fine", 1.000001)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    for options in ({}, {"approximate": True}):
+        got = {r.k: r.std for r in profile.distribution(frame, ["k"], "v", exact=True, **options).collect()}
+        assert got["same"] == pytest.approx(0, abs=1e-7)
+        assert got["small"] == pytest.approx(0.0015, abs=1e-12) and got["fine"] == pytest.approx(3.0617275, abs=1e-12)
+    runs = spark.createDataFrame([(x, 1, 1.006) for x in ("a", "b")] + [("a", 1, 1.002)], "language string, meters int, m double")
+    row = profile.compare_runs(runs, "a", "b", ["m"], exact=True).first()
+    assert row.m_std_a == pytest.approx(0.002, abs=1e-9) and row.m_std_b == pytest.approx(0, abs=1e-7)

@@ -190,3 +190,9 @@ def test_exact_sums_do_not_depend_on_partitions(make):
 def test_exact_sums_lose_no_decimals(spark):
     frame = spark.range(1000).selectExpr("0.004D AS kwh")
     assert frame.agg(windows.total("kwh", exact=True)).first()[0] == 4.0
+
+
+def test_sliding_sums_of_small_values(make):
+    readings = make([(i, i % 3, i % 40, 0.004) for i in range(1000)])
+    got = windows.slide(readings, "60 seconds", "60 seconds", exact=True).collect()
+    assert [(r["count"], r.sum_kwh) for r in got] == [(1000, 4.0)]

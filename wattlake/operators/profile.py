@@ -47,12 +47,19 @@ def _weighted_sum(value: Column, weight: Column, exact: bool) -> Column:
 
 
 def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
-    """The exact form needs values with two decimals, whose squares have four."""
+    """The exact form takes values with nine decimals, as the exact sums do.
+
+    A value is h hundredths and r billionths, all whole numbers, so that its square is
+    h * h / 10^4 + 2 * h * r / 10^11 + r * r / 10^18.
+    """
     if not exact:
         return F.sum(value * value * weight) / F.sum(weight)
-    hundredths = F.rint(value * 100.0).cast("decimal(18,0)")
-    squares = F.sum((hundredths * hundredths * weight.cast("decimal(18,0)")).cast("decimal(38,0)"))
-    return squares.cast("double") / F.sum(weight) / F.lit(10000.0)
+    h = F.rint(value * 100.0).cast("decimal(18,0)")
+    rest = value.cast("decimal(22,9)") - (h * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(20,2)")
+    r = (rest.cast("decimal(18,9)") * F.lit(1_000_000_000).cast("decimal(10,0)")).cast("decimal(9,0)")
+    n = weight.cast("decimal(18,0)")
+    hh, hr, rr = (F.sum((x * y * n).cast("decimal(38,0)")).cast("double") for x, y in ((h, h), (h, r), (r, r)))
+    return (hh + 2.0 * hr / 1e7 + rr / 1e14) / F.sum(weight) / F.lit(10000.0)
 
 
 def _pop_std(column: str | Column, exact: bool) -> Column:

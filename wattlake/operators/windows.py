@@ -255,7 +255,7 @@ def slide(
     if hop > length:
         raise ValueError("the step must not exceed the duration")
     pane = math.gcd(length, hop)
-    kwh = F.rint(F.col("kwh") * 100.0).cast("bigint") if exact else F.col("kwh")
+    kwh = F.col("kwh").cast("decimal(28,9)") if exact else F.col("kwh")
     panes = readings.groupBy(F.window("ts", f"{pane} seconds").alias("pane"), "meter_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(kwh).alias("kwh"),
@@ -273,7 +273,7 @@ def slide(
     copies = panes.withColumn("_covered", covered).select(
         F.explode(starts).alias("start"), "_covered", "n", "kwh", "low", "high"
     )
-    energy = F.sum("kwh") / F.lit(100.0) if exact else F.sum("kwh")
+    energy = F.sum("kwh").cast("double") if exact else F.sum("kwh")
     return (
         copies.groupBy("start")
         .agg(
