@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, chat, exact, license_scan, neardup, packing, shards, token_counts, toxicity, vectors
+from wattlake.llm import (
+    bpe, centroids, chat, exact, language_id, license_scan, neardup, packing, phrases, shards,
+    token_counts, toxicity, vectors,
+)
 from wattlake.llm.workers import reachable
 
 
@@ -78,6 +81,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    held_out = (language_id.fold(F.col("doc_id")) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +113,9 @@ QUERIES = [
     op8_packing,
     op9_vector_dedup,
     op10_toxicity,
+    op11_collocations,
+    op12_centroids,
+    op13_language_id,
     pipeline,
 ]
 

@@ -99,6 +99,92 @@ def op3_exact_dedup() -> str:
     """
 
 
+def op11_collocations(least: int = 30, top: int = 2000) -> str:
+    return f"""
+    WITH pieces AS (
+        SELECT lang, unnest(regexp_split_to_array(plain, '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM (SELECT coalesce(lang, 'und') AS lang, {ascii_lower("coalesce(text, '')")} AS plain FROM documents)
+    ),
+    cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+    grams AS (
+        SELECT lang, m, w[i:i + m - 1] AS words, count(*) AS f
+        FROM starts, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w)
+        GROUP BY ALL
+    ),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM grams WHERE m > 1 AND f >= {least}),
+    inner_parts AS (
+        SELECT lang, words[i:i + k - 1] AS words, f
+        FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM candidates),
+             (SELECT unnest([2, 3]) AS k)
+        WHERE k < m AND i + k - 1 <= m
+    ),
+    longest AS (SELECT lang, words, max(f) AS f FROM inner_parts GROUP BY ALL),
+    apart AS (
+        SELECT c.* FROM candidates c LEFT JOIN longest x USING (lang, words)
+        WHERE x.f IS NULL OR 100::HUGEINT * x.f < 80::HUGEINT * c.f
+    ),
+    cuts AS (
+        SELECT c.lang, c.words, c.f AS a, k, l.f AS l, r.f AS r,
+               (2000000::HUGEINT * c.f // (l.f::HUGEINT + r.f))::BIGINT AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM apart) c
+        JOIN grams l ON l.lang = c.lang AND l.words = c.words[1:c.k]
+        JOIN grams r ON r.lang = c.lang AND r.words = c.words[c.k + 1:c.m]
+    ),
+    worst AS (
+        SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score
+        FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+           phrase, a, l, r, n, score
+    FROM worst JOIN totals USING (lang) QUALIFY rank <= {top}
+    """
+
+
+def op12_centroids(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64, seed: str = "1") -> str:
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+    near{turn} AS (
+        SELECT id, v, cluster, distance FROM (
+            SELECT p.id, p.v, c.cluster, p.row,
+                   list_sum(list_transform(range(1, {dims + 1}), lambda i: (p.v[i] - c.v[i]) ** 2))::BIGINT AS distance
+            FROM points p, centroids{turn} c
+        ) QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1
+    )""")
+        if turn < rounds:
+            steps.append(f"""
+    sums{turn} AS (
+        SELECT cluster, i, sum(x)::BIGINT AS total, count(*) AS n
+        FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{turn}) GROUP BY ALL
+    ),
+    means{turn} AS (
+        SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY i) AS v FROM sums{turn} GROUP BY cluster
+    ),
+    centroids{turn + 1} AS (
+        SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centroids{turn} c LEFT JOIN means{turn} m USING (cluster)
+    )""")
+    return f"""
+    WITH points AS (
+        SELECT vec_id AS id, row_number() OVER () AS row,
+               list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) = {dims}
+          AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE)))
+    ),
+    centroids0 AS (
+        SELECT (row_number() OVER (ORDER BY h, v) - 1)::INTEGER AS cluster, v
+        FROM (SELECT v, sha256('{seed}:' || coalesce(id::VARCHAR, '')) AS h FROM points) QUALIFY cluster < {k}
+    ),{",".join(steps)}
+    SELECT id AS vec_id, cluster, distance,
+           sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia,
+           sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM near{rounds} JOIN centroids{rounds} c USING (cluster)
+    """
+
+
 def statements() -> dict[str, str]:
-    made = [op1_license_scan, op2_interleaved_shards, op3_exact_dedup]
+    made = [op1_license_scan, op2_interleaved_shards, op3_exact_dedup, op11_collocations, op12_centroids]
     return {make.__name__: make() for make in made}
