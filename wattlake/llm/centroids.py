@@ -176,4 +176,5 @@ def cluster_report(vectors: DataFrame, row_id: str = "vec_id", **more) -> DataFr
     sums = state.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
     sums = sums.withColumn("inertia", sums.agg(F.sum("cluster_inertia")).scalar())
     about = centroids.select("cluster", F.col("sha256").alias("centroid_sha256")).join(sums, "cluster")
-    return state.select(row_id, "cluster", "distance").join(F.broadcast(about), "cluster")
+    found = state.select(row_id, "cluster", "distance").join(F.broadcast(about), "cluster")
+    return found.select(row_id, "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

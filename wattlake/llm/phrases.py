@@ -8,7 +8,7 @@ bounded size and never loses a frequent phrase; a false positive costs a row tha
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 from math import ceil
 
 import numpy as np
@@ -62,9 +62,13 @@ def word_slices(text: str | None) -> Iterator[list[bytes]]:
         at = end
 
 
-def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = xxhash.xxh3_64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+@lru_cache(maxsize=1024)
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
+def word_hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word, lang_seed(lang))
 
 
 def phrase_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -88,17 +92,18 @@ class Filter:
 
 
 def filter_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """(place, 64 bits) of a filter of `bits` bits that holds the phrases."""
+    """(place, 64 bits) of a filter of `bits` bits that holds the phrases, all of one length."""
     for batch in batches:
-        hashes = np.array(
-            [
-                phrase_hashes(word_hashes(lang, phrase.encode().split(b" "))[None, :])[0]
-                for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            ],
-            dtype=np.uint64,
-        ) & np.uint64(bits - 1)
-        word = np.uint64(1) << (hashes & np.uint64(63))
-        columns = [(hashes >> np.uint64(6)).astype(np.int64), word.view(np.int64)]
+        hashes = [
+            word_hash(lang, word)
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for word in phrase.encode().split(b" ")
+        ]
+        if not hashes:
+            continue
+        at = phrase_hashes(np.array(hashes, dtype=np.uint64).reshape(len(batch), -1)) & np.uint64(bits - 1)
+        word = np.uint64(1) << (at & np.uint64(63))
+        columns = [(at >> np.uint64(6)).astype(np.int64), word.view(np.int64)]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["place", "word"])
 
 
@@ -119,37 +124,26 @@ def filter_of(frequent: DataFrame) -> Broadcast:
 
 
 class Vocabulary(dict):
-    """Word -> id within a shard, for one language; END for words that cannot be frequent."""
+    """Word -> id within a shard, for one language."""
 
     def __init__(self, shard: Shard, lang: str):
         super().__init__({STOP: END})
         self.shard, self.lang = shard, lang
-        self.seed = xxhash.xxh3_64_intdigest(lang.encode())
 
     def __missing__(self, word: bytes) -> int:
-        shard = self.shard
-        number = np.uint64(xxhash.xxh3_64_intdigest(word, self.seed))
-        if shard.words_filter and not shard.words_filter.may_hold(
-            phrase_hashes(np.array([[number]], dtype=np.uint64))
-        )[0]:
-            self[word] = END
-            return END
-        shard.words.append(word)
-        shard.langs.append(self.lang)
-        shard.hashes.append(number)
-        self[word] = len(shard.words) - 1
-        return self[word]
+        number = self[word] = len(self.shard.words)
+        self.shard.words.append(word)
+        self.shard.langs.append(self.lang)
+        return number
 
 
 class Shard:
     """Words of a block of documents as ids. Phrases never pass from one document to another."""
 
-    def __init__(self, words_filter: Filter | None):
-        self.words_filter = words_filter
-        self.words, self.langs, self.hashes = [STOP], [""], [np.uint64(0)]
+    def __init__(self):
+        self.words, self.langs = [STOP], [""]
         self.vocabularies: dict[str, Vocabulary] = {}
         self.ids: list[int] = []
-        self.total: dict[str, int] = {}
 
     def add(self, lang: str, words: list[bytes]) -> None:
         if lang not in self.vocabularies:
@@ -159,6 +153,20 @@ class Shard:
     def end(self) -> None:
         self.ids.append(END)
 
+    def hashes(self) -> np.ndarray:
+        made = map(word_hash, self.langs, self.words)
+        return np.fromiter(made, dtype=np.uint64, count=len(self.words))
+
+    def index(self, words_filter: Filter, hashes: np.ndarray) -> PhraseIndex:
+        """The index of the text; a word that cannot be frequent ends a piece."""
+        kept = words_filter.may_hold(phrase_hashes(hashes[:, None]))
+        kept[END] = False
+        ids = np.array(self.ids, dtype=np.int64)
+        ids = np.where(kept[ids], ids, END)
+        if len(ids):
+            ids = ids[(ids != END) | np.concatenate([[True], ids[:-1] != END])]
+        return PhraseIndex(ids)
+
     def rows(self, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         """Phrases, given as rows of ids, with their counts."""
         texts = pa.array(self.words, pa.binary()).cast(pa.string())
@@ -169,15 +177,13 @@ class Shard:
         return pa.RecordBatch.from_arrays([langs, phrase, length, pa.array(counts)], schema=COUNTS)
 
 
-def shards(
-    batches: Iterator[pa.RecordBatch], words_filter: Filter | None, size: int
-) -> Iterator[tuple[Shard, int]]:
+def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[Shard, int]]:
     """Shards of the documents (lang, text) with the sign of their counts.
 
     Where a long piece is cut, the next shard begins with its last DEPTH - 1 words; what lies in
     these alone would count twice, so they come as a shard of their own with sign -1.
     """
-    shard = Shard(words_filter)
+    shard = Shard()
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for words in word_slices(text):
@@ -187,7 +193,7 @@ def shards(
                     if len(shard.ids) >= size:
                         yield shard, 1
                         tail = [shard.words[i] for i in shard.ids[-(DEPTH - 1) :]]
-                        again, shard = Shard(words_filter), Shard(words_filter)
+                        again, shard = Shard(), Shard()
                         again.add(lang, tail)
                         shard.add(lang, tail)
                         yield again, -1
@@ -197,7 +203,7 @@ def shards(
 
 def single_words(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Counts of words; a row without a phrase has the number of all words of its language."""
-    for shard, sign in shards(batches, None, size):
+    for shard, sign in shards(batches, size):
         counts = np.bincount(np.array(shard.ids, dtype=np.int64), minlength=len(shard.words))[1:] * sign
         if not len(counts):
             continue
@@ -210,8 +216,9 @@ def single_words(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
 
 def pairs(batches: Iterator[pa.RecordBatch], words: Broadcast, size: int) -> Iterator[pa.RecordBatch]:
     """Counts of two-word phrases whose words may both be frequent."""
-    for shard, sign in shards(batches, Filter(words.value), size):
-        index = PhraseIndex(np.array(shard.ids, dtype=np.int64))
+    words_filter = Filter(words.value)
+    for shard, sign in shards(batches, size):
+        index = shard.index(words_filter, shard.hashes())
         _, found = index.extensions(index.single(), left=False)
         if len(found.count):
             yield shard.rows(found.words, found.count * sign)
@@ -225,13 +232,13 @@ def longer(
     A pair grows to the left, and what comes of it to the right.
     """
     words_filter, two_filter = Filter(words.value), Filter(two.value)
-    for shard, sign in shards(batches, words_filter, size):
-        hashes = np.array(shard.hashes, dtype=np.uint64)
+    for shard, sign in shards(batches, size):
+        hashes = shard.hashes()
 
         def frequent(some, first):
             return two_filter.may_hold(phrase_hashes(hashes[some.words[:, first : first + 2]]))
 
-        index = PhraseIndex(np.array(shard.ids, dtype=np.int64))
+        index = shard.index(words_filter, hashes)
         _, found = index.extensions(index.single(), left=False)
         found = found.where(frequent(found, 0))
         for left in (True, False):
