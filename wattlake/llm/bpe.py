@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,9 @@ from wattlake.llm.pretokens import (
 
 #: Characters of text whose new pre-tokens are merged together: the index covers the distinct
 #: pre-tokens of such a block of a partition, so its size is bounded.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 4_000_000
+#: From so many positions on, those of a rank are merged at once.
+AT_ONCE = 24
 #: Runs whose ids a worker remembers.
 RUNS = 200_000
 #: Bits of an id in a pair's key.
@@ -43,6 +46,12 @@ class Merges:
             self.right.append(right)
             self.made.append(vocab[a + b])
             self.rank.setdefault(left << SHIFT | right, rank)
+        #: No merge makes a pair of a lower rank, so a rank is done once it has been taken.
+        source = {made: rank for rank, made in reversed(list(enumerate(self.made)))}
+        self.steady = all(
+            rank > max(source.get(a, -1), source.get(b, -1))
+            for rank, (a, b) in enumerate(zip(self.left, self.right))
+        )
         keys = np.fromiter(self.rank, dtype=np.int64, count=len(self.rank))
         order = np.argsort(keys)
         self.keys = keys[order]
@@ -57,92 +66,160 @@ class Merges:
     def encode(self, tokens: list[str]) -> list[bytes]:
         """The ids of each pre-token, as little-endian unsigned 32-bit integers.
 
-        All pre-tokens lie in one row of symbols. `places` maps a rank, that is a pair, to the
+        All pre-tokens lie in one row of symbols. An index maps a rank, that is a pair, to the
         positions of its left symbols. Ranks are taken in ascending order; a merge moves the
-        positions of the two pairs that it makes into their lists. Should a new pair have a
-        lower rank than the one at work, the work stops and goes on after it. A position whose
-        symbols have changed meanwhile is passed over.
+        positions of the two pairs that it makes into their lists.
         """
         raw = [t.encode() for t in tokens]
         size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         ends = np.cumsum(size)
         start = self.first[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-        total = len(start)
-        if not total:
+        if not len(start):
             return [b""] * len(tokens)
-        following = np.arange(1, total + 1)
-        following[ends[size > 0] - 1] = -1
-        before = np.arange(-1, total - 1)
-        before[(ends - size)[size > 0]] = -1
-
-        here = np.nonzero(following >= 0)[0]
-        pair = start[here] << SHIFT | start[here + 1]
-        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-        known = self.keys[at] == pair
-        here, rank = here[known], self.ranks[at[known]]
-        order = np.argsort(rank, kind="stable")
-        here, rank = here[order], rank[order]
-        cuts = np.nonzero(np.diff(rank))[0] + 1
-        heads = rank[np.concatenate([[0], cuts])].tolist() if len(rank) else []
-        places = {r: p.tolist() for r, p in zip(heads, np.split(here, cuts))}
-
-        symbol, following, before = start.tolist(), following.tolist(), before.tolist()
-        rank_of, active = self.rank.get, list(places)
-        heapify(active)
-        while active:
-            rank = heappop(active)
-            positions = places.pop(rank, None)
-            if positions is None:
-                continue
-            positions.sort()
-            left, right, made = self.left[rank], self.right[rank], self.made[rank]
-            for n, i in enumerate(positions):
-                if symbol[i] != left:
-                    continue
-                j = following[i]
-                if j < 0 or symbol[j] != right:
-                    continue
-                symbol[i], symbol[j] = made, -1
-                k = following[i] = following[j]
-                lowest = rank
-                if k >= 0:
-                    before[k] = i
-                    new = rank_of(made << SHIFT | symbol[k])
-                    if new is not None:
-                        if new in places:
-                            places[new].append(i)
-                        else:
-                            places[new] = [i]
-                            heappush(active, new)
-                        lowest = min(lowest, new)
-                h = before[i]
-                if h >= 0:
-                    new = rank_of(symbol[h] << SHIFT | made)
-                    if new is not None:
-                        if new in places:
-                            places[new].append(h)
-                        else:
-                            places[new] = [h]
-                            heappush(active, new)
-                        lowest = min(lowest, new)
-                if lowest < rank:
-                    places[rank] = positions[n + 1 :] + places.get(rank, [])
-                    heappush(active, rank)
-                    break
-
-        symbols = np.array(symbol)
+        row = Row(self, start, ends, size)
+        row.merge()
+        symbols = np.frombuffer(row.symbol, dtype=np.int64)
         live = symbols >= 0
         upto = 4 * np.concatenate([[0], np.cumsum(live)])[np.concatenate([[0], ends])]
         ids = symbols[live].astype("<u4").tobytes()
         bounds = upto.tolist()
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def ranks_of(self, pairs: np.ndarray) -> np.ndarray:
+        """The rank of each pair's key, -1 for pairs that are never merged."""
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return np.where(self.keys[at] == pairs, self.ranks[at], -1)
+
     def decode(self, ids: bytes) -> str:
         """The text of ids as `encode` gives them; special ids give their strings."""
         numbers = np.frombuffer(ids, dtype="<u4").tolist()
         return b"".join([self.bytes[n] for n in numbers]).decode(errors="replace")
 
 
+class Row:
+    """A row of symbols, linked both ways, and the positions of its pairs by rank.
+
+    The numbers lie in arrays that plain loops and numpy both see: a rank with few positions is
+    merged one by one, a rank with many at once.
+    """
+
+    def __init__(self, merges: Merges, start: np.ndarray, ends: np.ndarray, size: np.ndarray):
+        total = len(start)
+        following = np.arange(1, total + 1)
+        following[ends[size > 0] - 1] = -1
+        before = np.arange(-1, total - 1)
+        before[(ends - size)[size > 0]] = -1
+        here = np.nonzero(following >= 0)[0]
+        self.merges = merges
+        self.symbol, self.following, self.before = (array("q", x.tobytes()) for x in (start, following, before))
+        self.scratch = np.empty(total, dtype=np.int64)
+        self.places: dict[int, list] = {}
+        self.active: list[int] = []
+        self.note(here, start[here] << SHIFT | start[here + 1])
+
+    def note(self, positions: np.ndarray, pairs: np.ndarray) -> None:
+        """Put positions into the lists of the pairs that now begin there."""
+        rank = self.merges.ranks_of(pairs)
+        known = rank >= 0
+        positions, rank = positions[known], rank[known]
+        if not len(rank):
+            return
+        order = np.argsort(rank, kind="stable")
+        positions, rank = positions[order], rank[order]
+        cuts = (np.nonzero(rank[1:] != rank[:-1])[0] + 1).tolist()
+        bounds = [0, *cuts, len(rank)]
+        for r, a, b in zip(rank[bounds[:-1]].tolist(), bounds, bounds[1:]):
+            if r in self.places:
+                self.places[r].append(positions[a:b])
+            else:
+                self.places[r] = [positions[a:b]]
+                heappush(self.active, r)
+
+    def merge(self) -> None:
+        """All ranks in ascending order. A position whose symbols have changed is passed over."""
+        while self.active:
+            rank = heappop(self.active)
+            parts = self.places.pop(rank, None)
+            if parts is None:
+                continue
+            count = sum(1 if type(x) is int else len(x) for x in parts)
+            if count >= AT_ONCE and self.merges.steady and self.merges.left[rank] != self.merges.right[rank]:
+                self.merge_many(rank, np.concatenate([np.atleast_1d(x) for x in parts]))
+            else:
+                positions = []
+                for x in parts:
+                    positions.append(x) if type(x) is int else positions.extend(x.tolist())
+                self.merge_few(rank, sorted(positions))
+
+    def merge_many(self, rank: int, at: np.ndarray) -> None:
+        """A pair of two unlike symbols cannot overlap itself, so all its positions merge at once."""
+        symbol, following, before = (
+            np.frombuffer(x, dtype=np.int64) for x in (self.symbol, self.following, self.before)
+        )
+        made = self.merges.made[rank]
+        own = np.arange(len(at))
+        self.scratch[at] = own  # of a position that is noted twice, the last note counts
+        after = following[at]
+        here = (self.scratch[at] == own) & (symbol[at] == self.merges.left[rank]) & (after >= 0)
+        here &= symbol[after] == self.merges.right[rank]
+        i, j = at[here], after[here]
+        if not len(i):
+            return
+        k, h = following[j], before[i]
+        symbol[i], symbol[j], following[i] = made, -1, k
+        right = k >= 0
+        before[k[right]] = i[right]
+        left = h >= 0
+        # A left neighbour may have become part of a merge itself: its own right side notes that.
+        left[left] = symbol[h[left]] >= 0
+        self.note(
+            np.concatenate([i[right], h[left]]),
+            np.concatenate([made << SHIFT | symbol[k[right]], symbol[h[left]] << SHIFT | made]),
+        )
+
+    def merge_few(self, rank: int, positions: list[int]) -> None:
+        """One by one. Should a new pair have a lower rank, the work stops and goes on after it."""
+        symbol, following, before = self.symbol, self.following, self.before
+        places, active, rank_of = self.places, self.active, self.merges.rank.get
+        left, right, made = self.merges.left[rank], self.merges.right[rank], self.merges.made[rank]
+        for n, i in enumerate(positions):
+            if symbol[i] != left:
+                continue
+            j = following[i]
+            if j < 0 or symbol[j] != right:
+                continue
+            symbol[i], symbol[j] = made, -1
+            k = following[i] = following[j]
+            lowest = rank
+            if k >= 0:
+                before[k] = i
+                new = rank_of(made << SHIFT | symbol[k])
+                if new is not None:
+                    if new in places:
+                        places[new].append(i)
+                    else:
+                        places[new] = [i]
+                        heappush(active, new)
+                    lowest = min(lowest, new)
+            h = before[i]
+            if h >= 0:
+                new = rank_of(symbol[h] << SHIFT | made)
+                if new is not None:
+                    if new in places:
+                        places[new].append(h)
+                    else:
+                        places[new] = [h]
+                        heappush(active, new)
+                    lowest = min(lowest, new)
+            if lowest < rank:
+                if rank in places:
+                    places[rank].extend(positions[n + 1 :])
+                else:
+                    places[rank] = positions[n + 1 :]
+                    heappush(active, rank)
+                return
+
+
 class Encoder:
     """Encodes texts block by block; a worker keeps the ids of runs that it has seen."""
 
@@ -156,12 +233,19 @@ class Encoder:
         """Put the ids of runs into `known` and the cache."""
         held = self.spaced if spaced else self.plain
         new = [run for run in wanted if run not in held]
-        known.update((run, held[run]) for run in wanted if run in held)
-        parts = [pre_tokens(run, spaced) for run in new]
+        known.update({run: held[run] for run in wanted if run in held})
+        whole = [run for run in new if run.isalpha()]  # a pre-token each
+        mixed = [run for run in new if not run.isalpha()]
+        parts = [pre_tokens(run, spaced) for run in mixed]
+        tokens = [" " + run for run in whole] if spaced else list(whole)
         distinct = list(dict.fromkeys(t for part in parts for t in part))
-        ids = dict(zip(distinct, self.merges.encode(distinct)))
-        for run, part in zip(new, parts):
-            known[run] = ids[part[0]] if len(part) == 1 else b"".join([ids[t] for t in part])
+        ids = self.merges.encode(tokens + distinct)
+        known.update(zip(whole, ids))
+        of_token = dict(zip(distinct, ids[len(whole) :]))
+        known.update(
+            (run, of_token[part[0]] if len(part) == 1 else b"".join([of_token[t] for t in part]))
+            for run, part in zip(mixed, parts)
+        )
         room = held.entries - len(held)
         short = [run for run in new if len(run) <= CACHED_CHARS]
         if len(short) > room:
