@@ -62,10 +62,10 @@ def sample(seed, count=60):
     return rows + [("en", None), ("en", ""), (None, None), ("de", " . , \t")] + rows[:5] * 2
 
 
-@pytest.mark.parametrize("shard_words", [phrases.SHARD_WORDS, 7, 50])
-def test_equals_brute_force(spark, shard_words):
-    rows = sample(shard_words)
-    got = phrases.collocations(frame(spark, rows), least=6, top=25, shard_words=shard_words)
+@pytest.mark.parametrize("shard_bytes", [phrases.SHARD_BYTES, 40, 300])
+def test_equals_brute_force(spark, shard_bytes):
+    rows = sample(shard_bytes)
+    got = phrases.collocations(frame(spark, rows), least=6, top=25, shard_bytes=shard_bytes)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = brute(rows, 6, 25)
     assert len(want) > 40
@@ -74,7 +74,7 @@ def test_equals_brute_force(spark, shard_words):
 
 def test_all_phrases_and_their_extensions(spark):
     rows = sample(3)
-    found, totals = phrases.frequent_phrases(frame(spark, rows), 5, shard_words=40)
+    found, totals = phrases.frequent_phrases(frame(spark, rows), 5, shard_bytes=200)
     got = {(r.lang, r.phrase): r for r in phrases.with_extensions(found).collect()}
     f = defaultdict(Counter)
     for lang, text in rows:
@@ -134,5 +134,5 @@ def test_empty(spark):
 
 def test_one_very_long_piece(spark):
     rows = [("en", "aa bb cc " * 40_000)]
-    got = phrases.collocations(frame(spark, rows, 1), least=30, shard_words=5_000).collect()
+    got = phrases.collocations(frame(spark, rows, 1), least=30, shard_bytes=30_000).collect()
     assert sorted(map(tuple, got)) == sorted(brute(rows, 30, 2000))

@@ -7,6 +7,7 @@ words only: rows that agree in those lie in the same intervals, whatever their o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -68,9 +69,16 @@ class PhraseIndex:
             ids = np.append(ids, END)
         self.sizes = np.bincount(ids)
         self.first = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.text = Direction(ids)
-        # An END first, so that it is what precedes the first suffix of the reversed text.
-        self.reversed = Direction(np.concatenate([ids[:-1][::-1], [END]]))
+        self.ids = ids
+
+    @cached_property
+    def text(self) -> Direction:
+        return Direction(self.ids)
+
+    @cached_property
+    def reversed(self) -> Direction:
+        """Of the reversed text; its END is last again, and so precedes its first suffix."""
+        return Direction(np.concatenate([self.ids[:-1][::-1], [END]]))
 
     def single(self) -> Phrases:
         """All words."""

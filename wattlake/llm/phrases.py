@@ -21,23 +21,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from wattlake.llm.phrase_index import DEPTH, END, PhraseIndex
+from wattlake.llm.pretokens import sliced
 from wattlake.llm.shingles import PLACE, mixed
 from wattlake.session import written
 
-#: Words of a shard. An index takes some 100 bytes a word while it is made.
-SHARD_WORDS = 1_500_000
-#: Bytes of a text that are cut into words at a time.
-SLICE_BYTES = 1 << 20
+#: Bytes of text of a shard. While its index is made, it takes some 25 times as much.
+SHARD_BYTES = 4_000_000
 #: Bits of the Bloom filter for each frequent phrase, and its largest size (16 MB). Beyond 8
 #: million frequent phrases of a length it lets more through; no count hangs on it.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 #: Candidates that one task ranks on average.
 RANK_ROWS = 20_000
-#: Words of a phrase. The score and the removal of contained phrases are defined for these.
-LONGEST = DEPTH
+#: Rows of an Arrow batch that a worker emits.
+ROWS = 50_000
 
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("m", pa.int32()), ("f", pa.int64())])
-COUNTS_DDL = "lang string, phrase string, m int, f bigint"
+#: What shards emit: the language, a line end, the words of a phrase with spaces between them; and
+#: its occurrences. Words have no line ends. Without a phrase: the words of the language.
+COUNTS = pa.schema([("key", pa.string()), ("f", pa.int64())])
+COUNTS_DDL = "key string, f bigint"
 
 # --- words ----------------------------------------------------------------------------
 
@@ -49,17 +50,22 @@ _PLAIN = bytes(
 STOP = b"."
 
 
-def word_slices(text: str | None) -> Iterator[list[bytes]]:
-    """The words of a text, slice by slice; STOP stands for the end of a piece."""
+def slices(text: str | None, size: int) -> Iterator[tuple[bytes, bytes]]:
+    """A text in slices of some `size` bytes, with STOP as a word of its own where a piece ends.
+
+    Also the words that a slice repeats from the one before, at most DEPTH - 1, so that every
+    phrase lies in one slice as a whole.
+    """
     data = (text or "").encode().translate(_PLAIN)
-    at = 0
+    at, repeated = 0, b""
     while at < len(data):
-        end = at + SLICE_BYTES
+        end = at + size
         if end < len(data):
             cuts = [x for x in (data.find(b" ", end), data.find(STOP, end)) if x >= 0]
             end = min(cuts, default=len(data))
-        yield data[at:end].replace(STOP, b" . ").split()
-        at = end
+        piece = repeated + b" " + data[at:end].replace(STOP, b" . ")
+        yield piece, repeated
+        at, repeated = end, b" ".join(piece.rsplit(None, DEPTH - 1)[1 - DEPTH :])
 
 
 @lru_cache(maxsize=1024)
@@ -123,105 +129,76 @@ def filter_of(frequent: DataFrame) -> Broadcast:
 # --- shards ---------------------------------------------------------------------------
 
 
-class Vocabulary(dict):
-    """Word -> id within a shard, for one language."""
-
-    def __init__(self, shard: Shard, lang: str):
-        super().__init__({STOP: END})
-        self.shard, self.lang = shard, lang
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.shard.words)
-        self.shard.words.append(word)
-        self.shard.langs.append(self.lang)
-        return number
-
-
 class Shard:
-    """Words of a block of documents as ids. Phrases never pass from one document to another."""
+    """Texts of one language as ids. `sign` is what an occurrence counts."""
 
-    def __init__(self):
-        self.words, self.langs = [STOP], [""]
-        self.vocabularies: dict[str, Vocabulary] = {}
-        self.ids: list[int] = []
-
-    def add(self, lang: str, words: list[bytes]) -> None:
-        if lang not in self.vocabularies:
-            self.vocabularies[lang] = Vocabulary(self, lang)
-        self.ids.extend(map(self.vocabularies[lang].__getitem__, words))
-
-    def end(self) -> None:
-        self.ids.append(END)
+    def __init__(self, lang: str, texts: list[bytes], sign: int):
+        self.lang, self.sign = lang, sign
+        joined = pa.array([b" . ".join(texts).strip(b" ")], pa.binary()).cast(pa.string())
+        coded = pc.ascii_split_whitespace(joined).flatten().dictionary_encode()
+        self.words = pa.concat_arrays([pa.array([STOP.decode()]), coded.dictionary])
+        stop = pc.index(coded.dictionary, STOP.decode()).as_py()
+        ids = coded.indices.to_numpy().astype(np.int64)
+        self.ids = np.where(ids == stop, END, ids + 1)
 
     def hashes(self) -> np.ndarray:
-        made = map(word_hash, self.langs, self.words)
+        made = (word_hash(self.lang, x) for x in self.words.cast(pa.binary()).to_pylist())
         return np.fromiter(made, dtype=np.uint64, count=len(self.words))
 
     def index(self, words_filter: Filter, hashes: np.ndarray) -> PhraseIndex:
         """The index of the text; a word that cannot be frequent ends a piece."""
         kept = words_filter.may_hold(phrase_hashes(hashes[:, None]))
         kept[END] = False
-        ids = np.array(self.ids, dtype=np.int64)
-        ids = np.where(kept[ids], ids, END)
-        if len(ids):
-            ids = ids[(ids != END) | np.concatenate([[True], ids[:-1] != END])]
-        return PhraseIndex(ids)
+        ids = np.where(kept[self.ids], self.ids, END)
+        return PhraseIndex(ids[(ids != END) | np.concatenate([[True], ids[:-1] != END])])
 
-    def rows(self, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    def rows(self, words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Phrases, given as rows of ids, with their counts."""
-        texts = pa.array(self.words, pa.binary()).cast(pa.string())
-        langs = pa.array(self.langs, pa.string()).take(pa.array(words[:, 0]))
-        parts = [texts.take(pa.array(words[:, k])) for k in range(words.shape[1])]
-        phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-        length = pa.array(np.full(len(words), words.shape[1], dtype=np.int32))
-        return pa.RecordBatch.from_arrays([langs, phrase, length, pa.array(counts)], schema=COUNTS)
+        for start in range(0, len(words), ROWS):
+            some = words[start : start + ROWS]
+            parts = [self.words.take(pa.array(some[:, k])) for k in range(some.shape[1])]
+            phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
+            key = pc.binary_join_element_wise(self.lang, phrase, "\n")
+            yield pa.RecordBatch.from_arrays([key, pa.array(counts[start : start + ROWS] * self.sign)], schema=COUNTS)
 
 
-def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[Shard, int]]:
-    """Shards of the documents (lang, text) with the sign of their counts.
+def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Shard]:
+    """The documents (lang, text) in shards of some `size` bytes, apart by language.
 
-    Where a long piece is cut, the next shard begins with its last DEPTH - 1 words; what lies in
-    these alone would count twice, so they come as a shard of their own with sign -1.
+    Words that a slice of a long text repeats would count twice: they come again with sign -1.
     """
-    shard = Shard()
-    for batch in batches:
+    held: dict[tuple[str, int], list[bytes]] = {}
+    total = 0
+    for batch in sliced(batches):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for words in word_slices(text):
-                for start in range(0, len(words), size):
-                    some = words[start : start + size]
-                    shard.add(lang, some)
-                    if len(shard.ids) >= size:
-                        yield shard, 1
-                        tail = [shard.words[i] for i in shard.ids[-(DEPTH - 1) :]]
-                        again, shard = Shard(), Shard()
-                        again.add(lang, tail)
-                        shard.add(lang, tail)
-                        yield again, -1
-            shard.end()
-    yield shard, 1
+            for piece, repeated in slices(text, size):
+                held.setdefault((lang, 1), []).append(piece)
+                if repeated:
+                    held.setdefault((lang, -1), []).append(repeated)
+                total += len(piece)
+                if total >= size:
+                    yield from (Shard(lang, texts, sign) for (lang, sign), texts in held.items())
+                    held, total = {}, 0
+    yield from (Shard(lang, texts, sign) for (lang, sign), texts in held.items())
 
 
 def single_words(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Counts of words; a row without a phrase has the number of all words of its language."""
-    for shard, sign in shards(batches, size):
-        counts = np.bincount(np.array(shard.ids, dtype=np.int64), minlength=len(shard.words))[1:] * sign
-        if not len(counts):
-            continue
-        yield shard.rows(np.arange(1, len(shard.words))[:, None], counts)
-        langs = pa.array(shard.langs[1:], pa.string())
-        sums = pa.table({"lang": langs, "f": counts}).group_by("lang").aggregate([("f", "sum")])
-        nothing = [pa.nulls(len(sums), COUNTS.field(k).type) for k in (1, 2)]
-        yield from pa.table([sums["lang"], *nothing, sums["f_sum"]], schema=COUNTS).to_batches()
+    """Counts of words, and the number of all words of a language under an empty phrase."""
+    for shard in shards(batches, size):
+        counts = np.bincount(shard.ids, minlength=len(shard.words))
+        words = np.nonzero(counts[1:])[0] + 1
+        yield from shard.rows(words[:, None], counts[words])
+        whole = [pa.array([f"{shard.lang}\n"]), pa.array([int(counts[1:].sum()) * shard.sign])]
+        yield pa.RecordBatch.from_arrays(whole, schema=COUNTS)
 
 
 def pairs(batches: Iterator[pa.RecordBatch], words: Broadcast, size: int) -> Iterator[pa.RecordBatch]:
     """Counts of two-word phrases whose words may both be frequent."""
     words_filter = Filter(words.value)
-    for shard, sign in shards(batches, size):
+    for shard in shards(batches, size):
         index = shard.index(words_filter, shard.hashes())
         _, found = index.extensions(index.single(), left=False)
-        if len(found.count):
-            yield shard.rows(found.words, found.count * sign)
+        yield from shard.rows(found.words, found.count)
 
 
 def longer(
@@ -232,7 +209,7 @@ def longer(
     A pair grows to the left, and what comes of it to the right.
     """
     words_filter, two_filter = Filter(words.value), Filter(two.value)
-    for shard, sign in shards(batches, size):
+    for shard in shards(batches, size):
         hashes = shard.hashes()
 
         def frequent(some, first):
@@ -244,15 +221,14 @@ def longer(
         for left in (True, False):
             _, found = index.extensions(found, left)
             found = found.where(frequent(found, 0 if left else found.words.shape[1] - 2))
-            if len(found.count):
-                yield shard.rows(found.words, found.count * sign)
+            yield from shard.rows(found.words, found.count)
 
 
 # --- all shards -----------------------------------------------------------------------
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int, text: str = "text", lang: str = "lang", shard_words: int = SHARD_WORDS
+    docs: DataFrame, least: int, text: str = "text", lang: str = "lang", shard_bytes: int = SHARD_BYTES
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to 4 words that occur at least `least` times in their language.
 
@@ -260,18 +236,21 @@ def frequent_phrases(
     lang, n. `docs` is read three times. Both tables are written down.
     """
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    phrase = F.substring_index("key", "\n", -1)
+    named = F.expr("left(key, length(key) - length(phrase) - 1)")
 
     def summed(counted, label: str) -> DataFrame:
-        sums = rows.mapInArrow(counted, COUNTS_DDL).groupBy("lang", "phrase", "m")
-        sums = sums.agg(F.sum("f").alias("f")).where((F.col("f") >= least) | F.col("phrase").isNull())
-        return written(sums, f"phrases-{label}")
-
-    first = summed(partial(single_words, size=shard_words), "1")
-    totals = first.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
-    words = first.where("phrase IS NOT NULL")
+        sums = rows.mapInArrow(counted, COUNTS_DDL).groupBy("key").agg(F.sum("f").alias("f"))
+        sums = sums.withColumn("phrase", phrase).where((F.col("f") >= least) | (F.col("phrase") == ""))
+        words = F.size(F.split("phrase", " ")).alias("m")
+        return written(sums.select(named.alias("lang"), "phrase", words, "f"), f"phrases-{label}")
+
+    first = summed(partial(single_words, size=shard_bytes), "1")
+    totals = first.where("phrase = ''").select("lang", F.col("f").alias("n"))
+    words = first.where("phrase != ''")
     word_filter = filter_of(words)
-    two = summed(partial(pairs, words=word_filter, size=shard_words), "2")
-    rest = summed(partial(longer, words=word_filter, two=filter_of(two), size=shard_words), "3")
+    two = summed(partial(pairs, words=word_filter, size=shard_bytes), "2")
+    rest = summed(partial(longer, words=word_filter, two=filter_of(two), size=shard_bytes), "3")
     return words.unionByName(two).unionByName(rest), totals
 
 
@@ -346,7 +325,7 @@ def collocations(
     top: int = 2000,
     text: str = "text",
     lang: str = "lang",
-    shard_words: int = SHARD_WORDS,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The `top` collocations of each language: phrases of 2 to 4 words, by how firmly they cohere.
 
@@ -360,7 +339,7 @@ def collocations(
     they are there. Empty in, empty out. Other columns are not read.
     Columns: lang, rank (from 1), phrase, a, l, r, n (words of the language), score.
     """
-    phrases, totals = frequent_phrases(docs, least, text, lang, shard_words)
+    phrases, totals = frequent_phrases(docs, least, text, lang, shard_bytes)
     contained = F.greatest("left_f", "right_f") * 5 >= F.col("f") * 4
     apart = with_extensions(phrases.where("m > 1")).where(~F.coalesce(contained, F.lit(False)))
     scored = with_cuts(apart.select("lang", "phrase", "m", "f"), phrases)
