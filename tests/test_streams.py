@@ -1,6 +1,7 @@
 """Streams over several files and micro-batches, against the batch result."""
 
 import random
+import time
 
 import pytest
 from conftest import at
@@ -143,53 +144,61 @@ def test_cumulative_tables(spark, source, tmp_path):
     ):
         again = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 2)
         totals = of(again.parquet(str(tmp_path / "e")))
-        sink = run.table_sink(str(tmp_path / name))
-        run.run_available_now(totals, sink, str(tmp_path / f"c{name}"), mode="complete")
-        got = spark.read.parquet(str(tmp_path / name))
-        newest = got.filter(F.col("batch") == got.agg(F.max("batch")).first()[0])
-        assert values(newest, key) == values(want, key)
+        sink = run.BucketTable(spark, str(tmp_path / name), key[:1], buckets=4)
+        run.run_available_now(totals, sink, str(tmp_path / f"c{name}"), mode="update")
+        assert values(sink.read(totals.schema), key) == values(want, key)
 
 
-@pytest.mark.parametrize(
-    "duration, n, group_rows",
-    [("5 minutes", 20, 50), (None, 35, 10**6), ("1 minute", 1000, 10**6)],
-)
-def test_hybrid_equals_batch(spark, source, readings, tmp_path, duration, n, group_rows):
-    sink = run.table_sink(str(tmp_path / "w"))
-    live = stateful.HybridWindows(
-        spark, str(tmp_path / "state"), sink, duration, n, "10 seconds", exact=True, group_rows=group_rows
-    )
-    run.run_available_now(stream(spark, source), live, str(tmp_path / "c"))
+def hybrid(spark, path, out, duration, n, delay):
+    """Closed windows and late readings of all that lies in `path`, in tables under `out`."""
+    run.use_rocksdb(spark)
+    sink = stateful.hybrid_sink(run.table_sink(f"{out}-w"), run.table_sink(f"{out}-l"), duration, exact=True)
+    run.run_available_now(stateful.hybrid_stream(stream(spark, path), duration, n, delay), sink, f"{out}-c")
+    return [spark.read.parquet(f"{out}-{x}").drop("batch") for x in "wl"]
+
+
+@pytest.mark.parametrize("duration, n", [("5 minutes", 20), (None, 35), ("1 minute", 1000)])
+def test_hybrid_equals_batch(spark, source, readings, tmp_path, duration, n):
+    closed, late = hybrid(spark, source, str(tmp_path / "h"), duration, n, "10 seconds")
     batch = windows.tumble_hybrid(valid_only(readings), duration, n, exact=True)
-    left = live.flush()
-    closed = spark.read.schema(left.schema).parquet(str(tmp_path / "w")).drop("batch")
-    assert closed.count() > 0
+    left = stateful.open_windows(readings, closed, late, duration, n, exact=True)
+    assert closed.count() > 0 and left.count() > 0 and late.count() == 0
     assert values(closed.unionByName(left)) == values(batch, left.columns)
 
 
 def test_anomalies_equal_batch(spark, source, readings, tmp_path):
-    for group_rows in (50, 10**6):
-        out = str(tmp_path / f"a{group_rows}")
-        live = stateful.Anomalies(spark, f"{out}-state", run.table_sink(out), group_rows=group_rows)
-        run.run_available_now(stream(spark, source), live, f"{out}-c")
-        got = spark.read.parquet(out)
+    run.use_rocksdb(spark)
+    for ttl in (None, "1 hour"):
+        out = str(tmp_path / f"a{ttl}")
+        coded = stateful.anomaly_stream(stream(spark, source), ttl=ttl)
+        run.to_table(coded, out, f"{out}-c").awaitTermination()
+        columns = ["event_id", "anomaly_code"]
+        assert values(spark.read.parquet(out), columns) == values(windows.with_anomaly(readings), columns)
+
+
+def test_anomalies_tell_null_from_nan(spark, tmp_path):
+    run.use_rocksdb(spark)
+    rows = [(1, "m", at(1), 1.0, 220.0), (2, "m", at(2), float("nan"), 220.0), (3, "m", at(3), None, 220.0), (4, "m", at(4), 1.0, 220.0)]
+    frame = spark.createDataFrame(rows, "event_id bigint, meter_id string, ts timestamp, kwh double, voltage double")
+    path = str(tmp_path / "in")
+    for number in (1, 2, 3, 4):
+        frame.filter(f"event_id = {number}").coalesce(1).write.mode("append").parquet(path)
+    live = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for nan in ("pass", "reject"):
+        run.to_table(stateful.anomaly_stream(live, nan=nan), f"{path}-{nan}", f"{path}-c{nan}").awaitTermination()
         columns = ["event_id", "anomaly_code"]
-        assert values(got, columns) == values(windows.with_anomaly(readings), columns)
+        assert values(spark.read.parquet(f"{path}-{nan}"), columns) == values(windows.with_anomaly(frame, nan=nan), columns)
 
 
 def test_restart_goes_on_where_it_stopped(spark, readings, tmp_path):
-    path, out = str(tmp_path / "in"), str(tmp_path / "w")
+    path, out = str(tmp_path / "in"), str(tmp_path / "h")
     batch = windows.tumble_hybrid(valid_only(readings), "5 minutes", 20, exact=True)
     for cuts in ([0, 100, 250], [250, 400, 600]):
         write_parts(readings, path, cuts)
-        live = stateful.HybridWindows(
-            spark, str(tmp_path / "state"), run.table_sink(out), "5 minutes", 20, "0 seconds", exact=True
-        )
-        run.run_available_now(stream(spark, path), live, str(tmp_path / "c"))
+        closed, late = hybrid(spark, path, out, "5 minutes", 20, "0 seconds")
         metrics = ingest.metric_stream(stream(spark, path), "60 seconds", "10 seconds")
         run.to_table(metrics, str(tmp_path / "m"), str(tmp_path / "cm")).awaitTermination()
-    left = live.flush()
-    closed = spark.read.schema(left.schema).parquet(out).drop("batch")
+    left = stateful.open_windows(readings, closed, late, "5 minutes", 20, exact=True)
     assert values(closed.unionByName(left)) == values(batch, left.columns)
     closed = spark.read.schema(metrics.schema).parquet(str(tmp_path / "m"))
     rest = run.final_flush(valid_only(readings), closed, "60 seconds")
@@ -197,21 +206,65 @@ def test_restart_goes_on_where_it_stopped(spark, readings, tmp_path):
     assert values(closed.unionByName(rest)) == values(want)
 
 
-def test_a_repeated_batch_changes_nothing(spark, readings, tmp_path):
-    parts = [readings.filter(f"event_id >= {a} and event_id < {b}") for a, b in ((0, 200), (200, 400), (400, 600))]
-    once, twice = (
-        stateful.HybridWindows(
-            spark, str(tmp_path / f"s{i}"), run.table_sink(str(tmp_path / f"w{i}")), "5 minutes", 20, exact=True
-        )
-        for i in (1, 2)
-    )
-    for batch_id, part in enumerate(parts):
-        once(part, batch_id)
-        twice(part, batch_id)
-        twice(part, batch_id)
-    assert values(once.flush()) == values(twice.flush())
-    tables = [spark.read.parquet(str(tmp_path / f"w{i}")) for i in (1, 2)]
-    assert values(tables[0]) == values(tables[1])
+def test_parts_give_what_whole_windows_give(spark, source, readings, tmp_path):
+    """Totals, summaries, metrics and cumulative tables do not depend on the number of parts."""
+    got = {}
+    for parts in (1, 3):
+        (tmp_path / str(parts)).mkdir()
+        table = envelope_table(spark, source, tmp_path / str(parts), parts)
+        again = spark.readStream.schema(table.schema).parquet(str(tmp_path / str(parts) / "e"))
+        totals = run.BucketTable(spark, str(tmp_path / f"t{parts}"), ["collector_id"], 4)
+        run.run_available_now(reports.collector_totals(again), totals, str(tmp_path / f"c{parts}"), mode="update")
+        sent = envelopes.array_envelopes(envelopes.with_decoded(envelopes.to_kafka_rows(table))).select(table.columns)
+        got[parts] = [
+            values(frame)
+            for frame in (
+                envelopes.with_envelope_totals(table).drop("metrics", "whole", "part"),
+                envelopes.envelope_summary(table),
+                envelopes.summarize_envelopes(sent),
+                envelopes.explode_metrics(envelopes.with_facts(table)),
+                envelopes.explode_metrics(envelopes.with_facts(sent)),
+                totals.read(reports.collector_totals(table).schema),
+            )
+        ]
+    assert got[1] == got[3] and got[1][3]
+
+
+def test_bucket_table(spark, tmp_path):
+    schema = "k string, v int"
+    table = run.BucketTable(spark, str(tmp_path / "t"), ["k"], buckets=3)
+    assert table.read(spark.createDataFrame([], schema).schema).count() == 0
+    want = {}
+    for batch_id in range(12):
+        rows = {f"k{(batch_id * 5 + i) % 9}": batch_id * 10 + i for i in range(2)}
+        if batch_id == 4:
+            rows = {None: 1}
+        batch = spark.createDataFrame(list(rows.items()), schema)
+        for _ in range(2 if batch_id % 3 == 0 else 1):  # repeated batches
+            table(batch, batch_id)
+        want |= rows
+        assert dict(map(tuple, table.read(batch.schema).collect())) == want
+    kept = list((tmp_path / "t" / "rows").glob("*/in_bucket=*"))
+    assert len(kept) <= 6 and len(list((tmp_path / "t" / "lists").glob("batch=*"))) == 2
+
+
+def test_a_failing_sink_repeats_no_other(spark, tmp_path):
+    seen = {"a": [], "b": []}
+
+    def b(batch, batch_id):
+        if batch_id == 1 and 1 not in seen["b"] and "failed" not in seen:
+            seen["failed"] = True
+            raise RuntimeError("down")
+        seen["b"].append(batch_id)
+
+    sink = run.fan_out(lambda batch, n: seen["a"].append(n), b, ledger=str(tmp_path / "ledger"))
+    frame = spark.range(3)
+    sink(frame, 0)
+    with pytest.raises(RuntimeError):
+        sink(frame, 1)
+    for batch_id in (1, 2, 2):
+        sink(frame, batch_id)
+    assert seen["a"] == [0, 1, 2] and seen["b"] == [0, 1, 2]
 
 
 def test_store_keeps_the_last_write(spark, make, tmp_path):
@@ -233,17 +286,24 @@ def test_late_readings_are_dropped_and_counted(spark, make, tmp_path):
     path = str(tmp_path / "in")
     write_parts(rows.select(columns), path, [0, 2, 3, 4, 5])
     out = ingest.metric_stream(stream(spark, path), "60 seconds", "30 seconds")
-    query = run.to_table(out, str(tmp_path / "m"), str(tmp_path / "c"))
-    query.awaitTermination()
-    assert run.late_rows(query) == 1
+    listener = run.LateRows()
+    spark.streams.addListener(listener)
+    try:
+        query = run.to_table(out, str(tmp_path / "m"), str(tmp_path / "c"))
+        query.awaitTermination()
+        for _ in range(50):  # the listener hears of progress a little later
+            if listener.dropped.get(str(query.id)):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.dropped[str(query.id)] == 1
     closed = spark.read.schema(out.schema).parquet(str(tmp_path / "m"))
     assert closed.agg(F.sum("count")).first()[0] == 2
-    live = stateful.HybridWindows(
-        spark, str(tmp_path / "s"), run.table_sink(str(tmp_path / "w")), "60 seconds", 10, "30 seconds"
-    )
-    run.run_available_now(stream(spark, path), live, str(tmp_path / "c2"))
-    counted = spark.read.parquet(str(tmp_path / "w")).agg(F.sum("count")).first()[0]
-    assert counted + live.flush().agg(F.sum("count")).first()[0] == 4
+    closed, late = hybrid(spark, path, str(tmp_path / "h"), "60 seconds", 10, "30 seconds")
+    left = stateful.open_windows(rows, closed, late, "60 seconds", 10)
+    assert [r.event_id for r in late.collect()] == [3]
+    assert (closed.agg(F.sum("count")).first()[0] or 0) + left.agg(F.sum("count")).first()[0] == 4
 
 
 def test_dead_letters_and_fan_out(spark, readings, tmp_path):

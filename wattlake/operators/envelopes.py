@@ -40,15 +40,48 @@ def dealt(metrics: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
 
     A stream cannot number the meters of a window. `keep` names further columns.
 
-    With several parts, each row also stands for its window in part 0, without a metric.
-    These rows combine to one per window and task before they are shuffled.
+    With several parts, each row also stands for its window in part 0: not with its metric, but
+    with what it adds to the facts of the window, `_f`. These rows combine to one per window and
+    task before they are shuffled.
     """
-    rows = metrics.select(*keep, F.struct(*METRIC_FIELDS).alias("_m"), parts.alias("_parts"))
+    added = F.struct(*[F.col(c) for c in ("count", "sum_kwh", "avg_kwh")])
+    rows = metrics.select(
+        *keep, F.struct(*METRIC_FIELDS).alias("_m"), added.alias("_f"), parts.alias("_parts")
+    )
     own = F.expr("1 + pmod(xxhash64(_m.meter_id), _parts)").cast("int")
     slots = F.when(F.col("_parts") > 1, F.array(F.lit(0), own)).otherwise(F.array(F.lit(0)))
     spread = rows.withColumn("part", F.explode(slots))
     carries = (F.col("_parts") == 1) | (F.col("part") > 0)
-    return spread.withColumn("_m", F.when(carries, F.col("_m"))).drop("_parts")
+    return spread.withColumns(
+        {"_m": F.when(carries, F.col("_m")), "_f": F.when(~carries, F.col("_f"))}
+    ).drop("_parts")
+
+
+def dealt_facts(exact: bool = False) -> Column:
+    """The aggregate that makes `whole` of dealt rows; only part 0 of a split window has it."""
+    meters = F.count("_f")
+    facts = F.struct(
+        F.sum("_f.count").alias("total_count"),
+        meters.alias("num_meters"),
+        total("_f.sum_kwh", exact).alias("total_kwh"),
+        total("_f.avg_kwh", exact).alias("sum_of_avg_kwh"),
+    )
+    return F.when(meters > 0, facts).alias("whole")
+
+
+def with_facts(envelopes: DataFrame) -> DataFrame:
+    """Give every part of a stored table of stream parts the facts that its part 0 has.
+
+    On a stream, totals and summaries need part 0 only; `explode_metrics` needs all parts.
+    """
+    keys = window_keys(envelopes)
+    known = envelopes.filter("part = 0 and whole is not null").select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("whole").alias("_whole")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    filled = F.coalesce(F.col("whole"), F.col("_whole"))
+    rows = envelopes.join(known, same, "left").withColumn("whole", filled)
+    return rows.select(envelopes.columns)
 
 
 def envelope_columns(as_map: bool) -> list[Column]:

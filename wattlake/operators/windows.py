@@ -197,12 +197,19 @@ def tumble_hybrid(
         exact,
         group_rows,
     )
-    end = F.col("_start") + F.expr(f"interval {seconds(duration)} seconds")
+    return hybrid_bounds(metrics, duration)
+
+
+def hybrid_bounds(metrics: DataFrame, duration: str | None) -> DataFrame:
+    """Time-or-count windows with their bounds, from metrics with `_start`, `_full`, `_from`, `_to`."""
+    start, end = F.col("_from"), F.col("_to")
+    if duration is not None:
+        over = F.col("_start") + F.expr(f"interval {seconds(duration)} seconds")
+        start = F.when(F.col("window_seq") == 0, F.col("_start")).otherwise(start)
+        end = F.when(F.col("_full"), end).otherwise(over)
     return metrics.select(
-        F.when(F.col("window_seq") == 0, F.col("_start"))
-        .otherwise(F.col("_from"))
-        .alias("window_start"),
-        F.when(F.col("_full"), F.col("_to")).otherwise(end).alias("window_end"),
+        start.alias("window_start"),
+        end.alias("window_end"),
         "window_seq",
         *SOURCE_KEYS,
         "meter_id",

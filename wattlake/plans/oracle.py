@@ -501,6 +501,8 @@ STREAMED = {
     "stream_collectors": "collector_stats",
     "stream_hybrid": "tumbling_hybrid",
     "stream_anomalies": "anomalies",
+    "split_stream_envelopes": "tumbling_time",
+    "split_stream_collectors": "collector_stats",
 }
 
 
@@ -525,6 +527,33 @@ SPLIT = {
 }
 
 
+def _streams() -> dict[str, str]:
+    """Streams whose results no batch query has."""
+    last = "(ts_us - low) * 4 // span"
+    return {
+        "split_stream_totals": _with(WINDOWS, "SELECT * FROM windows"),
+        "stream_meters": _with(
+            METRICS,
+            f"""SELECT meter_id, {_long('sum(count)')} AS count, {_sum('sum_kwh')} AS sum_kwh,
+                  min(min_kwh) AS min_kwh, max(max_kwh) AS max_kwh FROM metrics GROUP BY meter_id""",
+        ),
+        "stream_late": _with(
+            READINGS,
+            f"""SELECT event_id, meter_id, ts FROM (
+                  SELECT *, max(CASE WHEN arrival < 3 THEN ts END) OVER () - INTERVAL 1 HOUR AS seen
+                  FROM (SELECT valid.*, CASE WHEN event_id % 50 = 7 THEN 3 ELSE {last} END AS arrival
+                        FROM (SELECT *, epoch_us(ts) AS ts_us FROM valid) valid,
+                             (SELECT min(epoch_us(ts)) AS low,
+                                     max(epoch_us(ts)) - min(epoch_us(ts)) + 1 AS span FROM events)))
+                WHERE arrival = 3
+                  AND time_bucket(INTERVAL 7 DAY, ts, {ORIGIN}) + INTERVAL 7 DAY <= date_trunc('millisecond', seen)""",
+        ),
+        "stream_fan_out": _with(
+            READINGS, "SELECT event_id, meter_id, sink FROM valid, (SELECT unnest([0, 1]) AS sink)"
+        ),
+    }
+
+
 def statements() -> dict[str, str]:
-    batch = _batch()
+    batch = _batch() | _streams()
     return batch | {name: batch[same] for name, same in (STREAMED | SPLIT).items()}

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.functions.rules import valid_only
 from wattlake.operators import envelopes, rollups
@@ -21,12 +23,6 @@ DAY = "1 day"
 DELAY = "1 hour"
 
 
-def readings_stream(spark: SparkSession, sf: str) -> DataFrame:
-    source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    rows = source.option("maxFilesPerTrigger", 100).parquet(sf)
-    return adapters.as_readings(rows, _total_meters(spark, sf))
-
-
 def _total_meters(spark: SparkSession, sf: str) -> int:
     return adapters.events(spark, sf).agg(F.max("user_id") + 1).first()[0]
 
@@ -37,21 +33,80 @@ def _to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def _closed_and_rest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    per_shard = _total_meters(spark, sf) / adapters.SHARDS
-    parts = math.ceil(per_shard / envelopes.MAX_METRICS)
-    stream = ingest.envelope_stream(readings_stream(spark, sf), DAY, DELAY, parts, exact=True)
-    closed = _to_table(spark, stream, "envelopes")
+#: Files of a stream of events in order of time; after each the query is started anew.
+ARRIVALS = 4
+
+
+def _arrival(spark: SparkSession, sf: str, held_back: str = "false") -> DataFrame:
+    """Events with the number of the file they come in: equal spans of time, in order. Events that
+    `held_back` names come in the last file."""
+    table = adapters.events(spark, sf).withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    low, span = table.agg(F.min("_us"), F.max("_us") - F.min("_us") + 1).first()
+    own = F.expr(f"(_us - {low}) * {ARRIVALS} div {span}")
+    last = F.lit(ARRIVALS - 1).cast("bigint")
+    return table.withColumn("_arrival", F.when(F.expr(held_back), last).otherwise(own)).drop("_us")
+
+
+def _each_arrival(spark: SparkSession, events: DataFrame, total: int, start) -> None:
+    """Give events to a stream file by file; `start(readings)` starts the query again each time."""
+    path = new_path(spark, "events")
+    for number in range(ARRIVALS):
+        part = events.filter(F.col("_arrival") == number).drop("_arrival")
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(EVENTS).parquet(path)
+        start(adapters.as_readings(stream, total)).awaitTermination()
+
+
+def _closed_and_rest(
+    spark: SparkSession, sf: str, max_metrics: int = envelopes.MAX_METRICS
+) -> tuple[DataFrame, DataFrame]:
+    total = _total_meters(spark, sf)
+    parts = math.ceil(total / adapters.SHARDS / max_metrics)
+    path, checkpoint = new_path(spark, "envelopes"), new_path(spark, "checkpoint")
+    schema = []
+
+    def start(readings):
+        stream = ingest.envelope_stream(readings, DAY, DELAY, parts, exact=True)
+        schema.append(stream.schema)
+        return run.to_table(stream, path, checkpoint)
+
+    _each_arrival(spark, _arrival(spark, sf), total, start)
+    closed = spark.read.schema(schema[-1]).parquet(path)
     stored = valid_only(adapters.readings(spark, sf))
     return closed, run.final_flush(stored, closed, DAY, exact=True)
 
 
+def _exploded(closed: DataFrame, rest: DataFrame) -> DataFrame:
+    rows = envelopes.explode_metrics(envelopes.with_facts(closed))
+    return rows.select(rest.columns).unionByName(rest)
+
+
 def stream_envelopes(spark, sf):
     """Readings to envelopes on a stream, and the last window by a final flush."""
-    closed, rest = _closed_and_rest(spark, sf)
-    columns = rest.columns
-    rows = envelopes.explode_metrics(closed).select(columns).unionByName(rest)
-    return rows
+    return _exploded(*_closed_and_rest(spark, sf))
+
+
+def split_stream_envelopes(spark, sf):
+    """The same with windows of more than two meters in parts."""
+    return _exploded(*_closed_and_rest(spark, sf, max_metrics=2))
+
+
+def split_stream_totals(spark, sf):
+    """Windows in parts: their counts, energy and meters, which part 0 has."""
+    closed, rest = _closed_and_rest(spark, sf, max_metrics=2)
+    whole = envelopes.summarize_envelopes(closed)
+    return whole.unionByName(envelopes.summarize(rest, exact=True))
+
+
+def _all_envelopes(spark: SparkSession, sf: str, max_metrics: int = envelopes.MAX_METRICS) -> tuple[str, T.StructType]:
+    """A table of envelopes, those of the stream and the flushed ones, in several files."""
+    closed, rest = _closed_and_rest(spark, sf, max_metrics)
+    source = new_path(spark, "source")
+    both = closed.unionByName(envelopes.nest_array(rest), allowMissingColumns=True)
+    for number in range(ARRIVALS):
+        half = F.pmod(F.xxhash64("window_start", "shard_id"), F.lit(ARRIVALS)) == number
+        both.filter(half).write.mode("append").parquet(source)
+    return source, both.schema
 
 
 def stream_report(spark, sf):
@@ -68,43 +123,110 @@ def stream_report(spark, sf):
     return done.unionByName(last.join(done, "interval_start", "left_anti"))
 
 
+def _cumulative(spark: SparkSession, totals_of, source: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """Totals since the start, in update mode, merged into a table batch by batch."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 12).parquet(source)
+    totals = totals_of(stream)
+    table = run.BucketTable(spark, new_path(spark, "totals"), keys, buckets=8)
+    run.run_available_now(totals, table, new_path(spark, "checkpoint"), mode="update")
+    return table.read(totals.schema)
+
+
+def _collectors(spark: SparkSession, sf: str, max_metrics: int) -> DataFrame:
+    source, schema = _all_envelopes(spark, sf, max_metrics)
+    table = _cumulative(spark, reports.collector_totals, source, schema, ["collector_id"])
+    return table.withColumn("total_kwh", F.round("total_kwh", 2))
+
+
 def stream_collectors(spark, sf):
-    """Totals per collector since the start, in complete mode."""
-    closed, rest = _closed_and_rest(spark, sf)
-    source, path = new_path(spark, "source"), new_path(spark, "collectors")
-    closed.unionByName(envelopes.nest_array(rest), allowMissingColumns=True).write.parquet(source)
-    stream = spark.readStream.schema(closed.schema).parquet(source)
-    totals = reports.collector_totals(stream)
-    run.run_available_now(
-        totals, run.table_sink(path), new_path(spark, "checkpoint"), mode="complete"
-    )
-    table = spark.read.parquet(path)
-    newest = table.agg(F.max("batch")).scalar()
-    return (
-        table.withColumn("_newest", newest)
-        .filter("batch = _newest")
-        .select("collector_id", "windows", "readings", F.round("total_kwh", 2).alias("total_kwh"))
-    )
+    """Totals per collector since the start."""
+    return _collectors(spark, sf, envelopes.MAX_METRICS)
+
+
+def split_stream_collectors(spark, sf):
+    """The same from windows in parts of two meters."""
+    return _collectors(spark, sf, 2)
+
+
+def stream_meters(spark, sf):
+    """Count, energy and extremes per meter since the start, from windows in parts."""
+    source, schema = _all_envelopes(spark, sf, 2)
+    return _cumulative(spark, lambda e: reports.meter_totals(e, exact=True), source, schema, ["meter_id"])
+
+
+def _hybrid(spark: SparkSession, events: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Closed windows and late readings of time-or-count windows, over several starts."""
+    run.use_rocksdb(spark)
+    closed, late, checkpoint = (new_path(spark, x) for x in ("hybrid", "late", "checkpoint"))
+    sink = stateful.hybrid_sink(run.table_sink(closed), run.table_sink(late), "7 days", exact=True)
+
+    def start(readings):
+        return run.to_sink(stateful.hybrid_stream(readings, "7 days", 100, DELAY), sink, checkpoint)
+
+    _each_arrival(spark, events, total, start)
+    return spark.read.parquet(closed).drop("batch"), spark.read.parquet(late).drop("batch")
 
 
 def stream_hybrid(spark, sf):
-    """Time-or-count windows on a stream, with a flush at its end."""
-    path = new_path(spark, "hybrid")
-    windows = stateful.HybridWindows(
-        spark, new_path(spark, "state"), run.table_sink(path), "7 days", 100, DELAY, exact=True
-    )
-    run.run_available_now(readings_stream(spark, sf), windows, new_path(spark, "checkpoint"))
-    open_windows = windows.flush()
-    closed = spark.read.schema(open_windows.schema).parquet(path).select(open_windows.columns)
-    return closed.unionByName(open_windows)
+    """Time-or-count windows on a stream that is stopped and started, with a flush at its end."""
+    closed, late = _hybrid(spark, _arrival(spark, sf), _total_meters(spark, sf))
+    rest = stateful.open_windows(adapters.readings(spark, sf), closed, late, "7 days", 100, exact=True)
+    return closed.select(rest.columns).unionByName(rest)
+
+
+def stream_late(spark, sf):
+    """Readings that arrive after their period has closed: a side table, and none is lost."""
+    events = _arrival(spark, sf, "event_id % 50 = 7")
+    _, late = _hybrid(spark, events, _total_meters(spark, sf))
+    return late.select("event_id", "meter_id", "ts")
 
 
 def stream_anomalies(spark, sf):
-    """Each reading against the one before, which may have come in an earlier batch."""
-    path = new_path(spark, "anomalies")
-    codes = stateful.Anomalies(spark, new_path(spark, "state"), run.table_sink(path))
-    run.run_available_now(readings_stream(spark, sf), codes, new_path(spark, "checkpoint"))
+    """Each reading against the one before, which may have come before a restart."""
+    run.use_rocksdb(spark)
+    path, checkpoint = new_path(spark, "anomalies"), new_path(spark, "checkpoint")
+
+    def start(readings):
+        columns = ["event_id", "meter_id", F.col("ts").cast("timestamp").alias("ts"), "kwh", "voltage"]
+        return run.to_table(stateful.anomaly_stream(readings.select(*columns)), path, checkpoint)
+
+    _each_arrival(spark, _arrival(spark, sf), _total_meters(spark, sf), start)
     return spark.read.parquet(path).select("event_id", "meter_id", "anomaly_code")
 
 
-QUERIES = [stream_envelopes, stream_report, stream_collectors, stream_hybrid, stream_anomalies]
+def stream_fan_out(spark, sf):
+    """Valid readings into two sinks, of which the second fails once: after the restart neither
+    has a batch twice."""
+    paths = [new_path(spark, x) for x in ("first", "second")]
+    checkpoint, ledger = new_path(spark, "checkpoint"), new_path(spark, "ledger")
+    failures = [True]
+
+    def appended(path):
+        return lambda batch, _: batch.write.mode("append").parquet(path)
+
+    def second(batch, batch_id):
+        if batch_id == 1 and failures:
+            failures.clear()
+            raise RuntimeError("the second sink fails")
+        appended(paths[1])(batch, batch_id)
+
+    sink = run.fan_out(appended(paths[0]), second, ledger=ledger)
+
+    def start(readings):
+        valid = valid_only(readings).select("event_id", "meter_id")
+        query = run.to_sink(valid, sink, checkpoint)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            query = run.to_sink(valid, sink, checkpoint)
+        return query
+
+    _each_arrival(spark, _arrival(spark, sf), _total_meters(spark, sf), start)
+    tables = [spark.read.parquet(p).select("event_id", "meter_id", F.lit(n).alias("sink")) for n, p in enumerate(paths)]
+    return tables[0].unionByName(tables[1])
+
+
+QUERIES = [
+    stream_envelopes, split_stream_envelopes, split_stream_totals, stream_report, stream_collectors,
+    split_stream_collectors, stream_meters, stream_hybrid, stream_late, stream_anomalies, stream_fan_out,
+]

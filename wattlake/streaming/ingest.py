@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.rules import valid_only
-from wattlake.operators.envelopes import dealt, envelope_columns
+from wattlake.operators.envelopes import dealt, dealt_facts, envelope_columns
 from wattlake.operators.windows import metric_columns, tumble
 from wattlake.schemas import SOURCE_KEYS
 
@@ -31,13 +31,14 @@ def envelope_stream(
 
     The second level works on an aggregate, so it shuffles meters, not readings. `parts`
     splits an envelope by meter, to suit the message size and the memory of one task:
-    choose it near (meters per shard) / 2000.
+    choose it near (meters per shard) / 2000. Part 0 of a split window then has no metrics, but
+    says in `whole` what the window has in all.
     """
     valid = valid_only(readings).withWatermark("ts", delay)
     window = F.window("ts", duration).alias("window")
     metrics = valid.groupBy(window, *SOURCE_KEYS, "meter_id").agg(*metric_columns(exact))
     rows = dealt(metrics, F.lit(parts), ["window", *SOURCE_KEYS])
-    nested = rows.groupBy("window", *SOURCE_KEYS, "part").agg(*envelope_columns(False))
+    nested = rows.groupBy("window", *SOURCE_KEYS, "part").agg(*envelope_columns(False), dealt_facts(exact))
     return nested.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -45,4 +46,5 @@ def envelope_stream(
         "total_count",
         "metrics",
         "part",
+        "whole",
     )

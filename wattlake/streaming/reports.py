@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattlake.operators.envelopes import apply_defaults, explode_metrics, with_envelope_totals
 from wattlake.operators.rollups import merge_columns, readings_per_sec, report_columns
+from wattlake.operators.windows import total
 
 INTERVAL = "30 seconds"
 
@@ -51,15 +52,16 @@ def collector_totals(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def meter_totals(envelopes: DataFrame) -> DataFrame:
+def meter_totals(envelopes: DataFrame, exact: bool = False) -> DataFrame:
     """Count, energy and extremes per meter since the start (complete or update mode).
 
-    The state has one row per meter, however many readings there are.
+    The state has one row per meter, however many readings there are. In update mode, a batch has the
+    meters that changed, which `run.BucketTable` merges into a table.
     """
     rows = explode_metrics(apply_defaults(envelopes))
     return rows.groupBy("meter_id").agg(
         F.sum("count").alias("count"),
-        F.sum("sum_kwh").alias("sum_kwh"),
+        total("sum_kwh", exact).alias("sum_kwh"),
         F.min("min_kwh").alias("min_kwh"),
         F.max("max_kwh").alias("max_kwh"),
     )

@@ -1,232 +1,209 @@
-"""Streams whose state the built-in aggregates cannot express.
+"""Streams with keyed state: the reading before, and time-or-count windows.
 
-Both work as sinks of a stream of readings and use the batch operators on each micro-batch.
-Those split a meter or source that has most of the rows over many tasks, where state kept
-by key would hand all its rows to one. What passes from batch to batch is a small table:
-one row per meter, or the metrics of the open windows.
+The state is Spark's own (`transformWithState` on RocksDB, see `run.use_rocksdb`): checkpointed with
+the stream's offsets, so that a restart or a repeated batch goes on from what belongs to it. A key
+keeps one reading, or the readings of its open window, never its history.
 
-The results equal those of the batch operators as long as batches arrive in order of time.
+Rows of a key are ordered within a micro-batch. The results equal those of the batch operators for
+batches that arrive in order of time. The order of a meter's or source's readings is a sequence, so
+one task handles a key's rows of a micro-batch; the size of a trigger bounds it. Measures are not
+computed there: windows leave as tagged readings, and built-in aggregates combine them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from wattlake.functions.rules import valid_only
-from wattlake.operators import ordered
-from wattlake.operators.windows import seconds, total, with_anomaly
+from wattlake.functions.rules import anomaly_code, valid_only
+from wattlake.operators.windows import hybrid_bounds, metric_columns, seconds, tumble_hybrid
 from wattlake.schemas import SOURCE_KEYS
-from wattlake.streaming.run import CarriedTables, Sink
-
-# --- previous reading ---------------------------------------------------------------
+from wattlake.streaming.run import Sink
 
 # What makes the order of readings unique, where the caller says nothing else.
 ORDER = ("ts", "event_id")
 
 
-class Anomalies:
-    """`windows.with_anomaly` on a stream: the last reading of each meter is carried on.
+def _sorted(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
+    """Rows in order, nulls first."""
+    return sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order))
 
-    A carried reading comes before those of the batch, also before late ones: a reading is
-    compared with the one that arrived before it.
-    """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        state: str,
-        sink: Sink,
-        order: Sequence[str] = ORDER,
-        nan: str = "reject",
-        group_rows: int = ordered.GROUP_ROWS,
-    ) -> None:
-        self.carried, self.sink = CarriedTables(spark, state), sink
-        self.order, self.nan, self.group_rows = order, nan, group_rows
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_new", F.lit(1))
-        order = ["_new", *self.order]
-        last = self.carried.before(batch_id, "last")
-        if last is not None:
-            carried = last.withColumn("_new", F.lit(0))
-            rows = rows.unionByName(carried, allowMissingColumns=True)
-        rows = rows.persist()
-        try:
-            coded = with_anomaly(rows, order, self.nan, self.group_rows)
-            self.sink(coded.filter("_new = 1").drop("_new"), batch_id)
-            kept = [c for c in dict.fromkeys([*self.order, "kwh", "voltage"]) if c != "meter_id"]
-            newest = F.max_by(F.struct(*kept), F.struct(*order)).alias("_last")
-            lasts = rows.groupBy("meter_id").agg(newest).select("meter_id", "_last.*")
-            self.carried.leave(batch_id, "last", lasts)
-        finally:
-            rows.unpersist()
+# --- previous reading ---------------------------------------------------------------
+
+
+class PreviousReading(StatefulProcessor):
+    """Adds the kwh and voltage of the reading before, of the same meter."""
+
+    def __init__(self, order: Sequence[str], ttl_ms: int | None, columns: list[str]):
+        self.order, self.ttl_ms, self.columns = order, ttl_ms, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "kwh double, voltage double", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        out = Row(*self.columns)
+        before = self.last.get() if self.last.exists() else (None, None)
+        for row in _sorted(rows, self.order):
+            yield out(*row, *before)
+            before = (row["kwh"], row["voltage"])
+        self.last.update(before)
+
+    def close(self) -> None:
+        pass
+
+
+def anomaly_stream(
+    readings: DataFrame, order: Sequence[str] = ORDER, nan: str = "reject", ttl: str | None = None
+) -> DataFrame:
+    """`windows.with_anomaly` on a stream, in append mode.
+
+    A reading is compared with the one that arrived before it, also if it is late. With a `ttl`, a
+    meter that was silent for so long (by the clock) starts anew, and its state is freed.
+    """
+    added = [T.StructField(name, T.DoubleType()) for name in ("_kwh", "_voltage")]
+    schema = T.StructType([*readings.schema.fields, *added])
+    ttl_ms = seconds(ttl) * 1000 if ttl else None
+    linked = readings.groupBy("meter_id").transformWithState(
+        PreviousReading(tuple(order), ttl_ms, schema.names), schema, "Append", "ProcessingTime" if ttl else "None"
+    )
+    previous = F.struct(F.col("_kwh").alias("kwh"), F.col("_voltage").alias("voltage"))
+    coded = linked.withColumn("_prev", previous).withColumn("anomaly_code", anomaly_code("_prev", nan))
+    return coded.drop("_prev", "_kwh", "_voltage")
 
 
 # --- time-or-count windows ----------------------------------------------------------
 
-_ALWAYS = "timestamp '1970-01-01 00:00:00 UTC'"
+#: Window number of a reading that came after its period had closed.
+LATE = -1
+_READING = "event_id bigint, meter_id string, ts timestamp, kwh double, voltage double, current double"
+_TAGS = "shard_id int, collector_id string, _start bigint, window_seq bigint, _full boolean"
+_FIELDS = [field.split()[0] for field in _READING.split(", ")]
+_Tagged = Row(*[field.split()[0] for field in f"{_TAGS}, {_READING}".split(", ")])
 
 
-class HybridWindows:
-    """`windows.tumble_hybrid` on a stream. Closed windows go to `sink`.
+class CountedWindows(StatefulProcessor):
+    """Readings of a source, given out when the window that they are in closes.
 
-    A period closes when the latest time seen, less `delay`, has passed its end; readings of
-    closed periods are dropped. With `duration` None only the count closes windows. Carried
-    on are the metrics of the open windows, how many readings each open period has had, and
-    the latest time seen.
+    State: how many readings each open period has had, and the readings of its open window, fewer
+    than `n`. A timer closes a period when the watermark passes its end.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        state: str,
-        sink: Sink,
-        duration: str | None,
-        n: int,
-        delay: str = "1 minute",
-        order: Sequence[str] = ORDER,
-        exact: bool = False,
-        group_rows: int = ordered.GROUP_ROWS,
-    ) -> None:
-        if n < 1:
-            raise ValueError("without a count, use ingest.metric_stream")
-        self.spark, self.carried, self.sink = spark, CarriedTables(spark, state), sink
-        self.period = seconds(duration) if duration else None
-        self.duration, self.n, self.delay = duration, n, seconds(delay, least=0)
-        self.order, self.exact, self.group_rows = order, exact, group_rows
-        self.keys = [*SOURCE_KEYS, "_start"]
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        clock_before = self.carried.before(batch_id, "clock")
-        taken = self._in_periods(valid_only(batch), clock_before).persist()
-        seen = self._seen(taken, self.carried.before(batch_id, "seen")).persist()
-        merged = self._metrics(taken, batch_id).persist()
+    def __init__(self, period: int | None, n: int, order: Sequence[str]):
+        self.period, self.n, self.order = period, n, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "start bigint", "n bigint")
+        self.open = handle.getMapState("open", "start bigint, position bigint", _READING)
+
+    def held(self, start: int, seen: int) -> list[tuple]:
+        """The readings of the open window, which leave the state."""
+        found = []
+        for position in range(seen - seen % self.n, seen):
+            found.append(tuple(self.open.getValue((start, position))))
+            self.open.removeKey((start, position))
+        return found
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        periods = defaultdict(list)
+        for row in rows:
+            periods[row["_start"]].append(row)
+        for start, some in sorted(periods.items()):
+            some = [tuple(row[c] for c in _FIELDS) for row in _sorted(some, self.order)]
+            if self.period and start // 1000 + self.period * 1000 <= timerValues.getCurrentWatermarkInMs():
+                yield from (_Tagged(*key, start, LATE, False, *reading) for reading in some)
+                continue
+            known = self.seen.containsKey((start,))
+            seen = self.seen.getValue((start,))[0] if known else 0
+            if not known and self.period:
+                self.handle.registerTimer(start // 1000 + self.period * 1000)
+            number, upto = seen // self.n, seen + len(some)
+            if upto // self.n > number:
+                some = self.held(start, seen) + some
+                for number in range(number, upto // self.n):
+                    full, some = some[: self.n], some[self.n :]
+                    yield from (_Tagged(*key, start, number, True, *reading) for reading in full)
+            for back, reading in enumerate(reversed(some), 1):
+                self.open.updateValue((start, upto - back), reading)
+            self.seen.updateValue((start,), (upto,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        start = (expiredTimerInfo.getExpiryTimeInMs() - self.period * 1000) * 1000
+        if self.seen.containsKey((start,)):
+            seen = self.seen.getValue((start,))[0]
+            yield from (_Tagged(*key, start, seen // self.n, False, *reading) for reading in self.held(start, seen))
+            self.seen.removeKey((start,))
+
+    def close(self) -> None:
+        pass
+
+
+def hybrid_stream(
+    readings: DataFrame, duration: str | None, n: int, delay: str = "1 minute", order: Sequence[str] = ORDER
+) -> DataFrame:
+    """The valid readings of closed time-or-count windows, for `hybrid_sink`.
+
+    A window closes with its n-th reading, or when the watermark passes the end of its period; with
+    `duration` None only the count closes windows. All readings of a window come in one batch. Those
+    of a closed period come at once, with the window number LATE: none is dropped, so the
+    watermark's column is replaced by its microseconds, which Spark doesn't filter by.
+    """
+    if n < 1:
+        raise ValueError("without a count, use ingest.metric_stream")
+    valid = valid_only(readings).withColumn("ts", F.col("ts").cast("timestamp"))
+    start = F.unix_micros(F.window("ts", duration)["start"]) if duration else F.lit(0).cast("bigint")
+    rows = valid.withColumn("_start", start).withWatermark("ts", delay)
+    plain = [F.timestamp_micros(F.unix_micros("ts")).alias("ts"), *[c for c in _FIELDS if c != "ts"]]
+    return rows.select(*SOURCE_KEYS, "_start", *plain).groupBy(*SOURCE_KEYS).transformWithState(
+        CountedWindows(seconds(duration) if duration else None, n, tuple(order)), f"{_TAGS}, {_READING}", "Append",
+        "EventTime" if duration else "None",
+    )
+
+
+def closed_windows(tagged: DataFrame, duration: str | None, exact: bool = False) -> DataFrame:
+    """The metrics of the windows in a batch of `hybrid_stream`, like `windows.tumble_hybrid`."""
+    keys = [*SOURCE_KEYS, "_start", "window_seq"]
+    rows = tagged.filter(F.col("window_seq") != LATE).withColumn("_start", F.timestamp_micros("_start"))
+    metrics = rows.groupBy(*keys, "_full", "meter_id").agg(*metric_columns(exact))
+    whole = W.partitionBy(*keys)
+    bounded = metrics.withColumns(
+        {"_from": F.min("first_reading").over(whole), "_to": F.max("last_reading").over(whole)}
+    )
+    return hybrid_bounds(bounded, duration)
+
+
+def late_readings(tagged: DataFrame) -> DataFrame:
+    """The readings in a batch of `hybrid_stream` that came after their period had closed."""
+    return tagged.filter(F.col("window_seq") == LATE).select(*SOURCE_KEYS, *_FIELDS)
+
+
+def hybrid_sink(windows: Sink, late: Sink, duration: str | None, exact: bool = False) -> Sink:
+    """Closed windows into one sink, late readings into another."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         try:
-            clock = taken.agg(F.max("ts").alias("clock"))
-            if clock_before is not None:
-                clock = clock.unionByName(clock_before.select("clock"))
-            latest = clock.agg(F.max(F.unix_micros("clock"))).first()[0]
-            now = F.timestamp_micros(F.lit(latest).cast("bigint"))
-            windows = self._bounded(merged, now)
-            self.sink(self._result(windows.filter("_closed")), batch_id)
-            left = windows.filter("not _closed").select(merged.columns)
-            self.carried.leave(batch_id, "open", left)
-            self.carried.leave(batch_id, "seen", self._not_over(seen, now))
-            moment = self.spark.range(1).select(
-                now.alias("clock"), F.lit(batch_id).cast("bigint").alias("batch_id")
-            )
-            self.carried.leave(batch_id, "clock", moment)
+            windows(closed_windows(batch, duration, exact), batch_id)
+            late(late_readings(batch), batch_id)
         finally:
-            for frame in (merged, seen, taken):
-                frame.unpersist()
-
-    def flush(self) -> DataFrame:
-        """The windows still open after the last batch, for when the stream is stopped."""
-        last = self.carried.turns("clock").agg(F.max("batch_id")).first()[0]
-        left = self.carried.after(last, "open")
-        return self._result(self._bounded(left, F.lit(None).cast("timestamp")))
-
-    def _end(self) -> Column:
-        return F.col("_start") + F.expr(f"interval {self.period} seconds")
-
-    def _over(self, clock: Column) -> Column:
-        """The period has ended at `clock`. Without a clock or a period, it has not."""
-        if self.period is None:
-            return F.lit(False)
-        horizon = clock - F.expr(f"interval {self.delay} seconds")
-        return F.coalesce(self._end() <= horizon, F.lit(False))
-
-    def _not_over(self, rows: DataFrame, clock: Column) -> DataFrame:
-        return rows.filter(~self._over(clock))
-
-    def _in_periods(self, readings: DataFrame, clock_before: DataFrame | None) -> DataFrame:
-        """Readings with the start of their period, without those that come too late."""
-        start = F.window("ts", self.duration)["start"] if self.period else F.expr(_ALWAYS)
-        rows = readings.withColumn("_start", start)
-        if clock_before is None:
-            return rows
-        with_clock = rows.withColumn("_clock", clock_before.agg(F.max("clock")).scalar())
-        return self._not_over(with_clock, F.col("_clock")).drop("_clock")
-
-    def _seen(self, taken: DataFrame, before: DataFrame | None) -> DataFrame:
-        """Readings per open period up to and including this batch, and of this batch."""
-        counts = taken.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_seen"))
-        if before is None:
-            return counts
-        both = counts.unionByName(before)
-        return both.groupBy(*self.keys).agg(F.sum("_seen").alias("_seen"))
-
-    def _metrics(self, taken: DataFrame, batch_id: int) -> DataFrame:
-        """The metrics of windows that got readings in this batch or were open before it."""
-        ranked = ordered.row_number(taken, self.keys, self.order, "_rank", self.group_rows)
-        position = F.col("_rank")
-        seen = self.carried.before(batch_id, "seen")
-        if seen is not None:
-            on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in self.keys]
-            ranked = ranked.alias("r").join(seen.alias("s"), on, "left").select("r.*", "_seen")
-            position = position + F.coalesce(F.col("_seen"), F.lit(0))
-        window = F.call_function("div", position - 1, F.lit(self.n))
-        new = ranked.select(
-            *self.keys,
-            window.alias("window_seq"),
-            "meter_id",
-            F.lit(1).cast("bigint").alias("count"),
-            F.col("kwh").alias("sum_kwh"),
-            F.col("voltage").alias("sum_voltage"),
-            F.col("current").alias("sum_current"),
-            F.col("kwh").alias("min_kwh"),
-            F.col("kwh").alias("max_kwh"),
-            F.col("ts").alias("first_reading"),
-            F.col("ts").alias("last_reading"),
-        )
-        left = self.carried.before(batch_id, "open")
-        both = new if left is None else new.unionByName(left)
-        return both.groupBy(*self.keys, "window_seq", "meter_id").agg(
-            F.sum("count").alias("count"),
-            total("sum_kwh", self.exact).alias("sum_kwh"),
-            total("sum_voltage", self.exact).alias("sum_voltage"),
-            total("sum_current", self.exact).alias("sum_current"),
-            F.min("min_kwh").alias("min_kwh"),
-            F.max("max_kwh").alias("max_kwh"),
-            F.min("first_reading").alias("first_reading"),
-            F.max("last_reading").alias("last_reading"),
-        )
-
-    def _bounded(self, metrics: DataFrame, clock: Column) -> DataFrame:
-        """Add what a window shows as a whole; it has at most n rows."""
-        whole = W.partitionBy(*self.keys, "window_seq")
-        windows = metrics.withColumns(
-            {
-                "_full": F.sum("count").over(whole) == self.n,
-                "_from": F.min("first_reading").over(whole),
-                "_to": F.max("last_reading").over(whole),
-            }
-        )
-        return windows.withColumn("_closed", F.col("_full") | self._over(clock))
-
-    def _result(self, windows: DataFrame) -> DataFrame:
-        n = F.col("count")
-        start, end = F.col("_from"), F.col("_to")
-        if self.period is not None:
-            start = F.when(F.col("window_seq") == 0, F.col("_start")).otherwise(start)
-            end = F.when(F.col("_full"), end).otherwise(self._end())
-        return windows.select(
-            start.alias("window_start"),
-            end.alias("window_end"),
-            "window_seq",
-            *SOURCE_KEYS,
-            "meter_id",
-            "count",
-            "sum_kwh",
-            (F.col("sum_kwh") / n).alias("avg_kwh"),
-            "min_kwh",
-            "max_kwh",
-            (F.col("sum_voltage") / n).alias("avg_voltage"),
-            (F.col("sum_current") / n).alias("avg_current"),
-            "first_reading",
-            "last_reading",
-        )
+            batch.unpersist()
+
+    return write
+
+
+def open_windows(
+    readings: DataFrame, closed: DataFrame, late: DataFrame, duration: str | None, n: int, exact: bool = False
+) -> DataFrame:
+    """The windows a stopped stream left open, from the readings in storage: what `tumble_hybrid`
+    makes of all but the late ones, less the windows that were given out."""
+    in_time = readings.join(late.select("event_id"), "event_id", "left_anti")
+    windows = tumble_hybrid(valid_only(in_time), duration, n, exact=exact)
+    given = closed.select(*SOURCE_KEYS, "window_seq", "window_start").distinct()
+    return windows.join(given, [*SOURCE_KEYS, "window_seq", "window_start"], "left_anti").select(windows.columns)
