@@ -168,12 +168,29 @@ def test_hybrid_equals_batch(spark, source, readings, tmp_path, duration, n):
 
 def test_anomalies_equal_batch(spark, source, readings, tmp_path):
     run.use_rocksdb(spark)
-    for ttl in (None, "1 hour"):
-        out = str(tmp_path / f"a{ttl}")
-        coded = stateful.anomaly_stream(stream(spark, source), ttl=ttl)
-        run.to_table(coded, out, f"{out}-c").awaitTermination()
-        columns = ["event_id", "anomaly_code"]
-        assert values(spark.read.parquet(out), columns) == values(windows.with_anomaly(readings), columns)
+    out = str(tmp_path / "a")
+    run.to_table(stateful.anomaly_stream(stream(spark, source)), out, f"{out}-c").awaitTermination()
+    columns = ["event_id", "anomaly_code"]
+    assert values(spark.read.parquet(out), columns) == values(windows.with_anomaly(readings), columns)
+
+
+def test_anomalies_with_a_time_to_live(spark, source, readings, tmp_path):
+    """By the clock there is always another batch, so such a stream runs by a period until stopped."""
+    run.use_rocksdb(spark)
+    sink, out = run.table_sink(str(tmp_path / "a")), str(tmp_path / "a")
+    coded = stateful.anomaly_stream(stream(spark, source), ttl="1 hour")
+    query = run.to_sink(coded, sink, f"{out}-c", every="1 second")
+    try:
+        until = time.time() + 90
+        while time.time() < until:
+            time.sleep(2)
+            done = query.lastProgress and query.lastProgress["batchId"] >= 6
+            if done:
+                break
+    finally:
+        query.stop()
+    columns = ["event_id", "anomaly_code"]
+    assert values(spark.read.parquet(out), columns) == values(windows.with_anomaly(readings), columns)
 
 
 def test_anomalies_tell_null_from_nan(spark, tmp_path):

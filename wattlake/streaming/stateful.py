@@ -65,7 +65,8 @@ def anomaly_stream(
     """`windows.with_anomaly` on a stream, in append mode.
 
     A reading is compared with the one that arrived before it, also if it is late. With a `ttl`, a
-    meter that was silent for so long (by the clock) starts anew, and its state is freed.
+    meter that was silent for so long (by the clock) starts anew, and its state is freed; such a stream
+    always has another batch, so it needs a periodic trigger and runs until it is stopped.
     """
     added = [T.StructField(name, T.DoubleType()) for name in ("_kwh", "_voltage")]
     schema = T.StructType([*readings.schema.fields, *added])
