@@ -3,6 +3,7 @@ import json
 
 import pytest
 from conftest import at, since
+from pyspark.sql import functions as F
 
 from wattlake.operators import stored, windows
 from wattlake.sources import files, kafka
@@ -113,3 +114,30 @@ def test_json_lines_hold_one_object(spark, tmp_path):
     bad = [line + line, line + " x", line.replace('"', "'"), f"[{line}]", ""]
     (tmp_path / "in.json").write_text("\n".join([line, *bad]))
     assert files.read_readings(spark, str(tmp_path / "in.json"), "json").count() == 1
+
+
+def test_merged_store_has_one_reading_for_each_second(spark, make, tmp_path):
+    path, columns = str(tmp_path / "store"), ["meter_id", "ts", "kwh"]
+    first = make([(0, 0, 10.1, 1.0), (1, 0, 90_000, 2.0), (2, 1, 10.5, 3.0)])
+    files.merge_readings(first, path, F.lit(1))
+    files.merge_readings(make([(3, 0, 10.9, 9.0), (4, 1, 11.0, 4.0)]), path, F.lit(2))
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").glob("date=2024-01-02/*.parquet")}
+    again = make([(5, 0, 10.0, 7.0)])
+    for _ in range(2):  # a repeated merge changes nothing
+        files.merge_readings(again, path, F.lit(3))
+    files.merge_readings(make([(6, 0, 10.0, 8.0)]), path, F.lit(1))  # older than what is there
+    table = files.read_readings(spark, path)
+    got = sorted((r.meter_id, r.kwh) for r in table.select(columns).collect())
+    assert got == [("METER-0000", 2.0), ("METER-0000", 7.0), ("METER-0001", 3.0), ("METER-0001", 4.0)]
+    assert untouched and untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "store").glob("date=2024-01-02/*.parquet")}
+
+
+def test_merge_of_nothing_and_of_readings_without_time(spark, make, tmp_path):
+    path = str(tmp_path / "store")
+    rows = make([(0, 0, 10, 1.0), (1, 1, 10, 2.0)])
+    lost = rows.withColumn("ts", F.lit(None).cast("timestamp"))
+    files.merge_readings(lost, path, F.lit(1))
+    files.merge_readings(lost.filter("meter_index = 1").withColumn("kwh", F.lit(5.0)), path, F.lit(2))
+    files.merge_readings(rows.filter("false"), path, F.lit(3))
+    got = files.read_readings(spark, path).select("meter_id", "kwh").collect()
+    assert sorted(map(tuple, got)) == [("METER-0000", 1.0), ("METER-0001", 5.0)]

@@ -121,6 +121,26 @@ def stored_anomalies(spark, sf):
     return windows.with_anomaly(kept).select("meter_id", "ts", "kwh", "anomaly_code")
 
 
+def _merged_store(spark, sf) -> DataFrame:
+    """A store after three merges that overlap: parts of the readings, and new values for some."""
+    path = new_path(spark, "store")
+    table = readings(spark, sf)
+    files.merge_readings(table.filter("event_id % 3 <> 0"), path, F.lit(1))
+    files.merge_readings(table.filter("event_id % 10 = 0").withColumn("kwh", F.col("kwh") + 1), path, F.lit(3))
+    files.merge_readings(table.filter("event_id % 3 = 0 or event_id % 7 = 0"), path, F.lit(2))
+    return files.read_readings(spark, path)
+
+
+def store_meter_range(spark, sf):
+    """The readings of one meter from a merged store, without another upsert."""
+    return stored.readings_for_meter(_merged_store(spark, sf), METER, *RANGE).select(READING.fieldNames())
+
+
+def store_time_range(spark, sf):
+    """The readings of all meters from a merged store."""
+    return stored.readings_between(_merged_store(spark, sf), *RANGE).select(READING.fieldNames())
+
+
 def meter_range_scan(spark, sf):
     found = stored.readings_for_meter(readings(spark, sf), METER, *RANGE)
     return found.select("event_id", *READING.fieldNames())
@@ -582,7 +602,7 @@ def _zoneless(query: Query) -> Query:
 
 
 _BATCH = [
-    scan_readings, readings_roundtrip, json_readings, upsert_latest, stored_anomalies, meter_range_scan, time_range_scan,
+    scan_readings, readings_roundtrip, json_readings, upsert_latest, stored_anomalies, store_meter_range, store_time_range, meter_range_scan, time_range_scan,
     kafka_rows, map_envelopes, map_dead_letters, flat_metrics, metrics_roundtrip, dataset_info,
     validate_codes, power_check, valid_readings, rejected_readings, error_messages,
     meter_ids, shard_assignment, shard_ranges, meter_slice, meter_lookup,

@@ -62,6 +62,14 @@ latest AS (
   SELECT * FROM windows
   ORDER BY window_end DESC, window_start, shard_id, collector_id LIMIT 50)"""
 
+MERGED = f"""{READINGS},
+merged AS (
+  SELECT meter_id, ts, CASE WHEN event_id % 10 = 0 THEN kwh + 1 ELSE kwh END AS kwh, voltage, amps
+  FROM readings
+  QUALIFY row_number() OVER (PARTITION BY meter_id, date_trunc('second', ts)
+    ORDER BY CASE WHEN event_id % 10 = 0 THEN 3 WHEN event_id % 3 = 0 OR event_id % 7 = 0 THEN 2 ELSE 1 END DESC,
+             event_id DESC) = 1)"""
+
 HYBRID = f"""{READINGS},
 ranked AS (
   SELECT *, time_bucket(INTERVAL 7 DAY, ts, {ORIGIN}) AS bucket,
@@ -169,6 +177,16 @@ def _batch() -> dict[str, str]:
                FROM (SELECT *, lag(kwh) OVER w AS k, lag(voltage) OVER w AS v FROM kept
                      WINDOW w AS (PARTITION BY meter_id ORDER BY ts))""",
         ),
+        "store_meter_range": _with(
+            MERGED,
+            f"""SELECT meter_id, ts, kwh, voltage, amps AS current FROM merged
+                WHERE meter_id = 'METER-0007' AND ts >= {s0} AND ts < {s1}""",
+        ),
+        "store_time_range": _with(
+            MERGED,
+            f"""SELECT meter_id, ts, kwh, voltage, amps AS current FROM merged
+                WHERE ts > {t0} AND ts < {t1}""",
+        ),
         "meter_range_scan": _with(
             READINGS,
             f"{scan} readings WHERE meter_id = 'METER-0007' AND ts >= {s0} AND ts < {s1}",

@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 from wattlake.functions.strict_json import with_body
 from wattlake.operators.envelopes import malformed, map_envelopes, with_decoded_map
+from wattlake.operators.stored import upsert_latest
 from wattlake.schemas import FLAT_METRIC, KAFKA_ROW, READING, READING_JSON, RUN
+from wattlake.session import written
+from wattlake.sources import shared
 
 # Stored readings keep the order in which they came in, for `stored.upsert_latest`.
 _STORED = (
@@ -59,14 +62,43 @@ def write_readings(
     the order of writing: `order`, by default the time, and the position in what is written.
     `stored.upsert_latest` keeps the last when reading.
     """
+    _by_date(_ordered(readings, order)).write.mode(mode).partitionBy("date").parquet(path)
+
+
+def _ordered(readings: DataFrame, order: Column | None) -> DataFrame:
+    """Readings as they are stored, with their place in the order of writing."""
     now = F.unix_micros(F.current_timestamp())
     ingest = (now if order is None else order).cast("bigint").alias("ingest_order")
     position = F.monotonically_increasing_id().alias("ingest_position")
-    dated = readings.select(
-        *READING.fieldNames(), ingest, position, F.to_date("ts").alias("date")
-    )
-    balanced = dated.hint("rebalance", "date").sortWithinPartitions("date", "meter_id", "ts")
-    balanced.write.mode(mode).partitionBy("date").parquet(path)
+    return readings.select(*READING.fieldNames(), ingest, position, F.to_date("ts").alias("date"))
+
+
+def _by_date(stored: DataFrame) -> DataFrame:
+    return stored.hint("rebalance", "date").sortWithinPartitions("date", "meter_id", "ts")
+
+
+def merge_readings(
+    readings: DataFrame, path: str, order: Column | None = None, grain: str = "second"
+) -> None:
+    """Write readings into a store that holds one for each meter and second: the last written.
+
+    Only the dates that the readings touch are read and replaced, each as a whole. What replaces
+    them is written down first, so a merge that fails midway can be repeated with the same `order`.
+    Reads of the store then need no `stored.upsert_latest`, and overwritten readings take no room.
+    One merge at a time: two at once could replace the same date.
+    """
+    spark = readings.sparkSession
+    fresh = written(_ordered(readings, order), "merge")
+    days = [row["date"] for row in fresh.select("date").distinct().collect()]  # a row for each date
+    both = fresh
+    if shared.names(spark, path):
+        touched = F.col("date").isin([day for day in days if day is not None])
+        if None in days:
+            touched = touched | F.col("date").isNull()
+        both = read_readings(spark, path).filter(touched).unionByName(fresh)
+    kept = written(upsert_latest(both, grain, ["ingest_order", "ingest_position"]), "merged")
+    writer = _by_date(kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:

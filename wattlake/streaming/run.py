@@ -15,8 +15,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 
 from wattlake.operators.envelopes import array_envelopes, malformed, with_decoded
 from wattlake.operators.windows import tumble
+from wattlake.sources import shared
 from wattlake.sources.files import write_readings
-from wattlake.streaming import shared
 
 Sink = Callable[[DataFrame, int], None]
 
