@@ -275,6 +275,15 @@ def _batch() -> dict[str, str]:
                   THEN 0 ELSE num_meters END)''')} AS metrics
                 FROM windows GROUP BY ALL""",
         ),
+        "default_rows": _with(
+            WINDOWS,
+            """SELECT window_start, shard_id,
+                 CASE WHEN turn = 3 THEN TIMESTAMP '2024-02-01' ELSE window_end END AS window_end,
+                 CASE WHEN turn = 0 THEN '?' ELSE collector_id END AS collector_id,
+                 CASE WHEN turn = 1 THEN 0 ELSE total_count END AS total_count,
+                 CASE WHEN turn = 2 THEN 0 ELSE num_meters END AS num_meters
+               FROM (SELECT *, (epoch_us(window_start) // 86400000000 + shard_id) % 4 AS turn FROM windows)""",
+        ),
         "map_dead_letters": _with(
             WINDOWS,
             """SELECT CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 6
@@ -520,6 +529,7 @@ STREAMED = {
     "stream_hybrid": "tumbling_hybrid",
     "stream_anomalies": "anomalies",
     "split_stream_envelopes": "tumbling_time",
+    "stream_landing": "map_envelopes",
     "split_stream_collectors": "collector_stats",
 }
 
@@ -566,6 +576,12 @@ def _streams() -> dict[str, str]:
                 WHERE arrival = 3
                   AND time_bucket(INTERVAL 7 DAY, ts, {ORIGIN}) + INTERVAL 7 DAY <= date_trunc('millisecond', seen)""",
         ),
+        "stream_dead_letters": _with(
+            WINDOWS,
+            """SELECT CASE WHEN (epoch_us(window_start) // 86400000000) % 7 < 2
+                  THEN 'dead letter' ELSE 'parsed' END AS outcome, count(*) AS messages
+               FROM windows GROUP BY ALL""",
+        ),
         "stream_fan_out": _with(
             READINGS, "SELECT event_id, meter_id, sink FROM valid, (SELECT unnest([0, 1]) AS sink)"
         ),

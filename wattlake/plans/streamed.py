@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.functions.rules import valid_only
-from wattlake.operators import envelopes, rollups
-from wattlake.schemas import EVENTS
+from wattlake.operators import envelopes, rollups, windows
+from wattlake.schemas import EVENTS, METRIC_FIELDS, WINDOW_KEYS
 from wattlake.session import new_path
-from wattlake.sources import adapters
+from wattlake.sources import adapters, files
 from wattlake.streaming import ingest, reports, run, stateful
 
 DAY = "1 day"
@@ -226,7 +226,51 @@ def stream_fan_out(spark, sf):
     return tables[0].unionByName(tables[1])
 
 
+def _day_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return windows.tumble(valid_only(adapters.readings(spark, sf)), DAY, exact=True)
+
+
+def stream_landing(spark, sf):
+    """Envelopes posted to a landing folder in two goes, with lines between that are none."""
+    folder, out, checkpoint = (new_path(spark, x) for x in ("landing", "received", "checkpoint"))
+    lines = envelopes.to_map_json(envelopes.nest_map(_day_metrics(spark, sf)))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for turn in range(2):
+        broken = lines.filter(half == 1 - turn).select(F.expr("left(value, 30)"))
+        lines.filter(half == turn).unionAll(broken).write.mode("append").text(folder)
+        posted = files.stream_map_envelopes(spark, folder)
+        run.to_table(posted, out, checkpoint).awaitTermination()
+    received = spark.read.schema(posted.schema).parquet(out).filter("received_at is not null")
+    rows = envelopes.explode_metrics(received)
+    measures = [c for c in METRIC_FIELDS if c != "meter_id"]
+    return rows.select("total_count", *WINDOW_KEYS, "meter_id", *measures)
+
+
+def stream_dead_letters(spark, sf):
+    """Messages on a stream of which some are cut off: the others go on, by outcome."""
+    source, good, bad, checkpoint = (new_path(spark, x) for x in ("topic", "good", "bad", "checkpoint"))
+    nested = envelopes.nest_array(_day_metrics(spark, sf))
+    cut = F.expr("unix_date(cast(window_start as date)) % 7 < 2")
+    for turn in range(2):
+        part = nested.filter(F.pmod(F.xxhash64("window_start", "shard_id"), F.lit(2)) == turn)
+        sound = envelopes.to_kafka_rows(part.filter(~cut))
+        broken = envelopes.to_kafka_rows(part.filter(cut)).withColumn("value", F.expr("left(value, 40)"))
+        sent = sound.unionByName(broken).select(
+            "key", "value", F.lit("energy").alias("topic"), F.lit(0).alias("partition"),
+            F.xxhash64("value").alias("offset"), F.current_timestamp().alias("timestamp"),
+        )
+        sent.write.mode("append").parquet(source)
+        stream = files.stream_kafka_files(spark, source)
+        sink = run.envelope_sink(run.table_sink(good), run.table_sink(bad))
+        run.run_available_now(stream, sink, checkpoint)
+    counts = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("messages")).select(F.lit(name).alias("outcome"), "messages")
+        for path, name in ((good, "parsed"), (bad, "dead letter"))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 QUERIES = [
-    stream_envelopes, split_stream_envelopes, split_stream_totals, stream_report, stream_collectors,
+    stream_landing, stream_dead_letters, stream_envelopes, split_stream_envelopes, split_stream_totals, stream_report, stream_collectors,
     split_stream_collectors, stream_meters, stream_hybrid, stream_late, stream_anomalies, stream_fan_out,
 ]
