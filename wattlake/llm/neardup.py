@@ -214,7 +214,9 @@ def near_groups(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
     wanted = buckets.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
     wanted = wanted.select("node", F.col("id").alias("_id"), F.col("text_key").alias("_key"))
     again = rows.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")))
-    sets = again.select("node", "text").mapInArrow(measured, "node bigint, n bigint, members binary")
+    # Repeated rows are one node, whose set is made and carried once.
+    texts = again.groupBy("node").agg(F.first("text").alias("text"))
+    sets = texts.select("node", "text").mapInArrow(measured, "node bigint, n bigint, members binary")
     sets = written(sets, "shingle-sets")
 
     small = buckets.where(F.col("size") <= PAIRED).select("key", "node").join(nodes.select("node", "n", "sketch"), "node")
