@@ -88,6 +88,52 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, docs_of):
     assert models[0].slope == models[1].slope and (models[0].words[0] == models[1].words[0]).all()
 
 
+def test_a_model_of_any_size_gives_the_same_scores(spark, docs_of, monkeypatch):
+    rows, labels = made()
+    rows += [(1000, None, "s"), (1001, "", None), (1002, "Vile, NASTY! " * 3000, "s"), (None, "vile unseen nastily", "s")]
+    docs = docs_of(rows).withColumn("row", F.lit("clash")).withColumn("found", F.lit("clash"))
+    labels = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+    def results():
+        model = toxicity.fit(docs, labels)
+        scored = toxicity.score(docs, model)
+        assert scored.columns == [*docs.columns, "toxicity"]
+        spots = toxicity.passages(docs, model)
+        return model, [Counter(map(tuple, x.collect())) for x in (scored.select("doc_id", "text", "toxicity.*"), spots)]
+
+    whole, want = results()
+    assert whole.table is None and len(whole.words[0]) > 2
+    monkeypatch.setattr(toxicity, "BROADCAST_WORDS", 2)
+    monkeypatch.setattr(toxicity, "HEAD", 5)
+    cut, got = results()
+    assert cut.table and len(cut.words[0]) == 5 and (cut.rate, cut.slope) == pytest.approx((whole.rate, whole.slope))
+    rounded = lambda c: Counter((*(round(x, 9) if isinstance(x, float) else x for x in r),) for r in c.elements())
+    assert [rounded(x) for x in got] == [rounded(x) for x in want]
+
+
+def test_the_prior_counts_each_word(spark, docs_of):
+    rows = [(i, f"w{i} same same" + (" bad" if i < 5 else ""), "s") for i in range(40)]
+    texts = docs_of(rows).selectExpr("text", "CASE WHEN doc_id < 5 THEN 1 WHEN doc_id < 20 THEN 0 END AS label")
+    counts = texts.mapInArrow(toxicity.counted, toxicity.COUNTS)
+    got = {r.key: r.n for r in toxicity.word_scores(counts).where("NOT stem").collect()}
+    want = {b"same": 80, b"bad": 5} | {f"w{i}".encode(): 1 for i in range(20)}
+    assert got == {toxicity.word_key(k): n for k, n in want.items()}
+
+
+def test_query_op10(spark, docs_of, tmp_path):
+    rows, labels = made(200)
+    docs_of(rows).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    docs_of(rows).write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    held = {i for i, _ in labels if crc32(str(i).encode()) % 5 == 0}
+    for folder, known in (("a", labels), ("b", [(i, 1 - y if i in held else y) for i, y in labels])):
+        spark.createDataFrame(known, "doc_id bigint, toxic int").write.parquet(str(tmp_path / folder / "labels.parquet"))
+    one, two = ({r.doc_id: r for r in catalog.op10_toxicity(spark, str(tmp_path / x)).collect()} for x in "ab")
+    assert len(one) == len(rows) and {i for i, r in one.items() if r.held_out} == held
+    assert all(r.predicted == int(r.score >= 0.5) for r in one.values())
+    assert all(one[i].predicted == y for i, y in labels if i in held)
+    assert {i: r.score for i, r in one.items()} == {i: pytest.approx(r.score, abs=1e-12) for i, r in two.items()}
+
+
 @pytest.mark.parametrize("label", [None, 0, 1])
 def test_no_or_one_kind_of_labels(spark, odd, none, label):
     labels = spark.createDataFrame([(i, label) for i in range(12)], "doc_id bigint, toxic int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import asinh, exp, log
 
 import numpy as np
@@ -16,15 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.pretokens import Cache, sliced
-from wattlake.session import written
+from wattlake.llm.survivors import fresh
+from wattlake.session import new_path, written
 
 #: Labelled rows that the classifier is fitted on at most (those with the lowest hash of their id,
 #: if there are more). Their ids are broadcast: 9 bytes each.
 MAX_LABELLED = 400_000
-#: Buckets for the frequencies of words in all documents, which only the prior needs.
-BUCKETS = 1 << 15
-#: Words and stems that the model holds at most, those with the highest scores: 12 bytes each.
-MODEL_WORDS = 1 << 18
+#: Words and stems of a model that is broadcast whole: 12 bytes each. Of a larger one the HEAD most
+#: frequent words are broadcast, and the rest is a table that texts are joined with.
+BROADCAST_WORDS, HEAD = 1 << 18, 1 << 15
 #: Bytes of a word's stem, which speaks for words that are rare among the labelled rows.
 STEM = 6
 #: Weight of the prior, in tokens: PRIOR spread by the frequencies in all documents, and LEAST
@@ -60,52 +60,35 @@ def stem_key(word: bytes) -> int:
 
 # Counts ------------------------------------------------------------------------------------------
 
-COUNTS = "word bigint, stem bigint, bucket int, n bigint, clean bigint, toxic bigint"
+COUNTS = "word bigint, stem bigint, n bigint, clean bigint, toxic bigint"
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a partition: of words in labelled texts, and of buckets in all texts.
-
-    Rows of words have a null n, rows of buckets have a null word.
-    """
-    every = np.zeros(BUCKETS, dtype=np.int64)
+    """Counts of the words of a partition: in all its texts, in clean and in toxic ones."""
+    every: Counter[bytes] = Counter()
     clean: Counter[bytes] = Counter()
     toxic: Counter[bytes] = Counter()
-    schema = pa.schema(
-        [("word", pa.int64()), ("stem", pa.int64()), ("bucket", pa.int32())]
-        + [(x, pa.int64()) for x in ("n", "clean", "toxic")]
-    )
+    schema = pa.schema([(x.split(" ")[0], pa.int64()) for x in COUNTS.split(", ")])
 
     def of_words() -> pa.RecordBatch:
-        own = list(clean.keys() | toxic.keys())
-        keys = [word_key(x) for x in own]
+        own = list(every)
         columns = [
-            keys, [stem_key(x) for x in own], [k % BUCKETS for k in keys], [None] * len(own),
-            [clean[x] for x in own], [toxic[x] for x in own],
+            map(word_key, own), map(stem_key, own), every.values(), [clean[x] for x in own], [toxic[x] for x in own]
         ]
-        clean.clear()
-        toxic.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-        )
+        made = pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema=schema)
+        for counter in (every, clean, toxic):
+            counter.clear()
+        return made
 
     for batch in sliced(batches):
-        seen: Counter[bytes] = Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = words(text)
-            seen.update(own)
+            every.update(own)
             if label is not None:
                 (toxic if label else clean).update(own)
-        at = np.fromiter((word_key(x) % BUCKETS for x in seen), dtype=np.int64, count=len(seen))
-        n = np.fromiter(seen.values(), dtype=np.int64, count=len(seen))
-        every += np.bincount(at, n, BUCKETS).astype(np.int64)
-        if len(clean) + len(toxic) > HELD:
+        if len(every) > HELD:
             yield of_words()
     yield of_words()
-    at = np.nonzero(every)[0]
-    none = pa.nulls(len(at), pa.int64())
-    columns = [none, none, pa.array(at, pa.int32()), pa.array(every[at]), none, none]
-    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def log_odds(counts: DataFrame, prior: Column) -> DataFrame:
@@ -124,42 +107,59 @@ def log_odds(counts: DataFrame, prior: Column) -> DataFrame:
     return counts.withColumn("sure", sure)
 
 
-def word_scores(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scores of words and of stems that are over the cost of a token, or stand against a stem.
+def word_scores(counts: DataFrame) -> DataFrame:
+    """(key, stem, n, score): the words of labelled texts, and the stems that score.
 
-    A word's log-odds and its stem's are averaged by the word's labelled occurrences.
+    The score is null for words that are not over the cost of a token and don't stand against a
+    stem. A word's log-odds and its stem's are averaged by the word's labelled occurrences. The
+    prior of a word comes from its own count in all documents.
     """
-    buckets = counts.where("word IS NULL").groupBy("bucket").agg(F.sum("n").alias("n"))
-    total = buckets.agg(F.sum("n")).first()[0] or 1
-    own = counts.where("word IS NOT NULL").groupBy("word", "stem", "bucket")
-    own = own.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    prior = F.lit(LEAST) + F.lit(PRIOR / total) * F.coalesce(F.col("n"), F.lit(0))
-    # At most BUCKETS rows are broadcast.
-    own = own.join(F.broadcast(buckets), "bucket", "left").withColumn("prior", prior)
-    own = written(own.select("word", "stem", "clean", "toxic", "prior"), "toxic-words")
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    own = counts.groupBy("word", "stem").agg(*[F.sum(x).alias(x) for x in ("n", "clean", "toxic")])
+    prior = (F.lit(LEAST) + F.lit(PRIOR / total) * F.col("n")).alias("prior")
+    own = own.where("clean + toxic > 0").select("word", "stem", "n", "clean", "toxic", prior)
+    own = written(own, "toxic-words")
     stems = own.groupBy("stem").agg(
+        F.sum("n").alias("n"),
         F.sum("clean").alias("clean"),
         F.sum("toxic").alias("toxic"),
         (F.sum(F.col("prior") - LEAST) + LEAST).alias("prior"),
     )
-    stems = log_odds(stems, F.col("prior")).select("stem", F.col("sure").alias("of_stem"))
+    stems = log_odds(stems, F.col("prior")).select("stem", F.col("n").alias("of_n"), F.col("sure").alias("of_stem"))
     n = F.col("clean") + F.col("toxic")
-    mixed = (n * F.col("sure") + TRUST * F.col("of_stem")) / (n + TRUST)
-    scored = log_odds(own, F.col("prior")).join(stems, "stem").withColumn("score", mixed - DRIFT)
-    telling = (F.col("score") > 0) | (F.col("of_stem") > DRIFT)
-    listed = scored.where(telling).select(F.col("word").alias("key"), "score")
+    mixed = (n * F.col("sure") + TRUST * F.col("of_stem")) / (n + TRUST) - DRIFT
+    scored = log_odds(own, F.col("prior")).join(stems, "stem")
+    telling = (mixed > 0) | (F.col("of_stem") > DRIFT)
+    listed = scored.select(F.col("word").alias("key"), F.lit(False).alias("stem"), "n", F.when(telling, mixed).alias("score"))
     of_stems = stems.where(F.col("of_stem") > DRIFT).select(
-        F.col("stem").alias("key"), (F.col("of_stem") - DRIFT).alias("score")
+        F.col("stem").alias("key"), F.lit(True).alias("stem"), F.col("of_n").alias("n"), (F.col("of_stem") - DRIFT).alias("score")
     )
-    return listed, of_stems
+    return listed.unionByName(of_stems).withColumn("score", F.col("score").cast("float"))
 
 
-def table_of(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The MODEL_WORDS highest scores, as sorted keys and their scores."""
-    rows = scores.orderBy(F.desc("score"), "key").limit(MODEL_WORDS).toPandas().sort_values("key")
+def arrays(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their scores. For tables of a checked size."""
+    rows = scores.select("key", "score").toPandas().sort_values("key")
     return rows["key"].to_numpy(np.int64), rows["score"].to_numpy(np.float32)
 
 
+def model_of(scores: DataFrame) -> Model:
+    """A model without calibration: whole in arrays, or its most frequent words and a table.
+
+    Both forms give every word the same score. Words of the head that tell nothing are in it too,
+    so that no frequent word is looked up in the table.
+    """
+    scores = written(scores, "toxic-scores")
+    telling = scores.where("score IS NOT NULL")
+    if telling.count() <= BROADCAST_WORDS:
+        return Model(arrays(telling.where("NOT stem")), arrays(telling.where("stem")))
+    head = scores.where("NOT stem").orderBy(F.desc("n"), "key").limit(HEAD)
+    head = arrays(head.withColumn("score", F.coalesce("score", F.lit(-DRIFT).cast("float"))))
+    table = new_path(scores.sparkSession, "toxic-table")
+    telling.select("key", "score").write.parquet(table)
+    return Model(head, arrays(scores.limit(0)), table=table)
+
+
 # Segments ----------------------------------------------------------------------------------------
 
 
@@ -197,7 +197,11 @@ def best(sums: np.ndarray) -> float:
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of words and stems (sorted keys, scores) and the calibration."""
+    """Scores of words and stems (sorted keys, scores), and the calibration.
+
+    `table` is the Parquet folder of all scores if they are too many for a broadcast; `words` are
+    then the most frequent ones.
+    """
 
     words: tuple[np.ndarray, np.ndarray]
     stems: tuple[np.ndarray, np.ndarray]
@@ -205,6 +209,7 @@ class Model:
     log_k: float = 0.0
     intercept: float = -1.0
     slope: float = 1.0
+    table: str | None = None
 
 
 class Scorer:
@@ -213,6 +218,8 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.words = Cache(self.word)
+        #: What the model's table says on the words of the present text.
+        self.entries: dict[int, float] = {}
 
     def word(self, word: bytes) -> float:
         for (keys, scores), key in (
@@ -222,12 +229,18 @@ class Scorer:
             at = int(np.searchsorted(keys, key))
             if at < len(keys) and keys[at] == key:
                 return float(scores[at])
+        if self.entries:
+            return self.entries.get(word_key(word), self.entries.get(stem_key(word), -DRIFT))
         return -DRIFT
 
     def scores(self, text: str | None) -> np.ndarray:
         own = words(text)
         return np.fromiter(map(self.words.__getitem__, own), dtype=float, count=len(own))
 
+    def told(self, keys: np.ndarray | list | None, scores: np.ndarray | list | None) -> None:
+        """Take the entries of the model's table for the text that comes next."""
+        self.entries = {} if keys is None else {int(k): float(x) for k, x in zip(keys, scores)}
+
     def least(self, count: int) -> float:
         """The score from which a segment among `count` words is significant.
 
@@ -321,12 +334,45 @@ def labelled(labels: DataFrame, row_id: str, limit: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("id"), "id").limit(limit).withColumn("fold", fold(F.col("id")))
 
 
+def asked(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+    """(row, key): the words of each text that the head of the model doesn't have, and their stems."""
+    head = model.value.words[0]
+    for batch in sliced(batches):
+        for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = list(set(words(text)))
+            keys = np.fromiter(map(word_key, own), dtype=np.int64, count=len(own))
+            stems = np.fromiter(map(stem_key, own), dtype=np.int64, count=len(own))
+            other = ~np.isin(keys, head)
+            keys = np.unique(np.concatenate([keys[other], stems[other]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row)), pa.array(keys)], names=["row", "key"])
+
+
+def told(rows: DataFrame, text: str, model: Model) -> tuple[DataFrame, Column, Column]:
+    """`rows`, with the keys and scores that the model's table has for each text (null: none).
+
+    Only a model that is too large for a broadcast has a table. A text then asks for each of its
+    rarer words once; the answers of a text are no more than its words.
+    """
+    none = F.lit(None)
+    if model.table is None:
+        return rows, none.cast("array<bigint>"), none.cast("array<float>")
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(model)
+    row, found = fresh(rows, "row"), fresh(rows, "found")
+    rows = written(rows.withColumn(row, F.monotonically_increasing_id()), "toxic-rows")
+    keys = rows.select(F.col(row), F.col(text)).mapInArrow(lambda b: asked(b, sent), "row bigint, key bigint")
+    answers = keys.join(spark.read.parquet(model.table), "key").groupBy(F.col("row").alias(row))
+    answers = answers.agg(F.collect_list(F.struct("key", "score")).alias(found))
+    return rows.join(answers, row, "left").drop(row), F.col(found)["key"], F.col(found)["score"]
+
+
 def measured(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
     """Per text of the calibration fold: its label, words, positive segments, counts of scores."""
     scorer = Scorer(model.value)
     for batch in sliced(batches):
         rows = []
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, label, keys, known in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            scorer.told(keys, known)
             scores = scorer.scores(text)
             bins, n = np.unique(np.round(scores / SCORE_STEP).astype(np.int64), return_counts=True)
             rows.append((label, len(scores), [x[2] for x in segments(scores)], bins.tolist(), n.tolist()))
@@ -349,14 +395,13 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     texts = docs.select(F.col(row_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     train = F.broadcast(known.where("fold < 4").select("id", "label"))
     counts = texts.join(train, "id", "left").select("text", "label").mapInArrow(counted, COUNTS)
-    listed, stems = word_scores(written(counts, "toxic-counts"))
-    model = Model(table_of(listed), table_of(stems))
+    model = model_of(word_scores(written(counts, "toxic-counts")))
 
     sent = context.broadcast(model)
     check = F.broadcast(known.where("fold = 4").select("id", "label"))
-    rows = texts.join(check, "id").select("text", "label")
+    rows, keys, known_scores = told(texts.join(check, "id").select("text", "label"), "text", model)
     rows = written(
-        rows.mapInArrow(
+        rows.select("text", "label", keys.alias("keys"), known_scores.alias("scores")).mapInArrow(
             lambda batches: measured(batches, sent),
             "label int, words bigint, segments array<double>, bins array<bigint>, n array<bigint>",
         ),
@@ -380,32 +425,49 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     bins = bins.agg(F.count("*").alias("n")).toPandas()
     x, y, n = (bins[c].to_numpy(float) for c in ("bin", "label", "n"))
     intercept, slope = logistic(x * STRENGTH_STEP, y, n)
-    return Model(model.words, model.stems, rate, log_k, intercept, slope)
+    return replace(model, rate=rate, log_k=log_k, intercept=intercept, slope=slope)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
     """Add the struct `name`: score (0 to 1), passages (number of significant ones).
 
-    One row per row; nothing is shuffled. Null and empty texts get the score of no words.
+    One row per row, and equal texts get equal scores; nothing is shuffled unless the model has a
+    table. Null and empty texts get the score of no words. Empty in, empty out.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, passages int")
-    def scored(texts: pd.Series) -> pd.DataFrame:
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value)
-        return pd.DataFrame([scorer.score(x) for x in texts], columns=["score", "passages"])
+        for batch in batches:
+            rows = []
+            for own, keys, scores in zip(*batch):
+                scorer.told(keys, scores)
+                rows.append(scorer.score(own))
+            yield pd.DataFrame(rows, columns=["score", "passages"])
 
-    return docs.withColumn(name, scored(F.col(text)))
+    rows, *entries = told(docs, text, model)
+    extra = [c for c in rows.columns if c not in docs.columns]
+    return rows.withColumn(name, scored(F.col(text), *entries)).drop(*extra)
 
 
 def passages(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per significant passage: `row_id`, first and end (words), strength."""
+    """One row per significant passage: `row_id`, first and end (words), strength.
+
+    Null and empty texts have none; repeated rows and null ids have theirs each. Empty in, empty out.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("array<struct<first: int, end: int, strength: double>>")
-    def found(texts: pd.Series) -> pd.Series:
+    def found(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         scorer = Scorer(sent.value)
-        return pd.Series([scorer.passages(x) for x in texts])
-
-    rows = docs.select(row_id, F.explode(found(F.col(text))).alias("_x"))
+        for batch in batches:
+            rows = []
+            for own, keys, scores in zip(*batch):
+                scorer.told(keys, scores)
+                rows.append(scorer.passages(own))
+            yield pd.Series(rows, dtype=object)
+
+    rows, *entries = told(docs.select(row_id, text), text, model)
+    rows = rows.select(row_id, F.explode(found(F.col(text), *entries)).alias("_x"))
     return rows.select(row_id, "_x.first", "_x.end", "_x.strength")
