@@ -6,7 +6,7 @@ import pytest
 from conftest import since
 from pyspark.sql import functions as F
 
-from wattlake.operators import envelopes, rollups, windows
+from wattlake.operators import envelopes, profile, rollups, windows
 from wattlake.schemas import SOURCE_KEYS, window_keys
 
 PERIOD = 60
@@ -196,3 +196,12 @@ def test_sliding_sums_of_small_values(make):
     readings = make([(i, i % 3, i % 40, 0.004) for i in range(1000)])
     got = windows.slide(readings, "60 seconds", "60 seconds", exact=True).collect()
     assert [(r["count"], r.sum_kwh) for r in got] == [(1000, 4.0)]
+
+
+@pytest.mark.parametrize("values", [[1.0, float("nan")], [1.0, float("inf")], [float("inf"), float("-inf"), 2.0], [1.5, 2.25, None]])
+def test_exact_sums_have_nan_and_infinity(spark, values):
+    rows = spark.createDataFrame([(1, x) for x in values], "k int, v double").repartition(3)
+    exact, plain = (rows.groupBy("k").agg(windows.total("v", x).alias("s")).first().s for x in (True, False))
+    assert exact == pytest.approx(plain, nan_ok=True)
+    one, two = (profile.distribution(rows, ["k"], "v", exact=x).first().asDict() for x in (True, False))
+    assert {k: one[k] for k in ("mean", "std")} == {k: pytest.approx(two[k], nan_ok=True) for k in ("mean", "std")}

@@ -39,11 +39,18 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
+def _parts(value: Column) -> tuple[Column, Column]:
+    """The value if it is finite, and if it is NaN or infinite; null otherwise."""
+    finite = F.abs(value) < float("inf")
+    return F.when(finite, value), F.when(~finite, value)
+
+
 def _weighted_sum(value: Column, weight: Column, exact: bool) -> Column:
     if not exact:
         return F.sum(value * weight)
-    exact_value = value.cast("decimal(22,9)") * weight.cast("decimal(15,0)")
-    return F.sum(exact_value.cast("decimal(28,9)")).cast("double")
+    finite, other = _parts(value)
+    exact_value = finite.cast("decimal(22,9)") * weight.cast("decimal(15,0)")
+    return F.coalesce(F.sum(other * weight), F.sum(exact_value.cast("decimal(28,9)")).cast("double"))
 
 
 def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
@@ -54,12 +61,14 @@ def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
     """
     if not exact:
         return F.sum(value * value * weight) / F.sum(weight)
+    value, other = _parts(value)
     h = F.rint(value * 100.0).cast("decimal(18,0)")
     rest = value.cast("decimal(22,9)") - (h * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(20,2)")
     r = (rest.cast("decimal(18,9)") * F.lit(1_000_000_000).cast("decimal(10,0)")).cast("decimal(9,0)")
     n = weight.cast("decimal(18,0)")
     hh, hr, rr = (F.sum((x * y * n).cast("decimal(38,0)")).cast("double") for x, y in ((h, h), (h, r), (r, r)))
-    return (hh + 2.0 * hr / 1e7 + rr / 1e14) / F.sum(weight) / F.lit(10000.0)
+    finite = (hh + 2.0 * hr / 1e7 + rr / 1e14) / F.lit(10000.0)
+    return F.coalesce(F.sum(other * other * weight), finite) / F.sum(weight)
 
 
 def _pop_std(column: str | Column, exact: bool) -> Column:

@@ -51,9 +51,14 @@ def exact_sum(value: str, scale: int = 9) -> str:
     """Sum as a decimal with `scale` decimals, as an SQL expression.
 
     Doubles give sums that depend on the order in which partitions arrive; decimals do not, and
-    a re-run task gives the same result. There is room for values up to 10^19.
+    a re-run task gives the same result. There is room for values up to 10^19. NaN and infinities,
+    which decimals don't have, are added up on their own: they give the same in any order, and
+    where there are any they are the sum.
     """
-    return f"cast(sum(cast({value} as decimal(28, {scale}))) as double)"
+    finite = f"abs({value}) < double('Infinity')"
+    other = f"sum(case when {finite} then null else cast({value} as double) end)"
+    whole = f"sum(cast(case when {finite} then {value} end as decimal(28, {scale})))"
+    return f"coalesce({other}, cast({whole} as double))"
 
 
 def total_sql(value: str, exact: bool = False) -> str:
