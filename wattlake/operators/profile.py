@@ -67,8 +67,8 @@ def _mean_square(value: Column, weight: Column, exact: bool) -> Column:
     r = (rest.cast("decimal(18,9)") * F.lit(1_000_000_000).cast("decimal(10,0)")).cast("decimal(9,0)")
     n = weight.cast("decimal(18,0)")
     hh, hr, rr = (F.sum((x * y * n).cast("decimal(38,0)")).cast("double") for x, y in ((h, h), (h, r), (r, r)))
-    finite = (hh + 2.0 * hr / 1e7 + rr / 1e14) / F.lit(10000.0)
-    return F.coalesce(F.sum(other * other * weight), finite) / F.sum(weight)
+    total = F.coalesce(F.sum(other * other * weight), hh + 2.0 * hr / 1e7 + rr / 1e14)
+    return total / F.sum(weight) / F.lit(10000.0)
 
 
 def _pop_std(column: str | Column, exact: bool) -> Column:
