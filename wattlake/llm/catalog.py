@@ -65,7 +65,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.embedding_links(table(spark, sf_dir, "embeddings"), least=0.93)
+    return vectors.embedding_links(table(spark, sf_dir, "embeddings"), least=0.93, share=0.99)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 from wattlake.llm.components import block_roots, connected
 from wattlake.session import written
 
-#: Vectors that the index is fitted on at most, those with the lowest hash. All are indexed.
-SAMPLE = 20_000
+#: The index is fitted on the vectors with the lowest hash: so many, or so many for each list if
+#: that is more, but never more than these bytes of doubles. All vectors are indexed.
+SAMPLE, OF_LIST, SAMPLE_BYTES = 20_000, 16, 1 << 26
 #: Coarse lists: between these, by the number of vectors.
-LEAST_LISTS, MOST_LISTS = 16, 2048
+LEAST_LISTS, MOST_LISTS = 16, 8192
+#: Numbers of a matrix of distances to the centres that are held at once.
+CELLS = 4_000_000
+#: Neighbours that are made up to find out how far probes must reach.
+PLANTED = 20_000
 #: Sub-spaces of a residual, and codes of each.
 PARTS, CODES = 16, 256
 #: Rows of a block of a list, and of a block of queries to it.
@@ -36,12 +41,24 @@ def squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(0, (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T)
 
 
+def runs(n: int, width: int) -> Iterator[slice]:
+    """Rows 0 to n in runs whose matrices of `width` columns are bounded."""
+    step = max(1, CELLS // width)
+    return (slice(a, a + step) for a in range(0, n, step))
+
+
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The number of the centre nearest to each row."""
+    found = [squares(x[run], centres).argmin(1) for run in runs(len(x), len(centres))]
+    return np.concatenate(found) if found else np.empty(0, dtype=np.int64)
+
+
 def means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """k centres by Lloyd's rounds from random rows; an empty centre stays where it is."""
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        own = squares(x, centres).argmin(1)
+        own = nearest(x, centres)
         n = np.bincount(own, minlength=len(centres))
         for d in range(x.shape[1]):
             total = np.bincount(own, x[:, d], len(centres))
@@ -57,7 +74,7 @@ class Index:
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """List, codes of the residual, and the distance from the vector to what they stand for."""
-        lists = squares(x, self.centres).argmin(1)
+        lists = nearest(x, self.centres)
         residual = x - self.centres[lists]
         codes = np.empty((len(x), len(self.parts)), dtype=np.uint8)
         error = np.zeros(len(x))
@@ -66,18 +83,50 @@ class Index:
             error += ((residual[:, a:b] - self.books[m][codes[:, m]]) ** 2).sum(1)
         return lists, codes, np.sqrt(error)
 
-    def probes(self, x: np.ndarray, within: float) -> list[np.ndarray]:
-        """For each vector the lists that can hold vectors not farther than `within`.
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """How far each row is from the part of space where each centre is the nearer one.
 
-        What lies in list c is nearer to its centre than to the centre c* nearest to x. So x is
-        no farther from it than `within` only if x is no farther than that from the plane half
-        way between the centres: |x-c|^2 - |x-c*|^2 <= 2 * within * |c-c*|.
+        That part begins at the plane half way between the centre c and the centre c* nearest to
+        x, so the distance is (|x-c|^2 - |x-c*|^2) / (2 * |c-c*|); for c* itself it is 0.
         """
         far = squares(x, self.centres)
         own = far.argmin(1)
-        apart = np.sqrt(squares(self.centres, self.centres))[own]
-        near = far - far[np.arange(len(x)), own][:, None] <= 2 * within * apart + SLACK
-        return [np.nonzero(row)[0] for row in near]
+        apart = np.sqrt(squares(self.centres[own], self.centres))
+        return (far - far[np.arange(len(x)), own][:, None]) / np.maximum(2 * apart, SLACK)
+
+    def probes(self, x: np.ndarray, within: float) -> list[np.ndarray]:
+        """For each vector the lists that lie within a margin.
+
+        A vector of list c is not farther than `within` from x only if the margin of c is not
+        more than that; so with the radius of the search as the margin no list is left out.
+        """
+        found = []
+        for run in runs(len(x), len(self.centres)):
+            near = self.margins(x[run]) <= within + SLACK
+            found += [np.nonzero(row)[0] for row in near]
+        return found
+
+    def margin(self, x: np.ndarray, least: float, share: float) -> float:
+        """The margin that finds `share` of the neighbours whose cosine is just `least`.
+
+        Neighbours are planted at this cosine around rows of x: one half in a random direction,
+        the other half towards another row, since real differences follow the data. Nearer
+        neighbours need less. A share of 1 gives the radius, which leaves nothing out.
+        """
+        radius = sqrt(max(0.0, 2 - 2 * least))
+        if share >= 1:
+            return radius
+        rng = np.random.default_rng(1)
+        at = x[rng.integers(0, len(x), PLANTED)]
+        to = np.concatenate([rng.normal(size=(PLANTED // 2, x.shape[1])), x[rng.integers(0, len(x), PLANTED - PLANTED // 2)]])
+        to -= (to * at).sum(1)[:, None] * at
+        length = np.sqrt((to * to).sum(1))
+        at, to = at[length > SLACK], to[length > SLACK] / length[length > SLACK][:, None]
+        if not len(at):
+            return radius
+        lists = nearest(least * at + sqrt(1 - least * least) * to, self.centres)
+        need = [self.margins(at[run])[np.arange(len(at[run])), lists[run]] for run in runs(len(at), len(self.centres))]
+        return min(radius, float(np.quantile(np.concatenate(need), share)))
 
     def distances(self, x: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances from rows of x to coded vectors of one list, added up from tables."""
@@ -92,7 +141,7 @@ class Index:
 def fit_index(x: np.ndarray, lists: int) -> Index:
     """An index over unit vectors, from a sample of them."""
     centres = means(x, lists, 10, 1)
-    residual = x - centres[squares(x, centres).argmin(1)]
+    residual = x - centres[nearest(x, centres)]
     cuts = np.linspace(0, x.shape[1], min(PARTS, x.shape[1]) + 1).astype(int)
     parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
     books = [means(residual[:, a:b], CODES, 6, 2 + m) for m, (a, b) in enumerate(parts)]
@@ -121,10 +170,13 @@ def units(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         )
 
 
-ENTRY = "query boolean, node bigint, copies bigint, label string, list int, unit binary, codes binary, error double"
+ENTRY = (
+    "query boolean, node bigint, copies bigint, label string, list int, home int, unit binary, "
+    "codes binary, error double"
+)
 
 
-def entries(batches: Iterator[pa.RecordBatch], index: Broadcast, within: float) -> Iterator[pa.RecordBatch]:
+def entries(batches: Iterator[pa.RecordBatch], index: Broadcast, margin: float) -> Iterator[pa.RecordBatch]:
     """For each class its entry in the inverted file, and a query to each list to be probed."""
     own = index.value
     for batch in batches:
@@ -133,7 +185,7 @@ def entries(batches: Iterator[pa.RecordBatch], index: Broadcast, within: float)
         node, copies, label, unit = (batch.column(k) for k in range(4))
         x = stacked(unit)
         lists, codes, error = own.encode(x)
-        probes = own.probes(x, within)
+        probes = own.probes(x, margin)
         n = np.fromiter(map(len, probes), dtype=np.int64, count=len(probes))
         row = pa.array(np.concatenate([np.arange(len(x)), np.repeat(np.arange(len(x)), n)]))
         total = int(n.sum())
@@ -143,6 +195,7 @@ def entries(batches: Iterator[pa.RecordBatch], index: Broadcast, within: float)
             copies.take(row),
             label.take(row),
             pa.array(np.concatenate([lists, *probes]).astype(np.int32)),
+            pa.array(lists.astype(np.int32)).take(row),
             unit.take(row),
             pa.array([c.tobytes() for c in codes] + [None] * total, pa.binary()),
             pa.array(error.tolist() + [None] * total, pa.float64()),
@@ -153,13 +206,35 @@ def entries(batches: Iterator[pa.RecordBatch], index: Broadcast, within: float)
 FOUND = "node bigint, links bigint, root bigint"
 
 
-def block_links(table: pa.Table, index: Broadcast, within: float, least: float) -> pa.Table:
+def cosines(q: np.ndarray, x: np.ndarray, near: np.ndarray, least: float) -> np.ndarray:
+    """The pairs of `near` whose cosine is at least `least`.
+
+    Where few pairs are left only their products are made, else all. What comes out next to
+    `least` is made again the one way, so that both directions of a pair agree.
+    """
+    rows, columns = np.nonzero(near)
+    if 16 * len(rows) < near.size:
+        step = max(1, CELLS // q.shape[1])
+        parts = [slice(a, a + step) for a in range(0, len(rows), step)]
+        made = [np.einsum("ij,ij->i", q[rows[p]], x[columns[p]]) for p in parts]
+        cosine = np.concatenate([np.empty(0), *made])
+    else:
+        cosine = (q @ x.T)[rows, columns]
+    for k in np.nonzero(np.abs(cosine - least) < 1e-12)[0]:
+        cosine[k] = (q[rows[k]] * x[columns[k]]).sum()
+    out = np.zeros(near.shape, dtype=bool)
+    out[rows, columns] = cosine >= least
+    return out
+
+
+def block_links(table: pa.Table, index: Broadcast, within: float, margin: float, least: float) -> pa.Table:
     """Links between the queries and the entries of one block of one list.
 
     A code stands for a vector that is `error` away from the true one, so an entry can be within
     reach only if its code is within `within` + error: all others are passed over, the rest get
     their exact cosine. Returns the number of linked vectors for each query, and for every node
-    that has a link the smallest node it is connected with inside the block.
+    that has a link the smallest node it is connected with inside the block. An entry that does
+    not probe the list of the query in its turn has the link counted here too.
     """
     own, schema = index.value, pa.schema([(x.split(" ")[0], pa.int64()) for x in FOUND.split(", ")])
     asked = table.filter(table["query"])
@@ -172,21 +247,23 @@ def block_links(table: pa.Table, index: Broadcast, within: float, least: float)
     near = own.distances(q, table["list"][0].as_py(), codes) <= reach.astype(np.float32) + np.float32(1e-4)
     node, other = asked["node"].to_numpy(), held["node"].to_numpy()
     near &= node[:, None] != other[None]
-    rows, columns = np.nonzero(near.any(1))[0], np.nonzero(near.any(0))[0]
-    linked = near[np.ix_(rows, columns)]
-    linked &= q[rows] @ x[columns].T >= least
-    some = linked.any(1)
-    rows, linked = rows[some], linked[some]
-    some = linked.any(0)
-    columns, linked = columns[some], linked[:, some]
+    linked = cosines(q, x, near, least)
+    rows, columns = np.nonzero(linked.any(1))[0], np.nonzero(linked.any(0))[0]
     if not len(rows):
         return schema.empty_table()
+    linked = linked[np.ix_(rows, columns)]
     links = linked @ held["copies"].to_numpy()[columns]
+    # Turn about: does the entry ask the list where the query is an entry?
+    home = asked["home"].to_numpy()[rows]
+    homes, place = np.unique(home, return_inverse=True)
+    asks = [own.margins(x[columns[run]])[:, homes] <= margin + SLACK for run in runs(len(columns), len(own.centres))]
+    one_way = linked & ~np.concatenate(asks)[:, place].T
+    back = asked["copies"].to_numpy()[rows] @ one_way
     root, far = block_roots(linked, node[rows], other[columns])
     return pa.Table.from_arrays(
         [
             pa.array(np.concatenate([node[rows], other[columns]])),
-            pa.array(np.concatenate([links, np.zeros(len(columns), dtype=np.int64)])),
+            pa.array(np.concatenate([links, back])),
             pa.array(np.concatenate([root, far])),
         ],
         schema=schema,
@@ -235,6 +312,7 @@ def embedding_links(
     row_id: str = "vec_id",
     vector: str = "embedding",
     label: str = "label",
+    share: float = 1.0,
 ) -> DataFrame:
     """One row per vector: `row_id`, n_links, component_id, kept.
 
@@ -245,10 +323,15 @@ def embedding_links(
     it is the row's own. Repeated rows are copies of each other. Other columns are not read.
     Empty in, empty out.
 
-    Equal vectors are one class with a number of copies. Probes and code distances follow exact
-    bounds from the cosine, so no pair is missed; the index only decides how much is compared.
+    Equal vectors are one class with a number of copies. Code distances follow exact bounds from
+    the cosine, so they cost no pair. Probes reach as far as `share` says: with 1 no list that
+    can hold a link is left out, but in many dimensions that is nearly all of them; with less,
+    they find this share of neighbours whose cosine is just `least`, more of nearer ones, and a
+    pair is a link for both vectors if either finds the other. No pair below `least` is linked.
+
     Long lists are cut into blocks, and of the links in a block at most one edge for each node
-    leaves it, so that groups of near copies don't give out all their pairs.
+    leaves it, so that groups of near copies don't give out all their pairs; for that the
+    vectors travel with codes and queries.
     """
     context = vectors.sparkSession.sparkContext
     rows = vectors.select(F.col(row_id).cast("bigint").alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
@@ -263,15 +346,21 @@ def embedding_links(
             F.col("id").alias("component_id"), F.lit(True).alias("kept"),
         )
 
-    some = classes.orderBy(F.xxhash64("unit"), "node").limit(SAMPLE).select("unit")
-    lists = max(LEAST_LISTS, min(MOST_LISTS, ceil(sqrt(count) / 4)))
-    index = context.broadcast(fit_index(stacked(some.toArrow()["unit"].combine_chunks()), lists))
+    length = classes.select(F.octet_length("unit")).first()[0]
+    most = max(1, SAMPLE_BYTES // length)
+    lists = max(LEAST_LISTS, min(MOST_LISTS, most // OF_LIST, ceil(sqrt(count) / 4)))
+    sample = min(most, max(SAMPLE, OF_LIST * lists))
+    some = classes.orderBy(F.xxhash64("unit"), "node").limit(sample).select("unit")
+    drawn = stacked(some.toArrow()["unit"].combine_chunks())
+    fitted = fit_index(drawn, lists)
+    margin = fitted.margin(drawn, least, share)
+    index = context.broadcast(fitted)
     within = sqrt(max(0.0, 2 - 2 * least)) + SLACK
 
     cast = classes.select("node", "copies", "label", "unit")
-    filed = written(cast.mapInArrow(lambda b: entries(b, index, within), ENTRY), "inverted-file")
+    filed = written(cast.mapInArrow(lambda b: entries(b, index, margin), ENTRY), "inverted-file")
     found = dealt(filed).groupBy("label", "list", "held_block", "asked_block")
-    found = found.applyInArrow(lambda t: block_links(t, index, within, least), FOUND)
+    found = found.applyInArrow(lambda t: block_links(t, index, within, margin, least), FOUND)
     found = written(found, "block-links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
