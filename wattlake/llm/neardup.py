@@ -27,6 +27,8 @@ AGREE = 18
 PAIRED = 32
 #: Bytes of sets in a block.
 BLOCK_BYTES = 8_000_000
+#: A key with more than this part of all rows is hot. So there are fewer hot keys than PARTS.
+PARTS = 1024
 #: Cells of the incidence matrix that a block works on at once.
 CELLS = 16_000_000
 
@@ -77,6 +79,33 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "members"])
 
 
+# Joins with hot keys -----------------------------------------------------------------------------
+
+
+def hot_keys(sizes: DataFrame, key: str) -> DataFrame:
+    """(key, cuts) for the keys with more than 1 / PARTS of all rows; `sizes` has (key, size).
+
+    There are fewer than PARTS of them, so they can be broadcast; with `cuts` pieces of each, no
+    piece is larger than that part, and there are fewer than 2 * PARTS pieces.
+    """
+    rows = F.coalesce(sizes.agg(F.sum("size").alias("rows")).scalar(), F.lit(0))
+    hot = sizes.where(F.col("size") * PARTS > rows)
+    return hot.select(F.col(key).alias("_hot"), F.ceil(F.col("size") * PARTS / rows).cast("int").alias("_cuts"))
+
+
+def joined(rows: DataFrame, facts: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
+    """The inner join of many rows with one row of facts for a key.
+
+    Rows of a hot key are dealt by `spread`, which differs among them, and its facts go to every piece.
+    """
+    cut = lambda frame: frame.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    piece = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), "_cuts").cast("int"))
+    pieces = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_cuts"), F.lit(1)) - 1))
+    many = cut(rows).withColumn("_piece", piece).drop("_hot", "_cuts")
+    few = cut(facts).withColumn("_piece", pieces).drop("_hot", "_cuts")
+    return many.join(few, [key, "_piece"]).drop("_piece")
+
+
 # Pairs -------------------------------------------------------------------------------------------
 
 
@@ -108,9 +137,10 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links, confirmed on their full sets."""
+    """The pairs (a, b) that are links, confirmed on their full sets; `a` may be the hub of many."""
     of = lambda name: sets.select(F.col("node").alias(name), F.col("members").alias(f"of_{name}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b")
+    hubs = hot_keys(pairs.groupBy("a").agg(F.count("*").alias("size")), "a")
+    both = joined(pairs, of("a"), "a", "b", hubs).join(of("b"), "b").select("a", "b", "of_a", "of_b")
     return both.mapInArrow(confirmed, "a bigint, b bigint")
 
 
@@ -155,7 +185,7 @@ def block_edges(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(np.concatenate(node)), pa.array(np.concatenate([root, far]))], schema=schema)
 
 
-def block_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+def block_links(buckets: DataFrame, sets: DataFrame, hot: DataFrame) -> DataFrame:
     """Edges from the large buckets (key, node): every two members are compared exactly.
 
     A bucket is dealt to blocks by the bytes of its sets, and every two blocks meet in a task,
@@ -166,7 +196,7 @@ def block_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.sum(F.octet_length("members").cast("long")) / BLOCK_BYTES).cast("int").alias("blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = sized.join(blocks, "key").withColumn("own", own)
+    dealt = joined(sized, blocks, "key", "node", hot).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     # Side 0 is the lower block. A block meets itself with all members on both sides.
     side = F.when(F.col("own") < F.col("other"), F.array(F.lit(0)))
@@ -210,7 +240,9 @@ def near_groups(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
 
     keys = nodes.select("node", "sketch").mapInArrow(keyed, "key bigint, node bigint")
     shared = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size"))
-    buckets = written(keys.join(shared.where("size > 1"), "key"), "buckets")
+    shared = written(shared.where("size > 1"), "shared-keys")
+    hot = written(hot_keys(shared, "key"), "hot-keys")
+    buckets = written(joined(keys, shared, "key", "node", hot), "buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
     wanted = wanted.select("node", F.col("id").alias("_id"), F.col("text_key").alias("_key"))
     again = rows.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")))
@@ -226,14 +258,14 @@ def near_groups(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
     near = near.mapInArrow(likely, "a bigint, b bigint")
     large = buckets.where(F.col("size") > PAIRED)
     stars = large.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    pairs = near.unionByName(stars).distinct()
+    pairs = written(near.unionByName(stars).distinct(), "near-candidates")
     found = written(links(pairs, sets), "near-links")
 
     roots = written(connected(found), "near-roots")
     state = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = state.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    open_ = large.select("key", "node").join(apart.where("least <> most").select("key"), "key")
-    rest = block_links(written(open_, "open-buckets"), sets.select("node", "members"))
+    open_ = joined(large.select("key", "node"), apart.where("least <> most").select("key"), "key", "node", hot)
+    rest = block_links(written(open_, "open-buckets"), sets.select("node", "members"), hot)
     roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(written(rest, "block-edges")))
 
     grouped = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node", "at"))
