@@ -591,11 +591,11 @@ def distribution_stats(spark, sf):
 
 def compare_runs(spark, sf):
     runs = adapters.runs(spark, sf)
-    return profile.compare_runs(runs, "click", "view", ["readings_per_sec"], exact=True)
+    return profile.compare_runs(runs, "click", "view", exact=True)
 
 
 def comparison_range(spark, sf):
-    return profile.comparison_range(compare_runs(spark, sf), ["readings_per_sec"])
+    return profile.comparison_range(compare_runs(spark, sf))
 
 
 def _zoneless(query: Query) -> Query:

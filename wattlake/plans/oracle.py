@@ -132,6 +132,18 @@ def _pop_std(value: str) -> str:
     return f"sqrt(greatest({square} - ({mean}) * ({mean}), 0))"
 
 
+def _wide_std(value: str) -> str:
+    """As _pop_std, of values whose squares add up beyond 64 bits.
+
+    The cast of such a sum to a double is not the nearest one, so it goes through its text.
+    """
+    cents = f"CAST(round_even({value} * CAST(100 AS DOUBLE), 0) AS HUGEINT)"
+    total = f"CAST(CAST(sum({cents} * {cents}) AS VARCHAR) AS DOUBLE)"
+    square = f"{total} / count({value}) / CAST(10000 AS DOUBLE)"
+    mean = f"{_sum(value)} / count({value})"
+    return f"sqrt(greatest({square} - ({mean}) * ({mean}), 0))"
+
+
 def _quantile(value: str, q: float) -> str:
     return f"round_even(quantile_cont({value}, {q}) * {MICRO}, 0) / {MICRO}"
 
@@ -505,19 +517,27 @@ _METER_TABLE = f"""SELECT meter_id,
 
 
 def _side(label: str, language: str) -> str:
-    return f"""{label} AS (SELECT meters, count(*) AS runs, {_sum('value')} / count(*) AS mean,
-        {_pop_std('value')} AS std FROM runs WHERE event_type = '{language}' GROUP BY meters)"""
+    std = {m: _wide_std(m) for m in _RUN_MEASURES} | {"readings_per_sec": _pop_std("readings_per_sec")}
+    facts = ", ".join(f"{_sum(m)} / count({m}) AS {m}_mean, {std[m]} AS {m}_std" for m in _RUN_MEASURES)
+    return f"""{label} AS (SELECT meters, count(*) AS runs, {facts}
+        FROM runs WHERE event_type = '{language}' GROUP BY meters)"""
+
 
+_RUN_MEASURES = ("readings_per_sec", "avg_us_per_read", "peak_mem_mb")
+
+_SIDES = ", ".join(
+    f"""a.{m}_mean AS {m}_mean_a, a.{m}_std AS {m}_std_a, b.{m}_mean AS {m}_mean_b,
+        b.{m}_std AS {m}_std_b, a.{m}_mean / b.{m}_mean AS {m}_ratio"""
+    for m in _RUN_MEASURES
+)
 
 _COMPARE = _with(
-    f"""runs AS (SELECT event_type, value,
+    f"""runs AS (SELECT event_type, value AS readings_per_sec,
+          floor(CAST(100000000 AS DOUBLE) / nullif(value, 0)) / CAST(100 AS DOUBLE) AS avg_us_per_read,
+          CAST(event_id % 4096 AS DOUBLE) / CAST(4 AS DOUBLE) AS peak_mem_mb,
           CAST([10, 50, 100, 250, 500, 1000][user_id % 6 + 1] AS BIGINT) AS meters FROM events),
         {_side('a', 'click')}, {_side('b', 'view')}""",
-    """SELECT meters, a.runs AS runs_a, b.runs AS runs_b,
-        a.mean AS readings_per_sec_mean_a, a.std AS readings_per_sec_std_a,
-        b.mean AS readings_per_sec_mean_b, b.std AS readings_per_sec_std_b,
-        a.mean / b.mean AS readings_per_sec_ratio
-       FROM a JOIN b USING (meters)""",
+    f"SELECT meters, a.runs AS runs_a, b.runs AS runs_b, {_SIDES} FROM a JOIN b USING (meters)",
 )
 
 
@@ -535,7 +555,8 @@ STREAMED = {
 
 
 _RANGE = ", ".join(
-    f"{f}(readings_per_sec_{c}) AS {f}_readings_per_sec_{c}"
+    f"{f}({m}_{c}) AS {f}_{m}_{c}"
+    for m in _RUN_MEASURES
     for c in ("ratio", "mean_a", "mean_b")
     for f in ("min", "max")
 )
