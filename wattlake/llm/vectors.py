@@ -133,8 +133,10 @@ class Index:
         residual = x - self.centres[centre]
         out = np.zeros((len(x), len(codes)), dtype=np.float32)
         for m, (a, b) in enumerate(self.parts):
-            table = squares(residual[:, a:b], self.books[m]).astype(np.float32)
-            out += table[:, codes[:, m]]
+            # A short list has few of the codes: tables of those alone.
+            used, place = np.unique(codes[:, m], return_inverse=True)
+            table = squares(residual[:, a:b], self.books[m][used]).astype(np.float32)
+            out += table[:, place]
         return out
 
 
