@@ -92,3 +92,16 @@ def test_null_weights_count_as_nothing(spark, group_rows):
     got = ordered.running_sum(frame, ["k"], ["o"], F.col("w"), "s", group_rows)
     want = {0: None, 1: None, 2: 1, 3: 1, 4: 6, 5: None, 6: None, 7: 2, 8: 2}
     assert {r.o: r.s for r in got.collect()} == want
+
+
+def test_runs_of_many_small_groups_are_no_more_than_partitions(spark):
+    few = spark.range(4000).selectExpr("id % 100 k", "id o")
+    runs = []
+
+    def in_runs(cut):
+        runs.append(cut.select(ordered.RUN).distinct().count())
+        return cut.drop(ordered.RUN)
+
+    got = ordered._by_size(few, ["k"], ["o"], 10, lambda rows: rows, in_runs)
+    assert got.count() == 4000
+    assert 1 < runs[0] <= int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from wattlake.session import written
 
 GROUP_ROWS = 5_000_000
+#: Rows of a run, where there are more of them than shuffle partitions. `group_rows` says which
+#: groups are cut; runs as short as small groups would be a task and a file each.
+RUN_ROWS = 500_000
 RUN = "_run"
 
 
@@ -64,7 +67,7 @@ def _by_size(
     sizes = _sizes(df, keys, group_rows)
     if not sizes.large_groups:
         return whole(df)
-    wanted = math.ceil(sizes.large_rows / max(group_rows, 1))
+    wanted = math.ceil(sizes.large_rows / max(group_rows, RUN_ROWS))
     if not keys:  # all rows are the one large group
         return in_runs(_runs(df, keys, order, wanted))
     stored = written(df, "ordered-rows")
