@@ -25,12 +25,12 @@ WIDTH = POSITIONS // CHUNKS
 AGREE = 18
 #: Members of a bucket that are paired one by one. Larger buckets are compared block by block.
 PAIRED = 32
-#: Bytes of sets in a block.
-BLOCK_BYTES = 8_000_000
+#: Bytes of sets in a block, and its rows where the sets are small.
+BLOCK_BYTES, BLOCK_ROWS = 8_000_000, 16_384
 #: A key with more than this part of all rows is hot. So there are fewer hot keys than PARTS.
 PARTS = 1024
-#: Cells of the incidence matrix that a block works on at once.
-CELLS = 16_000_000
+#: Cells of the incidence matrices, and pairs of sets, that a block works on at once.
+CELLS, PAIRS = 8_000_000, 2_000_000
 
 
 # Sets and signatures -----------------------------------------------------------------------------
@@ -171,7 +171,10 @@ def shared_counts(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarra
 
 
 def block_edges(table: pa.Table) -> pa.Table:
-    """Edges that say which nodes of two blocks of a bucket are connected by links."""
+    """Edges that say which nodes of two blocks of a bucket are connected by links.
+
+    The pairs are taken in strips of rows, as their matrix is large where the sets are small.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     sides = [table.filter(pc.equal(table["side"], k)) for k in (0, 1)]
     if not all(map(len, sides)):
@@ -179,22 +182,30 @@ def block_edges(table: pa.Table) -> pa.Table:
     sets = [[np.frombuffer(x, dtype=np.uint64) for x in t["members"].to_pylist()] for t in sides]
     node = [t["node"].to_numpy() for t in sides]
     size = [np.array(list(map(len, s)), dtype=np.float64) for s in sets]
-    linked = similar(shared_counts(*sets).astype(np.float64), size[0][:, None], size[1][None])
-    linked &= node[0][:, None] != node[1][None]
-    root, far = block_roots(linked, *node)
-    return pa.Table.from_arrays([pa.array(np.concatenate(node)), pa.array(np.concatenate([root, far]))], schema=schema)
+    edges, far = [], node[1]
+    step = max(1, PAIRS // len(node[1]))
+    for start in range(0, len(node[0]), step):
+        own = slice(start, start + step)
+        linked = similar(shared_counts(sets[0][own], sets[1]).astype(np.float64), size[0][own, None], size[1][None])
+        linked &= node[0][own, None] != node[1][None]
+        # The other side goes on with the nodes that it has reached; the edges say from where.
+        root, to = block_roots(linked, node[0][own], far)
+        edges += [np.stack([node[0][own], root]), np.stack([far, to])]
+        far = to
+    edges = np.concatenate(edges, axis=1)
+    return pa.Table.from_arrays(list(map(pa.array, edges[:, edges[0] != edges[1]])), schema=schema)
 
 
 def block_links(buckets: DataFrame, sets: DataFrame, hot: DataFrame) -> DataFrame:
     """Edges from the large buckets (key, node): every two members are compared exactly.
 
-    A bucket is dealt to blocks by the bytes of its sets, and every two blocks meet in a task,
-    so that no task has more than two blocks and no pair leaves one.
+    A bucket is dealt to blocks by the bytes of its sets and their number, and every two blocks
+    meet in a task, so that no task has more than two blocks and no pair leaves one.
     """
     sized = buckets.join(sets, "node")
-    blocks = sized.groupBy("key").agg(
-        F.ceil(F.sum(F.octet_length("members").cast("long")) / BLOCK_BYTES).cast("int").alias("blocks")
-    )
+    by_bytes = F.ceil(F.sum(F.octet_length("members").cast("long")) / BLOCK_BYTES)
+    by_rows = F.ceil(F.count("*") / BLOCK_ROWS)
+    blocks = sized.groupBy("key").agg(F.greatest(by_bytes, by_rows).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = joined(sized, blocks, "key", "node", hot).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
